@@ -1 +1,825 @@
-"""Registered queries."""
+"""Composite reports: Q01–Q17."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import DataFrame, functions as F
+
+from ..functions.values import flag
+from ..operators.joins import harmonised  # noqa: F401  (re-exported for tests)
+from ..params import DateWindow
+from ..plans.reports import configuration, details, fusion, malls, pricing, stores
+from ..plans.reports.common import upgrade_stat  # noqa: F401
+from ..plans.rules import Rules
+from .registry import query
+from .roles import (
+    CANCELLED,
+    EVENT_DAYS,
+    EVENT_SHIFT_DAYS,
+    FRUIT,
+    HOME_MALL,
+    ORDER_DAYS,
+    PILOT_CAT4,
+    QUALITY_TYPES,
+    SPECIAL_CAT4,
+    VEGETABLES,
+    Roles,
+    _list,
+    money,
+    rate,
+)
+
+RULES = Rules(
+    special_cat4=SPECIAL_CAT4,
+    special_label="special",
+    pilot_cat4=PILOT_CAT4,
+    vegetable_cat1=VEGETABLES,
+    fruit_cat1=FRUIT,
+    quality_types=QUALITY_TYPES,
+    flow_page="view",
+    trial_counties=("NATION_1", "NATION_2"),
+    trial_grid_tag="NATION_1",
+    treatment_label="treatment",
+    control_label="control",
+    agent_label="agent",
+    direct_label="direct",
+    online_tag="NATION_2",
+    online_rep=(-88, "online"),
+    missing_rep=(-99, "missing"),
+)
+
+UPGRADE = """upgrade AS (SELECT o.dt, t.mall_id, g.cat1, g.cat4{store},
+    COUNT(DISTINCT ticket_no) AS upgrade_tickets,
+    SUM(COALESCE(confirmed_amt, 0) + COALESCE(credit_amt, 0)) AS upgrade_refund,
+    SUM(COALESCE(credit_amt, 0)) AS upgrade_platform_refund
+    FROM ticket t JOIN order_day o ON o.order_id = t.order_id
+    LEFT JOIN goods_day g ON g.dt = o.dt AND g.mall_id = t.mall_id AND g.sku_id = t.sku_id
+    GROUP BY ALL)"""
+UPGRADE_MALL = UPGRADE.replace("{store}", "")
+UPGRADE_STORE = UPGRADE.replace("{store}", ", t.store_id")
+
+ACTIVE = "ordered_num + delivered_num + after_sale_num + rebuy_days > 0"
+AGENTS = "agents AS (SELECT DISTINCT dt, mall_id, grid_id FROM agent_grid WHERE status = 1)"
+
+
+def report_tables(r: Roles) -> dict[str, DataFrame]:
+    return {
+        "mall_cat4": r.mall_cat4,
+        "mall_cat1": r.mall_cat1,
+        "mall_day": r.mall_day,
+        "malls": r.mall,
+        "sku_mall": r.sku_mall,
+        "complaint": r.complaint,
+        "ticket": r.ticket,
+        "orders": r.orders,
+        "goods": r.goods_day,
+        "goods_card": r.goods_card,
+        "flow": r.flow,
+        "store_cat4": r.store_cat4,
+        "store_dim": r.store_dim,
+        "agent_grid": r.agent_grid,
+        "grid_day": r.grid_day,
+    }
+
+
+def _ratio(a: str, b: str, digits: int = 5) -> str:
+    return f"ROUND(COALESCE(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0), 0), {digits})"
+
+
+Q01_SQL = f"""WITH {UPGRADE_STORE},
+    pick AS (SELECT dt, store_id, {', '.join(
+        f"COALESCE(MAX({c}) FILTER (WHERE mall_id = {HOME_MALL}), MAX({c}) FILTER (WHERE mall_id <> {HOME_MALL})) AS {c}"
+        for c in ("grid_id", "grid_name", "bd_id", "bd_name"))} FROM store_dim GROUP BY dt, store_id),
+    {AGENTS},
+    base AS (SELECT f.*, CASE WHEN a.grid_id IS NOT NULL THEN 'agent' ELSE 'direct' END AS operate_type,
+        COALESCE(f.bd_id, p.bd_id) AS b_id, COALESCE(f.bd_name, p.bd_name) AS b_name,
+        COALESCE(f.grid_name, p.grid_name, g.grid_name, '') AS g_name, u.upgrade_refund AS u_refund,
+        CASE WHEN f.cat4 IN ({_list(SPECIAL_CAT4)}) THEN 0 ELSE 1 END AS keep
+      FROM store_cat4 f LEFT JOIN pick p ON p.dt = f.dt AND p.store_id = f.store_id
+      LEFT JOIN agents a ON a.dt = f.dt AND a.mall_id = f.mall_id AND a.grid_id = COALESCE(f.grid_id, p.grid_id)
+      LEFT JOIN upgrade u ON u.dt = f.dt AND u.mall_id = f.mall_id AND u.cat1 = f.cat1 AND u.cat4 = f.cat4 AND u.store_id = f.store_id
+      LEFT JOIN grid_day g ON g.dt = f.dt AND g.grid_id = COALESCE(f.grid_id, p.grid_id)
+      WHERE {ACTIVE} AND ordered_num > 0)
+    SELECT dt, mall_id, mall, operate_type,
+      CAST(COALESCE(b_id, CASE WHEN b_name IS NULL AND instr(g_name, 'NATION_2') > 0 THEN -88 END, -99) AS BIGINT) AS rep_id,
+      CASE WHEN b_name IS NOT NULL THEN b_name WHEN instr(g_name, 'NATION_2') > 0 THEN 'online' ELSE 'missing' END AS rep_name,
+      COUNT(DISTINCT store_id) AS ordered_stores, CAST(SUM(delivered_amt) AS DOUBLE) AS delivered_amt,
+      CAST(SUM(delivered_wgt) AS DOUBLE) AS delivered_wgt,
+      CAST(SUM(delivered_amt * keep) AS DOUBLE) AS delivered_amt_ex_special,
+      CAST(SUM(COALESCE(u_refund, 0) * keep) AS DOUBLE) AS upgrade_refund_ex_special
+    FROM base GROUP BY 1, 2, 3, 4, 5, 6"""
+
+
+@query("q01", Q01_SQL)
+def q01(r: Roles) -> DataFrame:
+    return stores.sales_rep_kpis(report_tables(r), RULES, ORDER_DAYS, HOME_MALL)
+
+
+BUCKETS = {
+    "cat4_onsale": "sku_num_onsale > 0",
+    "cat4_sold": "sku_num_sold > 0",
+    "cat4_penetration_ge35": "penetration >= 0.35",
+    "cat4_penetration_25_35": "penetration BETWEEN 0.25 AND 0.35 AND penetration <> 0.35",
+    "cat4_penetration_15_25": "penetration BETWEEN 0.15 AND 0.25 AND penetration <> 0.25",
+    "cat4_penetration_05_15": "penetration BETWEEN 0.05 AND 0.15 AND penetration <> 0.15",
+    "cat4_penetration_lt05": "penetration < 0.05 AND sku_num_sold > 0",
+    "cat4_penetration_ge15": "penetration >= 0.15",
+    "cat4_penetration_top": "penetration >= 0.15 AND penetration_rank <= 3",
+    "cat4_penetration_special": "penetration >= 0.1 AND is_special = 1",
+}
+BUCKET_SQL = ", ".join(
+    f"COUNT(DISTINCT CASE WHEN {cond} THEN cat4 END) AS {name}" for name, cond in BUCKETS.items()
+)
+#: Ranks run over all malls; the filter on one mall comes after them.
+RANKED = f"""target AS (SELECT s.dt, s.mall_id, s.cat1, s.cat4,
+      COUNT(DISTINCT CASE WHEN CAST(s.ordered_store_num AS DOUBLE) / NULLIF(c.ordered_store_num, 0) >= 0.1 THEN sku_id END) AS target_sku_num
+      FROM sku_mall s LEFT JOIN mall_cat1 c ON c.dt = s.dt AND c.mall_id = s.mall_id AND c.cat1 = s.cat1
+      GROUP BY ALL HAVING target_sku_num > 0),
+    other AS (SELECT dt, mall_id, cat1, cat4, SUM(refund_amt) AS other_refund_amt,
+      SUM(after_sale_num) AS other_after_sale_num, SUM(after_sale_cnt) AS other_after_sale_cnt
+      FROM complaint WHERE type_desc NOT IN ({_list(QUALITY_TYPES)}) GROUP BY ALL),
+    ranked AS (SELECT f.*,
+      ROUND(COALESCE(CAST(f.ordered_store_num AS DOUBLE) / NULLIF(c.ordered_store_num, 0), 0), 5) AS penetration,
+      ROW_NUMBER() OVER (PARTITION BY f.cat1, f.cat4, f.dt ORDER BY COALESCE(f.delivered_amt, 0) DESC, f.mall_id) AS delivered_amt_rank,
+      ROW_NUMBER() OVER (PARTITION BY f.cat1, f.cat4, f.dt
+        ORDER BY COALESCE(CAST(f.ordered_store_num AS DOUBLE) / NULLIF(c.ordered_store_num, 0), 0) DESC, f.mall_id) AS penetration_rank,
+      CASE WHEN f.cat4 IN ({_list(SPECIAL_CAT4)}) THEN 1 ELSE 0 END AS is_special,
+      CASE WHEN f.cat4 IN ({_list(SPECIAL_CAT4)}) THEN 0 ELSE 1 END AS is_filtered,
+      CASE WHEN f.cat4 IN ({_list(PILOT_CAT4)}) THEN 1 ELSE 0 END AS is_pilot,
+      CASE WHEN f.cat1 IN ({_list(VEGETABLES)}) THEN 1 ELSE 0 END AS is_vegetable,
+      CASE WHEN f.cat1 = '{FRUIT}' THEN 1 ELSE 0 END AS is_fruit,
+      t.target_sku_num, o.other_refund_amt, o.other_after_sale_num, o.other_after_sale_cnt
+      FROM mall_cat4 f JOIN mall m ON m.mall_id = f.mall_id
+      LEFT JOIN mall_cat1 c ON c.dt = f.dt AND c.mall_id = f.mall_id AND c.cat1 = f.cat1
+      LEFT JOIN target t ON t.dt = f.dt AND t.mall_id = f.mall_id AND t.cat1 = f.cat1 AND t.cat4 = f.cat4
+      LEFT JOIN other o ON o.dt = f.dt AND o.mall_id = f.mall_id AND o.cat1 = f.cat1 AND o.cat4 = f.cat4
+      WHERE f.cat4 IS NOT NULL QUALIFY f.mall_id = {HOME_MALL})"""
+FLOW = """flows AS (SELECT dt, mall_id{extra},
+    COUNT(DISTINCT CASE WHEN exposed_num > 0 THEN store_id END) AS exposed_stores,
+    COUNT(DISTINCT CASE WHEN exposed_num > 0 AND page = 'view' THEN store_id END) AS exposed_stores_page,
+    SUM(CASE WHEN exposed_num > 0 AND page = 'view' THEN exposed_num ELSE 0 END) AS exposed_views_page
+    FROM flow WHERE COALESCE(exposed_num, 0) + clicked_num + added_num + ordered_num > 0 GROUP BY ALL)"""
+
+
+def _sums(spec: dict[str, str], amounts: set[str]) -> str:
+    return ", ".join(
+        f"COALESCE(CAST(SUM({e}) AS {'DOUBLE' if n in amounts else 'BIGINT'}), 0) AS {n}" for n, e in spec.items()
+    )
+
+
+Q02_SUMS = {
+    "delivered_amt": "r.delivered_amt",
+    "delivered_amt_filtered": "is_filtered * r.delivered_amt",
+    "refund_amt": "r.refund_amt",
+    "delivered_num": "delivered_num",
+    "after_sale_num": "after_sale_num",
+    "refund_amt_filtered": "is_filtered * r.refund_amt",
+    "sku_onsale": "sku_num_onsale",
+    "sku_sold": "sku_num_sold",
+    "delivered_amt_pilot": "is_pilot * r.delivered_amt",
+    "refund_amt_pilot": "is_pilot * r.refund_amt",
+    "delivered_amt_special": "is_special * r.delivered_amt",
+    "target_sku_special": "target_sku_num * is_special",
+    "order_cnt_special": "is_special * order_cnt",
+    "after_sale_num_special": "after_sale_num * is_special",
+    "other_refund_special": "other_refund_amt * is_special",
+    "other_after_sale_num_special": "other_after_sale_num * is_special",
+    "other_after_sale_cnt_special": "other_after_sale_cnt * is_special",
+    "upgrade_refund": "u.upgrade_refund",
+    "upgrade_platform_refund": "u.upgrade_platform_refund",
+    "upgrade_tickets": "u.upgrade_tickets",
+}
+AMOUNTS = {n for n in Q02_SUMS if "amt" in n or "refund" in n}
+FLOW_COLUMNS = ", ".join(
+    f"CAST(COALESCE({c}, 0) AS BIGINT) AS {c}" for c in ("exposed_stores", "exposed_stores_page", "exposed_views_page")
+)
+
+
+@query(
+    "q02",
+    f"""WITH {UPGRADE_MALL}, {RANKED}, {FLOW.replace('{extra}', ', cat1')},
+    stat AS (SELECT r.dt, r.mall_id, r.mall, r.cat1, {_sums(Q02_SUMS, AMOUNTS)}, {BUCKET_SQL.replace('THEN cat4', 'THEN r.cat4')}
+      FROM ranked r LEFT JOIN upgrade u ON u.dt = r.dt AND u.mall_id = r.mall_id AND u.cat1 = r.cat1 AND u.cat4 = r.cat4
+      GROUP BY r.dt, r.mall_id, r.mall, r.cat1)
+    SELECT s.*, COALESCE(c.ordered_store_num, 0) AS ordered_stores,
+      {_ratio('c.ordered_store_num', 'd.ordered_store_num')} AS dau_rate, {FLOW_COLUMNS}
+    FROM stat s LEFT JOIN mall_cat1 c ON c.dt = s.dt AND c.mall_id = s.mall_id AND c.cat1 = s.cat1
+    LEFT JOIN mall_day d ON d.dt = s.dt AND d.mall_id = s.mall_id
+    LEFT JOIN flows w ON w.dt = s.dt AND w.mall_id = s.mall_id AND w.cat1 = s.cat1""",
+)
+def q02(r: Roles) -> DataFrame:
+    return malls.category_kpis(report_tables(r), RULES, ORDER_DAYS, F.col("mall_id") == HOME_MALL)
+
+
+Q03_SUMS = {
+    "delivered_amt": "r.delivered_amt",
+    "refund_amt": "r.refund_amt",
+    "delivered_amt_filtered": "is_filtered * r.delivered_amt",
+    "refund_amt_filtered": "is_filtered * r.refund_amt",
+    "sku_onsale": "sku_num_onsale",
+    "sku_sold": "sku_num_sold",
+    "sku_sold_fruit": "sku_num_sold * is_fruit",
+    "delivered_amt_pilot": "is_pilot * r.delivered_amt",
+    "refund_amt_pilot": "is_pilot * r.refund_amt",
+    "sku_onsale_vegetable": "is_vegetable * sku_num_onsale",
+    "delivered_amt_vegetable": "is_vegetable * r.delivered_amt",
+    "refund_amt_vegetable": "is_vegetable * r.refund_amt",
+    "delivered_amt_fruit": "is_fruit * r.delivered_amt",
+    "delivered_amt_special": "is_special * r.delivered_amt",
+    "order_cnt_special": "is_special * order_cnt",
+    "target_sku_special": "target_sku_num * is_special",
+    "after_sale_num_special": "after_sale_num * is_special",
+    "other_refund_special": "other_refund_amt * is_special",
+    "other_after_sale_num_special": "other_after_sale_num * is_special",
+    "other_after_sale_cnt_special": "other_after_sale_cnt * is_special",
+}
+Q03_RATIOS = {
+    "refund_rate": ("refund_amt", "delivered_amt"),
+    "refund_rate_filtered": ("refund_amt_filtered", "delivered_amt_filtered"),
+    "page_usage": ("exposed_stores_page", "exposed_stores"),
+    "refund_rate_vegetable": ("refund_amt_vegetable", "delivered_amt_vegetable"),
+    "fruit_share": ("delivered_amt_fruit", "delivered_amt"),
+    "refund_rate_special": ("other_refund_special", "delivered_amt_special"),
+    "other_ticket_share": ("other_after_sale_cnt_special", "after_sale_num_special"),
+}
+Q03_CTES = f"""{RANKED}, {FLOW.replace('{extra}', '')},
+    stat AS (SELECT r.dt, r.mall_id, r.mall, {_sums(Q03_SUMS, {n for n in Q03_SUMS if 'amt' in n or 'refund' in n})}, {BUCKET_SQL}
+      FROM ranked r GROUP BY r.dt, r.mall_id, r.mall),
+    kpis AS (SELECT s.*, d.ordered_store_num, d.ordered_store_num_old, d.ordered_store_num_new, d.ordered_store_num_loss,
+      {FLOW_COLUMNS}, {', '.join(f"{_ratio(a, b)} AS {n}" for n, (a, b) in Q03_RATIOS.items())}
+      FROM stat s LEFT JOIN mall_day d ON d.dt = s.dt AND d.mall_id = s.mall_id
+      LEFT JOIN flows w ON w.dt = s.dt AND w.mall_id = s.mall_id)"""
+
+
+@query("q03", f"WITH {Q03_CTES} SELECT * FROM kpis")
+def q03(r: Roles) -> DataFrame:
+    return malls.mall_kpis(report_tables(r), RULES, ORDER_DAYS, F.col("mall_id") == HOME_MALL)
+
+
+CARD_UPDATES = """updates AS (SELECT dt, mall_id, cat4,
+      COUNT(DISTINCT CASE WHEN COALESCE(merit, '') <> COALESCE(before, '') AND is_up_today > 0 THEN sku_id END) AS updated_sku_num,
+      COUNT(DISTINCT CASE WHEN is_up_today > 0 THEN sku_id END) AS onshelf_sku_num
+      FROM (SELECT *, LAG(merit) OVER (PARTITION BY sku_id, mall_id ORDER BY dt) AS before
+        FROM goods_card WHERE dt BETWEEN DATE '{first}' - 1 AND DATE '{last}' AND is_up_today + is_sku_valid > 0)
+      GROUP BY ALL)""".replace("{first}", str(ORDER_DAYS.first)).replace("{last}", str(ORDER_DAYS.last))
+
+
+@query(
+    "q04",
+    f"""WITH {RANKED}, {CARD_UPDATES}
+    SELECT r.dt, strftime(r.dt, '%Y-%m-01') AS dt_month,
+      CASE WHEN last_day(r.dt) = r.dt THEN 1 ELSE 0 END AS is_last_day, r.mall, r.cat1, r.cat4,
+      CAST(r.delivered_amt AS DOUBLE) AS delivered_amt, CAST(r.refund_amt AS DOUBLE) AS refund_amt,
+      sku_num_onsale, sku_num_sold, exposed_store_num_old, ordered_store_num_old, penetration, order_cnt,
+      target_sku_num, delivered_amt_rank, penetration_rank, onshelf_sku_num, updated_sku_num
+    FROM ranked r LEFT JOIN updates u ON u.dt = r.dt AND u.mall_id = r.mall_id AND u.cat4 = r.cat4""",
+)
+def q04(r: Roles) -> DataFrame:
+    return malls.category4_stat(report_tables(r), RULES, ORDER_DAYS, F.col("mall_id") == HOME_MALL)
+
+
+@query(
+    "q05",
+    """SELECT c.dt, c.mall_id, c.cat1, c.cat4, c.type_desc,
+      ROUND(CAST(c.refund_amt AS DOUBLE) / NULLIF(CAST(b.delivered_amt AS DOUBLE), 0), 4) AS refund_ratio,
+      ROW_NUMBER() OVER (PARTITION BY c.dt, c.mall_id, c.cat1, c.cat4
+        ORDER BY COALESCE(CAST(c.refund_amt AS DOUBLE) / NULLIF(CAST(b.delivered_amt AS DOUBLE), 0), 0) DESC, c.type_desc) AS ratio_rank
+    FROM complaint c LEFT JOIN mall_cat4 b ON b.dt = c.dt AND b.mall_id = c.mall_id AND b.cat1 = c.cat1 AND b.cat4 = c.cat4""",
+)
+def q05(r: Roles) -> DataFrame:
+    return malls.complaint_ratio_rank(r.complaint, r.mall_cat4, ORDER_DAYS)
+
+
+TREATED = "regexp_matches(p.county_name, 'NATION_1|NATION_2')"
+DETAIL = f"""{UPGRADE_STORE}, {AGENTS},
+    place AS (SELECT dt, store_id, mall_id, MAX(province_name) AS province_name, MAX(grid_name) AS county_name
+      FROM store_dim GROUP BY ALL),
+    detail AS (SELECT f.dt, f.mall_id, f.mall, f.grid_id, f.grid_name,
+      CASE WHEN a.grid_id IS NOT NULL THEN 'agent' ELSE 'direct' END AS operate_type, f.bd_id, f.bd_name, f.store_id,
+      p.province_name, p.county_name, f.cat1, f.cat4,
+      CASE WHEN f.cat1 IN ({_list(VEGETABLES)}) AND ordered_num > 0 THEN 1 ELSE 0 END AS is_vegetable,
+      CASE WHEN {TREATED} AND instr(f.grid_name, 'NATION_1') > 0 THEN 1 ELSE 0 END AS is_trial,
+      CASE WHEN {TREATED} AND instr(f.grid_name, 'NATION_1') > 0 THEN 'treatment'
+        WHEN {TREATED} AND instr(f.grid_name, 'NATION_1') = 0 THEN 'control' END AS trial_group,
+      CASE WHEN f.cat4 IN ({_list(PILOT_CAT4)}) THEN 1 ELSE 0 END AS is_pilot,
+      CASE WHEN f.cat4 IN ({_list(SPECIAL_CAT4)}) THEN 'special' END AS special_label,
+      CAST(delivered_amt AS DOUBLE) AS delivered_amt, CAST(refund_amt AS DOUBLE) AS refund_amt, ordered_num,
+      CAST(commission_amt AS DOUBLE) AS commission_amt,
+      CASE WHEN after_sale_num > 0 THEN 1 ELSE 0 END AS is_after_sale,
+      CASE WHEN rebuy_days + ordered_num > 0 THEN 1 ELSE 0 END AS is_rebuy,
+      COALESCE(CAST(u.upgrade_refund AS DOUBLE), 0) AS upgrade_refund,
+      COALESCE(CAST(u.upgrade_platform_refund AS DOUBLE), 0) AS upgrade_platform_refund
+      FROM store_cat4 f LEFT JOIN place p ON p.dt = f.dt AND p.store_id = f.store_id AND p.mall_id = f.mall_id
+      LEFT JOIN agents a ON a.dt = f.dt AND a.mall_id = f.mall_id AND a.grid_id = f.grid_id
+      LEFT JOIN upgrade u ON u.dt = f.dt AND u.mall_id = f.mall_id AND u.cat1 = f.cat1 AND u.cat4 = f.cat4 AND u.store_id = f.store_id
+      WHERE {ACTIVE})"""
+
+
+@query("q06", f"WITH {DETAIL} SELECT * FROM detail")
+def q06(r: Roles) -> DataFrame:
+    return stores.store_category_detail(report_tables(r), RULES, ORDER_DAYS)
+
+
+#: Goods cards per day and sku, and extra attributes per day, mall and sku.
+GOODS_SQL = """goods AS (SELECT dt, sku_id, MAX(sku_name) AS sku_name, MAX('Supplier ' || merchant_id) AS merchant_name,
+    MAX(cat1) AS back_category FROM goods_card GROUP BY dt, sku_id),
+    extra AS (SELECT dt, mall_id, sku_id, cat4 AS sku_grade, cat1 AS packaging FROM goods_day)"""
+STORES_SQL = f"""place AS (SELECT dt, store_id, {', '.join(
+    f"COALESCE(MAX({c}) FILTER (WHERE mall_id = {HOME_MALL}), MAX({c}) FILTER (WHERE mall_id <> {HOME_MALL})) AS {c}"
+    for c in details.STORE_ATTRIBUTES)} FROM store_dim GROUP BY dt, store_id)"""
+MERCHANTS = [("Supplier 1", "First suppliers"), ("Supplier 2", "Second suppliers")]
+MERCHANT_SQL = """CASE WHEN instr(g.merchant_name, 'Supplier 1') > 0 THEN 'First suppliers'
+    WHEN instr(g.merchant_name, 'Supplier 2') > 0 THEN 'Second suppliers' ELSE g.merchant_name END AS merchant_name"""
+
+
+def detail_tables(r: Roles) -> dict[str, DataFrame]:
+    goods = r.goods_card.groupBy("dt", "sku_id").agg(
+        F.max("sku_name").alias("sku_name"),
+        F.max(F.concat(F.lit("Supplier "), F.col("merchant_id").cast("string"))).alias("merchant_name"),
+        F.max("cat1").alias("back_category"),
+    )
+    extra = r.goods_day.select(
+        "dt", "mall_id", "sku_id", F.col("cat4").alias("sku_grade"), F.col("cat1").alias("packaging")
+    )
+    item = r.item.select(
+        "dt", "order_id", "line_no", "sku_id", "store_id", "mall_id", "status",
+        F.col("qty").cast("bigint").alias("ordered_num"),
+        F.col("amt").alias("ordered_amt"),
+        F.when(F.col("linestatus") == "F", F.col("amt")).alias("delivered_amt"),
+        (F.col("amt") * (F.lit(1) - F.col("disc"))).alias("payment_amt"),
+    )
+    return {
+        "item": item, "goods": goods, "extra": extra, "orders": r.orders,
+        "store_dim": r.store_dim, "agent_grid": r.agent_grid,
+    }
+
+
+@query(
+    "q08",
+    f"""WITH {GOODS_SQL}, {STORES_SQL}, {AGENTS}
+    SELECT i.dt, i.order_id, i.line_no, i.sku_id, g.sku_name, {MERCHANT_SQL}, g.back_category, e.sku_grade, e.packaging,
+      i.store_id, p.province_name, p.grid_id, p.grid_name, CAST(i.qty AS BIGINT) AS ordered_num,
+      CAST(i.amt AS DOUBLE) AS ordered_amt, CAST(CASE WHEN i.linestatus = 'F' THEN i.amt END AS DOUBLE) AS delivered_amt,
+      CAST(i.amt * (1 - i.disc) AS DOUBLE) AS payment_amt, i.mall_id,
+      CASE WHEN a.grid_id IS NOT NULL THEN 'agent' ELSE 'direct' END AS operate_type
+    FROM item i LEFT JOIN place p ON p.dt = i.dt AND p.store_id = i.store_id
+    LEFT JOIN goods g ON g.dt = i.dt AND g.sku_id = i.sku_id
+    LEFT JOIN extra e ON e.dt = i.dt AND e.sku_id = i.sku_id AND e.mall_id = i.mall_id
+    LEFT JOIN agents a ON a.dt = i.dt AND a.mall_id = i.mall_id AND a.grid_id = p.grid_id
+    WHERE i.status <> '{CANCELLED}'""",
+)
+def q08(r: Roles) -> DataFrame:
+    return details.order_item_detail(
+        detail_tables(r), RULES, ORDER_DAYS, HOME_MALL, MERCHANTS, CANCELLED
+    )
+
+
+HOST = "https://media.example.com"
+TICKET_SQL = """tickets AS (SELECT l_orderkey AS ticket_id, l_orderkey AS order_id, MIN(l_partkey) AS sku_id,
+      SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2))) AS expected_amt,
+      MAX(l_linestatus) AS complaint_type,
+      '["/i/' || MIN(l_partkey) || '.jpg","/i/' || MAX(l_partkey) || '.png"]' AS images,
+      '/v/' || MIN(l_partkey) || '.mp4,/v/' || MAX(l_partkey) || '.mov' AS videos
+      FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey)"""
+COMPLAINTS = {"F": "finished", "O": "open"}
+APPLY = {"1-URGENT": "urgent", "2-HIGH": "high"}
+
+
+def ticket_tables(r: Roles) -> dict[str, DataFrame]:
+    lines = r.table("lineitem")
+    part = F.col("l_partkey").cast("string")
+    low, high = F.min("l_partkey").cast("string"), F.max("l_partkey").cast("string")
+    tickets = lines.where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.min("l_partkey").alias("sku_id"),
+        F.sum(money("l_extendedprice") * rate("l_discount")).alias("expected_amt"),
+        F.max("l_linestatus").alias("complaint_type"),
+        F.concat(F.lit('["/i/'), low, F.lit('.jpg","/i/'), high, F.lit('.png"]')).alias("images"),
+        F.concat(F.lit("/v/"), low, F.lit(".mp4,/v/"), high, F.lit(".mov")).alias("videos"),
+    )
+    orders = r.table("orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("store_id"),
+        F.col("o_orderpriority").alias("apply_type"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderdate").alias("create_time"),
+    )
+    malls_of = r.store.select("store_id", "mall_id")
+    return {
+        **detail_tables(r),
+        "ticket": tickets.join(orders, "order_id").join(malls_of, "store_id").withColumn("ticket_id", F.col("order_id")),
+        "reason": lines.select(
+            F.col("l_orderkey").alias("ticket_id"),
+            F.col("l_returnflag").alias("problem_type"),
+            F.concat_ws("-", "l_linestatus", "l_linenumber").alias("point_name"),
+            flag(F.col("l_quantity") > 45).alias("deleted"),
+        ),
+        "track": lines.where("l_returnflag = 'A'").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+            F.concat(F.lit('["/t/'), F.min(part), F.lit('.jpg?watermark=9","/t/'), F.max(part), F.lit('.jpg"]')).alias("track_file"),
+            F.when(F.max("l_linestatus") == "O", "COMPLETE").otherwise("OPEN").alias("deliver_status"),
+        ),
+    }
+
+
+@query(
+    "q07",
+    f"""WITH {GOODS_SQL}, {STORES_SQL}, {AGENTS}, {TICKET_SQL},
+    points AS (SELECT DISTINCT l_orderkey AS ticket_id, l_returnflag AS problem_type,
+      l_linestatus || '-' || l_linenumber AS point_name FROM lineitem WHERE NOT l_quantity > 45),
+    problems AS (SELECT ticket_id, string_agg(problem_type || '=' || names, ';' ORDER BY problem_type) AS problems FROM (
+      SELECT ticket_id, problem_type, string_agg(point_name, ',' ORDER BY point_name) AS names FROM points GROUP BY ALL) GROUP BY ALL),
+    tracks AS (SELECT l_orderkey AS order_id, '"/t/' || MIN(CAST(l_partkey AS VARCHAR)) || '.jpg"|"/t/' || MAX(CAST(l_partkey AS VARCHAR)) || '.jpg"' AS track_files
+      FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_orderkey HAVING MAX(l_linestatus) = 'O')
+    SELECT CAST(o.o_orderdate AS DATE) AS apply_day, t.ticket_id,
+      CASE o.o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'high' ELSE o.o_orderpriority END AS apply_type,
+      t.order_id, t.sku_id, g.sku_name, {MERCHANT_SQL}, g.back_category, e.sku_grade, e.packaging, o.o_custkey AS store_id,
+      p.province_name, p.grid_id, p.grid_name, k.track_files, CAST(t.expected_amt AS DOUBLE) AS expected_amt, b.problems,
+      replace(replace(replace(t.images, '["', '"{HOST}'), '","', '"|"{HOST}'), ']', '') AS images,
+      '"{HOST}' || replace(t.videos, ',', '"|"{HOST}') || '"' AS videos,
+      CASE t.complaint_type WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' END AS complaint_type,
+      o.o_orderstatus AS status, s.mall_id, CASE WHEN a.grid_id IS NOT NULL THEN 'agent' ELSE 'direct' END AS operate_type
+    FROM tickets t JOIN orders o ON o.o_orderkey = t.order_id JOIN store s ON s.store_id = o.o_custkey
+    LEFT JOIN problems b ON b.ticket_id = t.ticket_id LEFT JOIN tracks k ON k.order_id = t.order_id
+    LEFT JOIN place p ON p.dt = CAST(o.o_orderdate AS DATE) AND p.store_id = o.o_custkey
+    LEFT JOIN goods g ON g.dt = CAST(o.o_orderdate AS DATE) AND g.sku_id = t.sku_id
+    LEFT JOIN extra e ON e.dt = CAST(o.o_orderdate AS DATE) AND e.sku_id = t.sku_id AND e.mall_id = s.mall_id
+    LEFT JOIN agents a ON a.dt = CAST(o.o_orderdate AS DATE) AND a.mall_id = s.mall_id AND a.grid_id = p.grid_id
+    WHERE o.o_orderstatus <> '{CANCELLED}'""",
+)
+def q07(r: Roles) -> DataFrame:
+    df = details.after_sale_detail(
+        ticket_tables(r), RULES, ORDER_DAYS, HOME_MALL, HOST, CANCELLED, MERCHANTS, APPLY, COMPLAINTS
+    )
+    entries = F.transform(
+        F.map_entries("problems"), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ","))
+    )
+    lists = {c: F.array_join(c, "|") for c in ("track_files", "images", "videos")}
+    return df.withColumns({**lists, "problems": F.array_join(entries, ";")})
+
+
+def _rolled(measures: list[str], table: str, keys: str, bands: dict[str, tuple[int, int]], days: dict[str, str],
+            day_bands: list[str], horizon: int, window: DateWindow, where: str, amounts: set[str]) -> str:
+    """Spine × facts as the definition says: a theta join, then conditional sums."""
+    cast = lambda m, e: f"CAST({e} AS {'DOUBLE' if m in amounts else 'BIGINT'})"
+    cols = [f"{cast(m, f'SUM(CASE WHEN f.dt = s.dt THEN {m} ELSE 0 END)')} AS {m}" for m in measures]
+    inside = lambda b: f"s.dt - f.dt BETWEEN {bands[b][0]} AND {bands[b][1]}"
+    cols += [
+        f"{cast(m, f'SUM(CASE WHEN {inside(b)} THEN {m} ELSE 0 END)')} AS {m}_{b}"
+        for b in bands if b != "p7" or "p7" not in day_bands or table == "cat_facts" for m in measures
+    ]
+    cols += [
+        f"COUNT(DISTINCT CASE WHEN {inside(b)} AND {cond} THEN f.dt END) AS {n}_{b}"
+        for b in day_bands for n, cond in days.items()
+    ]
+    return f"""SELECT s.dt, {keys}, {', '.join(cols)}
+      FROM (SELECT CAST(UNNEST(generate_series(DATE '{window.first}', DATE '{window.last}', INTERVAL 1 DAY)) AS DATE) AS dt) s
+      JOIN {table} f ON f.dt BETWEEN s.dt - {horizon} AND s.dt WHERE {where} GROUP BY s.dt, {keys}"""
+
+
+Q09_MEASURES = [
+    "exposed_cnt", "ordered_amt", "delivered_amt", "delivered_num", "after_sale_num_quality",
+    "after_sale_num", "refund_quality", "refund_amt", "commission_amt", "ordered_num",
+]
+Q09_AMOUNTS = {"ordered_amt", "delivered_amt", "refund_quality", "refund_amt", "commission_amt"}
+
+
+def _doubles(df: DataFrame, amounts: set[str]) -> DataFrame:
+    names = [c for c in df.columns if any(c == a or c.startswith(a + "_") for a in amounts)]
+    return df.withColumns({c: F.col(c).cast("double") for c in names})
+
+
+@query(
+    "q09",
+    _rolled(
+        Q09_MEASURES, "visit", "store_id", {"d30": (0, 29), "d14": (0, 13), "d7": (0, 6), "p7": (7, 13)},
+        {"exposed_days": "exposed_cnt > 0", "ordered_days": "ordered_num > 0"}, ["d30", "p7", "d7"], 29,
+        EVENT_DAYS, "exposed_cnt + ordered_amt + refund_amt > 0", Q09_AMOUNTS,
+    ),
+)
+def q09(r: Roles) -> DataFrame:
+    return _doubles(stores.store_rolling(r.visit, EVENT_DAYS), Q09_AMOUNTS)
+
+
+Q10_MEASURES = [
+    "merchant_num_onsale", "sku_num_sold", "ordered_amt", "ordered_num", "ordered_store_num",
+    "delivered_amt", "delivered_num", "after_sale_store_num", "refund_amt", "refund_quality",
+]
+Q10_AMOUNTS = {"ordered_amt", "delivered_amt", "refund_quality", "refund_amt"}
+
+
+def category_days(r: Roles) -> DataFrame:
+    """One row per category and day of the home mall's fruit."""
+    rows = r.mall_cat4.where((F.col("mall_id") == HOME_MALL) & (F.col("cat1") == FRUIT))
+    return rows.select("dt", "cat1", "cat4", *Q10_MEASURES)
+
+
+@query(
+    "q10",
+    "WITH cat_facts AS (SELECT * FROM mall_cat4 "
+    f"WHERE mall_id = {HOME_MALL} AND cat1 = '{FRUIT}') "
+    + _rolled(
+        Q10_MEASURES, "cat_facts", "cat1, cat4", {"p7": (7, 13), "d7": (0, 6)},
+        {"ordered_days": "ordered_num > 0"}, ["p7", "d7"], 14, ORDER_DAYS, "TRUE", Q10_AMOUNTS,
+    ),
+)
+def q10(r: Roles) -> DataFrame:
+    return _doubles(stores.category_rolling(category_days(r), ORDER_DAYS), Q10_AMOUNTS)
+
+
+PAYMENT = "amt * (1 - disc)"
+
+
+def payments(r: Roles) -> DataFrame:
+    return r.item.select(
+        "dt", "sku_id", "store_id", "status", (F.col("amt") * (F.lit(1) - F.col("disc"))).alias("payment_amt")
+    )
+
+
+@query(
+    "q11",
+    f"""SELECT f.dt, f.store_id, f.cat1, ordered_num, delivered_num, {', '.join(
+        f"CAST({c} AS DOUBLE) AS {c}" for c in
+        ("ordered_amt", "delivered_amt", "payment_amt", "refund_amt", "refund_quality", "commission_amt"))}
+    FROM store_cat1 f LEFT JOIN (SELECT dt, store_id, cat1, SUM({PAYMENT}) AS payment_amt FROM item
+      WHERE status <> '{CANCELLED}' GROUP BY ALL) p
+    ON p.dt = f.dt AND p.store_id = f.store_id AND p.cat1 = f.cat1 WHERE ordered_num > 0""",
+)
+def q11(r: Roles) -> DataFrame:
+    return malls.store_category_payments(r.store_cat1, payments(r), r.goods_day, ORDER_DAYS, CANCELLED)
+
+
+@query(
+    "q12",
+    f"""SELECT f.dt, merchant_id, cat1, cat4, f.sku_id, ordered_store_num, {', '.join(
+        f"CAST({c} AS DOUBLE) AS {c}" for c in ("delivered_amt", "payment_amt", "refund_amt", "refund_quality"))}
+    FROM sku_day f LEFT JOIN (SELECT dt, sku_id, SUM({PAYMENT}) AS payment_amt FROM item
+      WHERE status <> '{CANCELLED}' GROUP BY ALL) p ON p.dt = f.dt AND p.sku_id = f.sku_id
+    WHERE cat1 = '{FRUIT}' AND ordered_num > 0""",
+)
+def q12(r: Roles) -> DataFrame:
+    return malls.sku_payments(r.sku_day, payments(r), RULES, ORDER_DAYS, CANCELLED)
+
+
+@query(
+    "q13",
+    f"""SELECT dt, merchant_id, cat1, cat4, ordered_store_num, CAST(delivered_amt AS DOUBLE) AS delivered_amt,
+    CAST(refund_amt AS DOUBLE) AS refund_amt FROM merchant_cat4 WHERE cat1 = '{FRUIT}' AND ordered_num > 0""",
+)
+def q13(r: Roles) -> DataFrame:
+    return malls.merchant_category(r.merchant_cat4, RULES, ORDER_DAYS)
+
+
+TRIAL_SKUS = [5, 17, 42, 99, 101]
+
+
+@query(
+    "q14",
+    f"""WITH extra AS (SELECT dt, sku_id, MIN(cat4) AS sku_grade, MIN(mall_id) AS packaging FROM goods_day GROUP BY ALL)
+    SELECT g.dt, g.mall_id, g.sku_id, g.sku_name, e.sku_grade, e.packaging, g.merchant_id, g.cat1 AS back_category,
+      CAST(standard_price AS DOUBLE) AS standard_price, CAST(commission_rate AS DOUBLE) AS commission_rate,
+      ROUND(CAST(standard_price AS DOUBLE) / (1.0::DOUBLE + CAST(commission_rate AS DOUBLE)), 2) AS supply_standard_price,
+      is_up_today, CASE WHEN g.sku_id IN ({', '.join(map(str, TRIAL_SKUS))}) AND g.dt >= DATE '2001-01-01' THEN 1 ELSE 0 END AS in_trial_period,
+      CASE WHEN g.sku_id IN ({', '.join(map(str, TRIAL_SKUS))}) THEN 1 ELSE 0 END AS is_trial_sku
+    FROM goods_card g LEFT JOIN extra e ON e.sku_id = g.sku_id AND e.dt = (SELECT MAX(dt) FROM extra) - 1
+    WHERE g.dt = (SELECT MAX(dt) FROM goods_card) - 1 AND is_up_today + is_sku_valid > 0""",
+)
+def q14(r: Roles) -> DataFrame:
+    extra = r.goods_day.groupBy("dt", "sku_id").agg(
+        F.min("cat4").alias("sku_grade"), F.min("mall_id").alias("packaging")
+    )
+    goods = r.goods_card.withColumnRenamed("cat1", "back_category")
+    return configuration.goods_config(goods, extra, TRIAL_SKUS, date(2001, 1, 1), prices=["standard_price"])
+
+
+REGIONS_SQL = """regions AS (
+    SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name, CAST(NULL AS BIGINT) AS parent_id, 0 AS level, 1 AS used FROM region
+    UNION ALL SELECT n_nationkey, n_name, n_regionkey, 1, 1 FROM nation
+    UNION ALL SELECT c_custkey, mall || c_custkey, c_nationkey, 2, CASE WHEN c_acctbal < 0 THEN 0 ELSE 1 END
+      FROM customer JOIN store ON store_id = c_custkey
+    UNION ALL SELECT o_orderkey, 'ST' || o_orderkey, o_custkey, 3, 1 FROM orders)"""
+
+
+def region_rows(r: Roles) -> DataFrame:
+    """Region, nation, customer and order as one parent-id tree of four levels."""
+    none = F.lit(None).cast("bigint")
+    row = lambda i, n, p, level, used: [
+        i.cast("bigint").alias("id"), n.alias("name"), p.cast("bigint").alias("parent_id"),
+        F.lit(level).alias("level"), used.alias("used"),
+    ]
+    one, c = F.lit(1), F.col
+    customers = r.table("customer").join(r.store.select("store_id", "mall"), c("c_custkey") == c("store_id"))
+    parts = [
+        r.table("region").select(*row(c("r_regionkey"), c("r_name"), none, 0, one)),
+        r.table("nation").select(*row(c("n_nationkey"), c("n_name"), c("n_regionkey"), 1, one)),
+        customers.select(
+            *row(c("c_custkey"), F.concat("mall", c("c_custkey").cast("string")), c("c_nationkey"), 2,
+                 F.when(c("c_acctbal") < 0, 0).otherwise(1))
+        ),
+        r.table("orders").select(
+            *row(c("o_orderkey"), F.concat(F.lit("ST"), c("o_orderkey").cast("string")), c("o_custkey"), 3, one)
+        ),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query(
+    "q15",
+    f"""WITH {REGIONS_SQL}, used AS (SELECT * FROM regions WHERE used = 1)
+    SELECT t.id AS region_id, t.name AS region_name, regexp_replace(t.name, '[0-9]', '', 'g') AS clean_name,
+      a.id AS province_id, a.name AS province_name, b.id AS city_id, b.name AS city_name,
+      t.id AS county_id, t.name AS county_name, CAST(NULL AS BIGINT) AS street_id, CAST(NULL AS VARCHAR) AS street_name,
+      CAST(NULL AS BIGINT) AS address_id, CAST(NULL AS VARCHAR) AS address_name,
+      t.parent_id, t.used AS is_valid, t.level, 'county' AS level_name,
+      CASE WHEN EXISTS (SELECT 1 FROM supplier JOIN grid ON grid_id = s_nationkey WHERE s_acctbal < 0
+        AND grid.mall = regexp_replace(t.name, '[0-9]', '', 'g')) THEN 'agent' ELSE 'self' END AS operate_type
+    FROM used t LEFT JOIN used b ON b.level = 1 AND b.id = t.parent_id
+    LEFT JOIN used a ON a.level = 0 AND a.id = b.parent_id WHERE t.level = 2 AND t.name NOT IN ('ASIA7')""",
+)
+def q15(r: Roles) -> DataFrame:
+    agents = r.table("supplier").join(r.grid, F.col("s_nationkey") == F.col("grid_id")).select(
+        F.concat_ws("-", "mall", "grid_name").alias("grid_name"), flag(F.col("s_acctbal") < 0).alias("status")
+    )
+    return configuration.region_config(region_rows(r), agents, "agent", "self", excluded=["ASIA7"])
+
+
+PILOT_FLAGS = {"buys_3": "Brand#3", "buys_9": "Brand#9"}
+
+
+def pilot_flags(r: Roles) -> DataFrame:
+    """Wide yes/no columns per store and day: one as text, one as a number."""
+    kind = F.col("event_type")
+    return r.table("events").groupBy(
+        F.date_sub(F.to_date("ts"), EVENT_SHIFT_DAYS).alias("dt"),
+        F.concat(F.lit(" "), F.col("user_id").cast("string")).alias("store_id"),
+    ).agg(
+        F.when(F.max(flag(kind == "purchase")) == 1, "是").otherwise("否").alias("buys_3"),
+        F.max(flag(kind == "signup")).alias("buys_9"),
+    )
+
+
+def shifted_rejects(r: Roles) -> DataFrame:
+    return r.reject.withColumn("dt", F.date_sub("dt", EVENT_SHIFT_DAYS))
+
+
+REJECTS_SQL = f"""rejects AS (SELECT DISTINCT dt - {EVENT_SHIFT_DAYS} AS dt, goods_id FROM reject),
+    quality AS (SELECT d.dt, (SELECT COUNT(*) FROM rejects x WHERE x.dt = d.dt) AS n_rejects,
+      (SELECT COUNT(DISTINCT goods_id) FROM rejects x WHERE x.dt = d.dt) AS n_reject_goods,
+      (SELECT COUNT(*) FROM (SELECT goods_id FROM rejects x WHERE x.dt BETWEEN d.dt - 6 AND d.dt
+        GROUP BY goods_id HAVING COUNT(DISTINCT x.dt) > 1)) AS n_repeat_7d
+      FROM (SELECT DISTINCT dt FROM rejects) d)"""
+DIRECT, AGENT = "operate_type = 'direct'", "operate_type = 'agent'"
+SPECIAL, FRUIT_ONLY = "special_label = 'special'", f"cat1 = '{FRUIT}'"
+PLAIN = "special_label IS NULL"
+
+
+def _when_sum(cond: str, value: str) -> str:
+    return f"SUM(CASE WHEN {cond} THEN {value} ELSE 0 END)"
+
+
+_D, _C = "CAST(delivered_amt AS DECIMAL(22,4))", "CAST(commission_amt AS DECIMAL(22,4))"
+Q16_MONEY = {
+    "delivered_direct": _when_sum(DIRECT, _D),
+    "delivered_agent": _when_sum(AGENT, _D),
+    "delivered_treatment": _when_sum("trial_group = 'treatment'", _D),
+    "delivered_control": _when_sum("trial_group = 'control'", _D),
+    **{
+        f"fruit_{what}_{side}{tail}": _when_sum(f"{FRUIT_ONLY} AND {cond}{extra}", value)
+        for side, cond in (("direct", DIRECT), ("agent", AGENT))
+        for what, value in (("commission", _C), ("delivered", _D))
+        for tail, extra in (("", ""), ("_ex", f" AND {PLAIN}"))
+    },
+}
+Q16_COUNTS = {
+    "ordered_agent_special": f"CAST({_when_sum(f'{AGENT} AND {SPECIAL}', 'ordered_num')} AS BIGINT)",
+    "pilot_stores": "CAST(SUM(COALESCE(mark, 0)) AS BIGINT)",
+    "vegetable_direct_stores": f"COUNT(DISTINCT CASE WHEN cat1 IN ({_list(VEGETABLES)}) AND {DIRECT} THEN store_id END)",
+    "special_stores": f"COUNT(DISTINCT CASE WHEN {SPECIAL} AND ordered_num > 0 THEN store_id END)",
+    "pilot_after_sale_stores": "COUNT(DISTINCT CASE WHEN is_pilot = 1 AND is_after_sale = 1 THEN store_id END)",
+    "pilot_rebuy_stores": "COUNT(DISTINCT CASE WHEN is_pilot = 1 AND is_after_sale = 1 AND is_rebuy = 1 THEN store_id END)",
+    "pilot_mark_rebuy_stores": "COUNT(DISTINCT CASE WHEN mark = 1 AND is_rebuy = 1 THEN store_id END)",
+}
+MARKS_SQL = f"""marks AS (SELECT CAST(ts AS DATE) - {EVENT_SHIFT_DAYS} AS dt, user_id, 'Brand#3' AS cat4, 1 AS mark
+      FROM events WHERE event_type = 'purchase' GROUP BY ALL
+    UNION ALL SELECT CAST(ts AS DATE) - {EVENT_SHIFT_DAYS}, user_id, 'Brand#9', 1
+      FROM events WHERE event_type = 'signup' GROUP BY ALL)"""
+PILOT_SQL = f"""pilot AS (SELECT d.dt, {', '.join(f'{e} AS {n}' for n, e in {**Q16_MONEY, **Q16_COUNTS}.items())}
+      FROM (SELECT detail.*, marks.mark FROM detail LEFT JOIN marks
+        ON marks.dt = detail.dt AND marks.user_id = detail.store_id AND marks.cat4 = detail.cat4) d GROUP BY d.dt)"""
+PILOT_COLUMNS = ", ".join(
+    [f"CAST(p.{n} AS DOUBLE) AS {n}" for n in Q16_MONEY]
+    + [f"p.{n}" for n in Q16_COUNTS]
+    + [
+        f"""CASE WHEN p.dt IS NOT NULL THEN COALESCE(CAST(p.fruit_commission_{s} AS DOUBLE)
+        / NULLIF(CAST(p.fruit_delivered_{s} AS DOUBLE), 0), 0) END AS fruit_rate_{s}"""
+        for s in ("direct", "agent", "direct_ex", "agent_ex")
+    ]
+)
+
+
+@query(
+    "q16",
+    f"""WITH {DETAIL}, {Q03_CTES}, {REJECTS_SQL}, {MARKS_SQL}, {PILOT_SQL}
+    SELECT k.*, q.n_rejects, q.n_reject_goods, q.n_repeat_7d, {PILOT_COLUMNS}
+    FROM kpis k LEFT JOIN quality q ON q.dt = k.dt LEFT JOIN pilot p ON p.dt = k.dt""",
+)
+def q16(r: Roles) -> DataFrame:
+    fused = fusion.okr_report(q03(r), shifted_rejects(r), q06(r), pilot_flags(r), PILOT_FLAGS, RULES)
+    return fused.withColumns({n: F.col(n).cast("double") for n in Q16_MONEY}).withColumns(
+        {n: F.col(n).cast("bigint") for n in Q16_COUNTS}
+    )
+
+
+PRICE_DAY = date(2001, 6, 18)
+PRICE_LABELS = pricing.PricingLabels("self", "agent", "down", "same", "up", "on")
+
+
+def pricing_tables(r: Roles) -> dict[str, DataFrame]:
+    """Products = brands, regions = customers, cities = nations."""
+    day = lambda d: F.lit(d)
+    brand = F.substr("p_brand", F.lit(7)).cast("bigint")
+    per_brand = r.table("part").groupBy("p_brand").agg(
+        F.sum("p_size").alias("size"), F.count(F.lit(1)).alias("n"), F.min("p_type").alias("category")
+    )
+    goods = per_brand.select(
+        day(date(2001, 6, 17)).alias("dt"),
+        F.substr("p_brand", F.lit(7)).cast("bigint").alias("goods_id"),
+        F.col("p_brand").alias("goods_code"),
+        F.concat(F.lit("name of "), "p_brand").alias("goods_name"),
+        "category",
+        F.lit(0.0).alias("base_rate"),
+        (F.col("size").cast("double") / F.lit(1000.0)).alias("gross_weight"),
+    )
+    trial = per_brand.where(F.col("p_brand") != "Brand#4").select(
+        day(PRICE_DAY).alias("dt"),
+        F.substr("p_brand", F.lit(7)).cast("bigint").alias("goods_id"),
+        (F.col("n").cast("double") / F.lit(1000.0)).alias("base_rate"),
+    )
+    county = r.table("customer").select(
+        day(PRICE_DAY).alias("dt"),
+        F.col("c_custkey").alias("region_id"),
+        F.col("c_name").alias("region_name"),
+        F.col("c_custkey").alias("county_id"),
+        F.col("c_nationkey").cast("bigint").alias("city_id"),
+        F.when(F.col("c_mktsegment") == "BUILDING", None)
+        .when(F.col("c_mktsegment") == "MACHINERY", "agent-run")
+        .otherwise("self-run")
+        .alias("operation_type"),
+    )
+    rates = r.table("supplier").join(r.table("part"), F.col("s_suppkey") == F.col("p_partkey")).select(
+        brand.cast("string").alias("goods_id"),
+        F.col("s_nationkey").alias("city_id"),
+        F.when(F.col("p_size") > 25, "g1").alias("trial_group"),
+        F.when(F.col("s_acctbal") > 0, F.col("s_acctbal") / F.lit(100000.0)).alias("self_rate"),
+        (F.col("s_acctbal") / F.lit(200000.0)).alias("agent_rate"),
+        F.lit("2001-06-01").alias("start_day"),
+        F.when(F.col("p_size") > 10, "2001-06-30").otherwise("2001-06-10").alias("end_day"),
+        F.col("s_suppkey").alias("seq"),
+    )
+    lowest = r.table("customer").groupBy("c_nationkey").agg(F.min("c_custkey").alias("first_county"))
+    logistics = r.table("nation").join(lowest, F.col("n_nationkey") == F.col("c_nationkey"), "left").where(
+        F.col("n_regionkey") != 4
+    ).select(
+        day(PRICE_DAY).alias("dt"),
+        F.col("n_nationkey").cast("bigint").alias("city_id"),
+        (F.col("n_nationkey") / F.lit(1000.0)).alias("fee_rate"),
+        F.when(F.col("n_regionkey") == 0, '{"broken')
+        .otherwise(F.concat(F.lit('{"'), F.col("first_county").cast("string"), F.lit('": 0.5}')))
+        .alias("county_fee_json"),
+    )
+    return {"goods": goods, "trial_goods": trial, "county": county, "trial_rate": rates, "logistics": logistics}
+
+
+PRICING_SQL = """brands AS (SELECT p_brand, CAST(substr(p_brand, 7) AS BIGINT) AS goods_id, MIN(p_type) AS category,
+      CAST(SUM(p_size) AS DOUBLE) / 1000 AS gross_weight, CAST(COUNT(*) AS DOUBLE) / 1000 AS base_rate
+      FROM part WHERE p_brand <> 'Brand#4' GROUP BY p_brand),
+    rates AS (SELECT CAST(substr(p_brand, 7) AS BIGINT) AS goods_id, s_nationkey AS city_id,
+      CASE WHEN p_size > 25 THEN 'g1' ELSE '' END AS trial_group,
+      CASE WHEN s_acctbal > 0 THEN s_acctbal / 100000 END AS self_rate, s_acctbal / 200000 AS agent_rate
+      FROM supplier JOIN part ON p_partkey = s_suppkey WHERE p_size > 10
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY p_brand, s_nationkey ORDER BY s_suppkey DESC) = 1),
+    fees AS (SELECT n_nationkey, CAST(n_nationkey AS DOUBLE) / 1000 AS fee_rate,
+      CASE WHEN n_regionkey <> 0 THEN (SELECT MIN(c_custkey) FROM customer WHERE c_nationkey = n_nationkey) END AS first_county
+      FROM nation WHERE n_regionkey <> 4),
+    pairs AS (SELECT c_custkey AS region_id, c_name AS region_name, b.p_brand AS goods_code,
+      'name of ' || b.p_brand AS goods_name, b.goods_id, b.category, b.base_rate, b.gross_weight,
+      CASE WHEN c_custkey = f.first_county THEN 0.5 ELSE f.fee_rate END AS fee,
+      CASE c_mktsegment WHEN 'BUILDING' THEN NULL WHEN 'MACHINERY' THEN t.agent_rate ELSE t.self_rate END AS rate, t.trial_group AS grp
+      FROM brands b CROSS JOIN customer LEFT JOIN fees f ON f.n_nationkey = c_nationkey
+      LEFT JOIN rates t ON t.goods_id = b.goods_id AND t.city_id = c_nationkey)"""
+
+
+@query(
+    "q17",
+    f"""WITH {PRICING_SQL}
+    SELECT region_id, region_name, goods_code, goods_name,
+      CASE WHEN rate IS NULL THEN 'up' WHEN rate - base_rate < 0 THEN 'down' WHEN rate = base_rate THEN 'same' ELSE 'up' END AS direction,
+      CAST(NULL AS DOUBLE) AS adjustment, 'on' AS status, abs(rate - base_rate) * 100 AS ratio,
+      CASE WHEN rate IS NULL THEN fee * gross_weight END AS value, goods_id, category,
+      CASE WHEN rate IS NULL THEN 0 ELSE 1 END AS is_trial, CASE WHEN rate IS NULL THEN '' ELSE grp END AS trial_group
+    FROM pairs WHERE rate IS NOT NULL OR (fee IS NOT NULL AND gross_weight IS NOT NULL)""",
+)
+def q17(r: Roles) -> DataFrame:
+    return pricing.pricing_plan(pricing_tables(r), PRICE_DAY, PRICE_LABELS)

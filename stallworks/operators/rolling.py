@@ -101,14 +101,15 @@ def rolling_by_spine(
     by_key = Window.partitionBy(*keys).orderBy(day)
     first, last = F.lit(window.first), F.lit(window.last)
     fact = F.col(day)
+    near_fact = (F.lag(day) if forward else F.lead(day)).over(by_key)
+    base = base.withColumn("__near", near_fact)
+    near = F.col("__near")
     if forward:
-        prev = F.lag(day).over(by_key)
-        low = F.greatest(F.date_add(fact, -horizon), F.coalesce(F.date_add(prev, 1), first), first)
+        low = F.greatest(F.date_add(fact, -horizon), F.coalesce(F.date_add(near, 1), first), first)
         high = F.least(F.date_add(fact, -1), last)
     else:
-        nxt = F.lead(day).over(by_key)
         low = F.greatest(F.date_add(fact, 1), first)
-        high = F.least(F.date_add(fact, horizon), F.coalesce(F.date_add(nxt, -1), last), last)
+        high = F.least(F.date_add(fact, horizon), F.coalesce(F.date_add(near, -1), last), last)
     gap_days = F.when(low <= high, F.sequence(low, high, F.expr("interval 1 day")))
     no_days = F.array().cast("array<date>")
     dense = base.withColumn(
@@ -152,9 +153,8 @@ def repeat_entities(
     """
     days = df.where(F.col(entity).isNotNull()).select(entity, day).distinct()
     by_entity = Window.partitionBy(entity).orderBy(day)
-    prev, nxt = F.lag(day).over(by_entity), F.lead(day).over(by_entity)
-    reach = F.date_add(prev, span - 1)
-    until = F.least(reach, F.date_add(nxt, -1))  # least() ignores a missing next day
+    reach = F.date_add(F.lag(day).over(by_entity), span - 1)
+    until = F.least(reach, F.date_add(F.lead(day).over(by_entity), -1))  # no next day: reach
     hits = (
         days.select(day, reach.alias("__reach"), until.alias("__until"))
         .where((F.col("__reach") >= F.col(day)) & (F.col("__until") >= F.col(day)))
