@@ -557,6 +557,7 @@ def with_roles(sql: str) -> str:
         return sql.strip()
     ctes = ",\n".join(f"{n} AS ({ROLE_SQL[n]})" for n in needed)
     body = sql.strip()
-    if body.upper().startswith("WITH "):
-        return f"WITH {ctes},\n{body[5:]}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(start):
+            return f"{start}{ctes},\n{body[len(start):]}"
     return f"WITH {ctes}\n{body}"
