@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.values import flag
-from ..operators.joins import harmonised  # noqa: F401  (re-exported for tests)
 from ..params import DateWindow
 from ..plans.reports import configuration, details, fusion, malls, pricing, stores
-from ..plans.reports.common import upgrade_stat  # noqa: F401
 from ..plans.rules import Rules
 from .registry import query
 from .roles import (
@@ -63,25 +62,32 @@ ACTIVE = "ordered_num + delivered_num + after_sale_num + rebuy_days > 0"
 AGENTS = "agents AS (SELECT DISTINCT dt, mall_id, grid_id FROM agent_grid WHERE status = 1)"
 
 
-def report_tables(r: Roles) -> dict[str, DataFrame]:
-    return {
-        "mall_cat4": r.mall_cat4,
-        "mall_cat1": r.mall_cat1,
-        "mall_day": r.mall_day,
-        "malls": r.mall,
-        "sku_mall": r.sku_mall,
-        "complaint": r.complaint,
-        "ticket": r.ticket,
-        "orders": r.orders,
-        "goods": r.goods_day,
-        "goods_card": r.goods_card,
-        "flow": r.flow,
-        "store_cat4": r.store_cat4,
-        "store_dim": r.store_dim,
-        "agent_grid": r.agent_grid,
-        "grid_day": r.grid_day,
+class ReportTables(Mapping):
+    """Report inputs by name; a role is only built when a report asks for it."""
+
+    ROLES = {
+        "mall_cat4": "mall_cat4", "mall_cat1": "mall_cat1", "mall_day": "mall_day", "malls": "mall",
+        "sku_mall": "sku_mall", "complaint": "complaint", "ticket": "ticket", "orders": "orders",
+        "goods": "goods_day", "goods_card": "goods_card", "flow": "flow", "store_cat4": "store_cat4",
+        "store_dim": "store_dim", "agent_grid": "agent_grid", "grid_day": "grid_day",
     }
 
+    def __init__(self, roles: Roles):
+        self.roles = roles
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self.roles, self.ROLES[name])
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.ROLES)
+
+    def __len__(self) -> int:
+        return len(self.ROLES)
+
+
+def report_tables(r: Roles) -> Mapping[str, DataFrame]:
+    return ReportTables(r)
+
 
 def _ratio(a: str, b: str, digits: int = 5) -> str:
     return f"ROUND(COALESCE(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0), 0), {digits})"

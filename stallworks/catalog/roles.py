@@ -50,9 +50,13 @@ class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        """A supplied table. Opened once: finding its schema is a job of its own."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def item(self) -> DataFrame:

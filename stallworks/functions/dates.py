@@ -72,7 +72,8 @@ def day_to_millis(c: ColumnLike) -> Column:
 def epoch_to_millis(c: ColumnLike) -> Column:
     """Number holding epoch seconds or milliseconds to milliseconds."""
     n = as_col(c)
-    return F.when(n > SECONDS_LIMIT, n.cast("bigint")).otherwise((n * 1000).cast("bigint"))
+    thousand = F.lit(1000).cast("bigint")
+    return F.when(n > SECONDS_LIMIT, n.cast("bigint")).otherwise((n * thousand).cast("bigint"))
 
 
 def value_to_millis(c: ColumnLike, data_type: T.DataType) -> Column:

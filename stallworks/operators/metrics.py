@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -44,52 +43,48 @@ def _entity_name(entity: Column | str) -> str:
     return entity if isinstance(entity, str) else str(entity)
 
 
-def _two_level(df: DataFrame, by: Sequence[str], metrics: Metrics, names: list[str]) -> DataFrame:
-    entity = metrics.distincts[names[0]][0]
-    entity_col = F.col(entity) if isinstance(entity, str) else entity
-    sums = [F.sum(e).alias(a) for a, e in metrics.sums.items()]
-    maxima = [F.max(e).alias(a) for a, e in metrics.maxima.items()]
-    marks = []
-    for name in names:
-        cond = metrics.distincts[name][1]
-        marks.append(F.max(F.lit(1) if cond is None else flag(cond)).alias(name))
-    first = df.groupBy(*by, entity_col.alias("__entity")).agg(*sums, *maxima, *marks)
-    known = F.col("__entity").isNotNull()
-    return first.groupBy(*by).agg(
-        *[F.sum(a).alias(a) for a in metrics.sums],
-        *[F.max(a).alias(a) for a in metrics.maxima],
-        *[F.sum(F.when(known, F.col(n)).otherwise(F.lit(0))).cast("bigint").alias(n) for n in names],
-    )
-
-
 def aggregate(df: DataFrame, by: Sequence[str], metrics: Metrics) -> DataFrame:
-    """Group ``df`` and compute every metric exactly."""
+    """Group ``df`` and compute every metric exactly, reading the input once.
+
+    Entities of different kinds share the pass: a row is copied once per kind, and each
+    copy keeps the key of its own kind only. Sums and maxima ride on the first kind.
+    """
     by = list(by)
-    groups: dict[str, list[str]] = {}
+    kinds: dict[str, list[str]] = {}
     for name, (entity, _) in metrics.distincts.items():
-        groups.setdefault(_entity_name(entity), []).append(name)
-    if not groups:
+        kinds.setdefault(_entity_name(entity), []).append(name)
+    if not kinds:
         return df.groupBy(*by).agg(
             *[F.sum(e).alias(a) for a, e in metrics.sums.items()],
             *[F.max(e).alias(a) for a, e in metrics.maxima.items()],
         )
-    parts = []
-    for i, names in enumerate(groups.values()):
-        own = Metrics(
-            metrics.sums if i == 0 else {}, metrics.maxima if i == 0 else {}, metrics.distincts
-        )
-        parts.append(_two_level(df, by, own, names))
-    result = reduce(lambda a, b: join_groups(a, b, by), parts)
-    return result.select(*by, *metrics.names())
-
-
-def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join two aggregates on their group keys; null keys are a group like any other."""
-    renamed = right.select(
-        *[F.col(c).alias(f"__{c}") for c in by], *[c for c in right.columns if c not in by]
+    entities = [metrics.distincts[names[0]][0] for names in kinds.values()]
+    columns = [F.col(e) if isinstance(e, str) else e for e in entities]
+    if len(kinds) == 1:
+        of_kind = lambda i, c: c
+        keys = [columns[0].alias("__e0")]
+        rows = df
+    else:
+        kind = F.col("__kind")
+        of_kind = lambda i, c: F.when(kind == i, c)
+        keys = [of_kind(i, c).alias(f"__e{i}") for i, c in enumerate(columns)] + [kind]
+        rows = df.withColumn("__kind", F.explode(F.array(*[F.lit(i) for i in range(len(kinds))])))
+    marks = []
+    for i, names in enumerate(kinds.values()):
+        for name in names:
+            cond = metrics.distincts[name][1]
+            met = columns[i].isNotNull() if cond is None else cond & columns[i].isNotNull()
+            marks.append(F.max(F.coalesce(of_kind(i, flag(met)), F.lit(0))).alias(name))
+    first = rows.groupBy(*by, *keys).agg(
+        *[F.sum(of_kind(0, e)).alias(a) for a, e in metrics.sums.items()],
+        *[F.max(of_kind(0, e)).alias(a) for a, e in metrics.maxima.items()],
+        *marks,
+    )
+    return first.groupBy(*by).agg(
+        *[F.sum(a).alias(a) for a in metrics.sums],
+        *[F.max(a).alias(a) for a in metrics.maxima],
+        *[F.sum(n).cast("bigint").alias(n) for n in metrics.distincts],
     )
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by])
-    return left.join(renamed, cond, how).drop(*[f"__{c}" for c in by])
 
 
 def pick_preferred(

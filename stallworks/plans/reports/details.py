@@ -7,7 +7,7 @@ splits its partition of the fact side.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,7 +37,7 @@ def _agents(agent_grid: DataFrame, window: DateWindow, lookback: int) -> DataFra
 
 
 def order_item_detail(
-    t: dict[str, DataFrame],
+    t: Mapping[str, DataFrame],
     rules: Rules,
     window: DateWindow,
     home_mall: int,
@@ -63,7 +63,7 @@ def order_item_detail(
 
 
 def after_sale_detail(
-    t: dict[str, DataFrame],
+    t: Mapping[str, DataFrame],
     rules: Rules,
     window: DateWindow,
     home_mall: int,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ...functions.dates import is_month_end, month_key
@@ -32,7 +34,7 @@ def _count(c: str) -> Column:
     return nz(F.col(c).cast("bigint")).alias(c)
 
 
-def _enriched(t: dict[str, DataFrame], rules: Rules, window: DateWindow, keep: Column | None) -> DataFrame:
+def _enriched(t: Mapping[str, DataFrame], rules: Rules, window: DateWindow, keep: Column | None) -> DataFrame:
     ranked = ranked_cat4(t["mall_cat4"], t["mall_cat1"], t["mall_day"], t["malls"], window, keep)
     skus = target_skus(t["sku_mall"], t["mall_cat1"], rules, window)
     other = other_complaints(t["complaint"], rules, window)
@@ -48,7 +50,7 @@ def _times(a: str, b: str) -> Column:
 
 
 def category_kpis(
-    t: dict[str, DataFrame], rules: Rules, window: DateWindow, keep: Column | None = None
+    t: Mapping[str, DataFrame], rules: Rules, window: DateWindow, keep: Column | None = None
 ) -> DataFrame:
     """Level-1 category KPIs per day and mall.
 
@@ -103,7 +105,7 @@ def category_kpis(
 
 
 def mall_kpis(
-    t: dict[str, DataFrame], rules: Rules, window: DateWindow, keep: Column | None = None
+    t: Mapping[str, DataFrame], rules: Rules, window: DateWindow, keep: Column | None = None
 ) -> DataFrame:
     """Mall KPIs per day with rounded, null-safe ratios."""
     rows = _enriched(t, rules, window, keep)
@@ -180,7 +182,7 @@ def card_updates(goods: DataFrame, window: DateWindow) -> DataFrame:
 
 
 def category4_stat(
-    t: dict[str, DataFrame], rules: Rules, window: DateWindow, keep: Column | None = None
+    t: Mapping[str, DataFrame], rules: Rules, window: DateWindow, keep: Column | None = None
 ) -> DataFrame:
     """Level-4 category detail with ranks and shelf changes."""
     ranked = ranked_cat4(t["mall_cat4"], t["mall_cat1"], t["mall_day"], t["malls"], window, keep)

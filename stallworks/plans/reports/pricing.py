@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
@@ -54,7 +55,7 @@ def with_fee(regions: DataFrame, logistics: DataFrame, day: date) -> DataFrame:
 
 
 def pricing_plan(
-    t: dict[str, DataFrame],
+    t: Mapping[str, DataFrame],
     day: date,
     labels: PricingLabels = PricingLabels(),
     rate_order: str = "seq",

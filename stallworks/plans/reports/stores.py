@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,7 +34,7 @@ def active_agent_grids(agent_grid: DataFrame, window: DateWindow) -> DataFrame:
 
 
 def sales_rep_kpis(
-    t: dict[str, DataFrame], rules: Rules, window: DateWindow, home_mall: int
+    t: Mapping[str, DataFrame], rules: Rules, window: DateWindow, home_mall: int
 ) -> DataFrame:
     """Sales-rep KPIs per day, mall and kind of grid.
 
@@ -110,7 +110,7 @@ def trial_group(county: str, grid_name: str, rules: Rules) -> Column:
 
 
 def store_category_detail(
-    t: dict[str, DataFrame], rules: Rules, window: DateWindow
+    t: Mapping[str, DataFrame], rules: Rules, window: DateWindow
 ) -> DataFrame:
     """Store × level-4 category feed with trial, pilot, after-sale and rebuy marks."""
     facts = active_store_facts(t["store_cat4"], window)

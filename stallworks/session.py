@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -23,9 +24,30 @@ RECOMMENDED = {
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }
 
+#: Settings a session must be opened with. Recording the call site of every column
+#: expression makes wide plans slow to build.
+STATIC = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+    """A local session for tests, comparisons and benchmarks. No web page is served."""
+    builder = (
+        SparkSession.builder.master(f"local[{cpus}]")
+        .appName("stallworks")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", memory)
+        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    )
+    for key, value in {**RECOMMENDED, **STATIC}.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
 def apply_recommended(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL settings above on a session that is already open."""
     for key, value in RECOMMENDED.items():
@@ -42,12 +64,14 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_KEY, None)
     if configured:
         return configured.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="stallworks-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="stallworks-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -66,23 +66,14 @@ def compare(spark, con, name, query, sf_dir) -> tuple[bool, str]:
 
 
 def main() -> int:
-    from pyspark.sql import SparkSession
-
     from stallworks.catalog import REGISTRY
+    from stallworks.session import local_session
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "8g")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark = local_session()
     con = connect(args.sf)
     bad = 0
     for name, query in REGISTRY.items():
