@@ -269,7 +269,7 @@ def rt01(r: Roles) -> DataFrame:
         Route("daily", "result", sink("daily"), steps=[("daily", _daily)]),
         Route("broken", "result", sink("broken"), steps=[("row key", lambda df: with_row_key(df, ["shop_id"]))]),
         Route("errors", "result", sink("errors"), steps=[("errors", lambda df: df.where("event_type = 'error'"))]),
-        Route("unknown", "mc:absent", sink("unknown")),
+        Route("unknown", "warehouse:absent", sink("unknown")),
         Route("off", "result", sink("off"), enabled=False),
     ]
     results = routing.run_routes({"result": r.table("events")}, routes, fail=False)

@@ -182,12 +182,13 @@ def src09(r: Roles) -> DataFrame:
 
 @query(
     "src10",
-    "SELECT d.dummy, COUNT(*) AS n FROM (VALUES (1)) AS d(dummy), orders GROUP BY d.dummy",
+    "SELECT 'constant' AS source, CAST(d.dummy AS BIGINT) AS n FROM (VALUES (1)) AS d(dummy) UNION ALL SELECT 'orders', COUNT(*) FROM orders",
 )
 def src10(r: Roles) -> DataFrame:
     """The one-row relation next to a table's row count."""
-    counted = r.table("orders").agg(F.count(F.lit(1)).alias("n")).withColumn("dummy", F.lit(1))
-    return tables.one_row(r.spark).join(counted, "dummy")
+    constant = tables.one_row(r.spark).select(F.lit("constant").alias("source"), F.col("dummy").cast("bigint").alias("n"))
+    counted = r.table("orders").agg(F.count(F.lit(1)).alias("n")).select(F.lit("orders").alias("source"), "n")
+    return constant.unionByName(counted)
 
 
 @query(

@@ -103,14 +103,17 @@ def override_rate(overrides_json: Column, key: Column, default: Column) -> Colum
     return F.coalesce(F.try_element_at(parsed, key.cast("string")), default)
 
 
-def grid_product(left: DataFrame, right: DataFrame, blocks: int = 16) -> DataFrame:
+def grid_product(left: DataFrame, right: DataFrame, blocks: int | None = None) -> DataFrame:
     """Every left row with every right row, as an equi-join on a block number.
 
-    For configuration grids whose product is the wanted result. The right side is
-    spread over ``blocks`` blocks by its content and the left side copied once per
-    block, so the work splits into ``blocks`` joinable parts instead of a cartesian
-    pairing of partitions.
+    For configuration grids whose product is the wanted result; ``left`` is the shorter
+    side. The right side is spread over the blocks by its content and the left side
+    copied once per block, so the work splits into as many joinable parts as there are
+    shuffle partitions instead of a cartesian pairing. While the copies stay under the
+    broadcast threshold, the right side is not shuffled at all.
     """
+    if blocks is None:
+        blocks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     block = F.pmod(F.xxhash64(*right.columns), F.lit(blocks)).cast("int")
     spread = right.withColumn("__block", block)
     copied = left.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

@@ -148,10 +148,10 @@ def test_grid_product_is_whole_and_not_cartesian(spark):
 @pytest.mark.parametrize("how", ["left", "right", "inner", "outer", "cross"])
 def test_declarative_merge_row_counts(spark, how):
     pool = {
-        "lark:a": spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k long, v string"),
-        "mc:b": spark.createDataFrame([(1, "p"), (3, "q"), (None, "r")], "k long, v string"),
+        "config:a": spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k long, v string"),
+        "warehouse:b": spark.createDataFrame([(1, "p"), (3, "q"), (None, "r")], "k long, v string"),
     }
-    spec = {"left": "lark:a", "right": "mc:b", "how": how, "suffixes": ("_a", "_b")}
+    spec = {"left": "config:a", "right": "warehouse:b", "how": how, "suffixes": ("_a", "_b")}
     if how != "cross":
         spec["on"] = "k"
     out = joins.declarative_merge(pool, spec)
@@ -160,13 +160,13 @@ def test_declarative_merge_row_counts(spark, how):
 
 
 def test_declarative_merge_refuses_bad_specs(spark):
-    pool = {"lark:a": spark.range(1)}
+    pool = {"config:a": spark.range(1)}
     with pytest.raises(KeyError):
-        joins.declarative_merge(pool, {"left": "lark:a", "right": "mc:none", "on": "id"})
+        joins.declarative_merge(pool, {"left": "config:a", "right": "warehouse:none", "on": "id"})
     with pytest.raises(ValueError):
-        joins.declarative_merge(pool, {"left": "lark:a", "right": "lark:a"})
+        joins.declarative_merge(pool, {"left": "config:a", "right": "config:a"})
     with pytest.raises(ValueError):
-        joins.declarative_merge(pool, {"right": "lark:a", "on": "id"})
+        joins.declarative_merge(pool, {"right": "config:a", "on": "id"})
 
 
 def test_duplicate_dimension_keys_are_found(spark):

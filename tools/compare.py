@@ -33,9 +33,9 @@ def rows_of(columns: list[str], rows) -> Counter:
     return Counter(tuple(repr(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, con, name, query, sf_dir) -> tuple[bool, str]:
+def compare(spark, con, query, sf_dir, df=None) -> tuple[bool, str]:
     started = time.time()
-    df = query.run(spark, sf_dir)
+    df = query.run(spark, sf_dir) if df is None else df
     got_columns = df.columns
     got = rows_of(got_columns, [tuple(r) for r in df.collect()])
     took = time.time() - started
@@ -80,7 +80,7 @@ def main() -> int:
         if args.names and not any(name == n or (n.endswith("*") and name.startswith(n[:-1])) for n in args.names):
             continue
         try:
-            ok, text = compare(spark, con, name, query, args.sf)
+            ok, text = compare(spark, con, query, args.sf)
         except Exception as error:
             ok, text = False, f"{type(error).__name__}: {str(error)[:1500]}"
         bad += not ok
