@@ -49,7 +49,7 @@ def jon02(r: Roles) -> DataFrame:
     from ..sources.tables import scan_window
 
     right = scan_window(r.mall_cat1, "dt", LATE)
-    left = r.mall_cat4.select("dt", "mall_id", "cat1", F.col("delivered_amt").cast("double").alias("delivered_amt"))
+    left = r.mall_cat4_with("delivered_amt").select("dt", "mall_id", "cat1", F.col("delivered_amt").cast("double").alias("delivered_amt"))
     return left.join(right, ["dt", "mall_id", "cat1"], "left")
 
 
@@ -59,8 +59,10 @@ def jon02(r: Roles) -> DataFrame:
     LEFT JOIN goods_card g ON g.dt = i.dt AND g.mall_id = i.mall_id AND g.sku_id = i.sku_id""",
 )
 def jon03(r: Roles) -> DataFrame:
+    """Goods of the item's own day; keys above 2 % of the items are spread first."""
     items = r.item.select("dt", "order_id", "mall_id", "sku_id")
-    return joins.snapshot_join(items, r.goods_card, ["mall_id", "sku_id"], ["merit", "is_up_today"]).drop("mall_id")
+    attributes = ["merit", "is_up_today"]
+    return joins.snapshot_join(items, r.goods_card, ["mall_id", "sku_id"], attributes, hot_share=0.02).drop("mall_id")
 
 
 @query(

@@ -190,7 +190,7 @@ def flt07(r: Roles) -> DataFrame:
 )
 def flt08(r: Roles) -> DataFrame:
     ranked = ranking.rank_then_keep(
-        r.mall_cat4, ["dt", "cat1", "cat4"], {"amt_rank": "delivered_amt"}, ["mall_id"], F.col("mall_id") == HOME_MALL
+        r.mall_cat4_with("delivered_amt"), ["dt", "cat1", "cat4"], {"amt_rank": "delivered_amt"}, ["mall_id"], F.col("mall_id") == HOME_MALL
     )
     return ranked.select("dt", "cat1", "cat4", "mall_id", F.col("amt_rank").cast("bigint").alias("amt_rank"))
 

@@ -65,8 +65,12 @@ AGENTS = "agents AS (SELECT DISTINCT dt, mall_id, grid_id FROM agent_grid WHERE
 class ReportTables(Mapping):
     """Report inputs by name; a role is only built when a report asks for it."""
 
+    CATEGORY_MEASURES = (
+        "delivered_amt", "refund_amt", "delivered_num", "after_sale_num", "order_cnt", "ordered_store_num",
+        "ordered_store_num_old", "exposed_store_num_old", "sku_num_onsale", "sku_num_sold",
+    )
     ROLES = {
-        "mall_cat4": "mall_cat4", "mall_cat1": "mall_cat1", "mall_day": "mall_day", "malls": "mall",
+        "mall_cat1": "mall_cat1", "mall_day": "mall_day", "malls": "mall",
         "sku_mall": "sku_mall", "complaint": "complaint", "ticket": "ticket", "orders": "orders",
         "goods": "goods_day", "goods_card": "goods_card", "flow": "flow", "store_cat4": "store_cat4",
         "store_dim": "store_dim", "agent_grid": "agent_grid", "grid_day": "grid_day",
@@ -76,13 +80,15 @@ class ReportTables(Mapping):
         self.roles = roles
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name == "mall_cat4":
+            return self.roles.mall_cat4_with(*self.CATEGORY_MEASURES)
         return getattr(self.roles, self.ROLES[name])
 
     def __iter__(self) -> Iterator[str]:
-        return iter(self.ROLES)
+        return iter(("mall_cat4", *self.ROLES))
 
     def __len__(self) -> int:
-        return len(self.ROLES)
+        return len(self.ROLES) + 1
 
 
 def report_tables(r: Roles) -> Mapping[str, DataFrame]:
@@ -294,7 +300,7 @@ def q04(r: Roles) -> DataFrame:
     FROM complaint c LEFT JOIN mall_cat4 b ON b.dt = c.dt AND b.mall_id = c.mall_id AND b.cat1 = c.cat1 AND b.cat4 = c.cat4""",
 )
 def q05(r: Roles) -> DataFrame:
-    return malls.complaint_ratio_rank(r.complaint, r.mall_cat4, ORDER_DAYS)
+    return malls.complaint_ratio_rank(r.complaint, r.mall_cat4_with("delivered_amt"), ORDER_DAYS)
 
 
 TREATED = "regexp_matches(p.county_name, 'NATION_1|NATION_2')"
@@ -515,7 +521,7 @@ Q10_AMOUNTS = {"ordered_amt", "delivered_amt", "refund_quality", "refund_amt"}
 
 def category_days(r: Roles) -> DataFrame:
     """One row per category and day of the home mall's fruit."""
-    rows = r.mall_cat4.where((F.col("mall_id") == HOME_MALL) & (F.col("cat1") == FRUIT))
+    rows = r.mall_cat4_with(*Q10_MEASURES).where((F.col("mall_id") == HOME_MALL) & (F.col("cat1") == FRUIT))
     return rows.select("dt", "cat1", "cat4", *Q10_MEASURES)
 
 

@@ -144,33 +144,37 @@ class Roles:
 
     @cached_property
     def mall_cat4(self) -> DataFrame:
+        return self.mall_cat4_with()
+
+    def mall_cat4_with(self, *names: str) -> DataFrame:
+        """Mall × level-4 category per day, with the named measures or all of them.
+
+        Every kind of entity that is counted costs a copy of the rows, so a report names
+        what it reads.
+        """
         ordered = F.col("linestatus") == "O"
+        sums = {
+            "delivered_amt": F.col("amt"),
+            "refund_amt": refund(),
+            "refund_quality": refund_quality(),
+            "ordered_amt": F.when(ordered, F.col("amt")).otherwise(0),
+            "delivered_num": F.lit(1),
+            "ordered_num": flag(ordered),
+            "after_sale_num": flag(F.col("returnflag") == "R"),
+            "order_cnt": F.lit(1),
+        }
+        distincts = {
+            "ordered_store_num": ("store_id", ordered),
+            "ordered_store_num_old": ("store_id", ordered & (F.col("status") == "F")),
+            "exposed_store_num_old": ("store_id", F.col("status") == "F"),
+            "after_sale_store_num": ("store_id", F.col("returnflag") == "R"),
+            "sku_num_onsale": ("sku_id", None),
+            "sku_num_sold": ("sku_id", ordered),
+            "merchant_num_onsale": ("merchant_id", None),
+        }
+        wanted = lambda d: {n: e for n, e in d.items() if not names or n in names}
         by = ["dt", "mall_id", "mall", "cat1", "cat4"]
-        return aggregate(
-            self.item,
-            by,
-            Metrics(
-                sums={
-                    "delivered_amt": F.col("amt"),
-                    "refund_amt": refund(),
-                    "refund_quality": refund_quality(),
-                    "ordered_amt": F.when(ordered, F.col("amt")).otherwise(0),
-                    "delivered_num": F.lit(1),
-                    "ordered_num": flag(ordered),
-                    "after_sale_num": flag(F.col("returnflag") == "R"),
-                    "order_cnt": F.lit(1),
-                },
-                distincts={
-                    "ordered_store_num": ("store_id", ordered),
-                    "ordered_store_num_old": ("store_id", ordered & (F.col("status") == "F")),
-                    "exposed_store_num_old": ("store_id", F.col("status") == "F"),
-                    "after_sale_store_num": ("store_id", F.col("returnflag") == "R"),
-                    "sku_num_onsale": ("sku_id", None),
-                    "sku_num_sold": ("sku_id", ordered),
-                    "merchant_num_onsale": ("merchant_id", None),
-                },
-            ),
-        )
+        return aggregate(self.item, by, Metrics(sums=wanted(sums), distincts=wanted(distincts)))
 
     @cached_property
     def mall_cat1(self) -> DataFrame:

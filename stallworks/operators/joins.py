@@ -25,9 +25,17 @@ def snapshot_join(
     attributes: Sequence[str],
     day: str = "dt",
     how: str = "left",
+    hot_share: float | None = None,
 ) -> DataFrame:
-    """Attributes of the same day's snapshot: the day is always part of the key."""
-    return fact.join(dim.select(day, *keys, *attributes), [day, *keys], how)
+    """Attributes of the same day's snapshot: the day is always part of the key.
+
+    With ``hot_share`` the facts of keys above that share are spread before the join,
+    for sessions where AQE may not split them.
+    """
+    snapshot = dim.select(day, *keys, *attributes)
+    if hot_share is not None:
+        return hot_key_join(fact, snapshot, [day, *keys], how, hot_share)
+    return fact.join(snapshot, [day, *keys], how)
 
 
 def duplicate_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:

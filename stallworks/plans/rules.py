@@ -21,6 +21,16 @@ COMPLAINT_TYPES = {
     "INSPECTION_REJECTION": "现场拒收",
     "OTHERS_MILK": "奶品问题",
 }
+#: The columns that identify a row of each detail route.
+ROW_KEYS = {
+    "after_sale_detail": ("ticket_id",),
+    "order_detail": ("order_item_id",),
+    "store_stat_detail": ("store_id", "dt"),
+    "store_cat1_stat_detail": ("store_id", "cat1", "dt"),
+    "cat4_stat_detail": ("cat1", "cat4", "dt"),
+    "mct_cat4_stat_detail": ("merchant_id", "cat1", "cat4", "dt"),
+    "sku_stat_detail": ("merchant_id", "cat1", "cat4", "sku_id", "dt"),
+}
 
 
 @dataclass(frozen=True)
@@ -55,3 +65,10 @@ class Rules:
     )
     low_penetration: float = 0.05
     high_penetration: float = 0.15
+
+
+def row_key_columns(route: str) -> list[str]:
+    """Key columns of a detail route."""
+    if route not in ROW_KEYS:
+        raise ValueError(f"no row key is defined for route {route!r}")
+    return list(ROW_KEYS[route])

@@ -217,3 +217,14 @@ def test_normalised_days(spark):
     assert row["seconds"] == row["millis"] == 1_750_000_000_000
     assert row["stamp"] == 1_779_667_200_000
     assert (row["east"], row["utc"]) == (date(2026, 6, 18), date(2026, 6, 17))
+
+
+def test_route_row_keys(spark):
+    from stallworks.plans.rules import ROW_KEYS, row_key_columns
+
+    assert {len(v) for v in ROW_KEYS.values()} == {1, 2, 3, 4, 5}
+    df = spark.createDataFrame([(7, "c1", "c4", 5, date(2026, 6, 20))], "merchant_id long, cat1 string, cat4 string, sku_id long, dt date")
+    got = with_row_key(df, row_key_columns("sku_stat_detail")).first()["row_key"]
+    assert got == "7_c1_c4_5_2026-06-20"
+    with pytest.raises(ValueError):
+        row_key_columns("other")
