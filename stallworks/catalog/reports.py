@@ -416,10 +416,11 @@ def ticket_tables(r: Roles) -> dict[str, DataFrame]:
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderdate").alias("create_time"),
     )
-    malls_of = r.store.select("store_id", "mall_id")
     return {
         **detail_tables(r),
-        "ticket": tickets.join(orders, "order_id").join(malls_of, "store_id").withColumn("ticket_id", F.col("order_id")),
+        "ticket": r.at_store(tickets.join(orders, "order_id"))
+        .drop("rep", "grid_id", "grid_name", "mall")
+        .withColumn("ticket_id", F.col("order_id")),
         "reason": lines.select(
             F.col("l_orderkey").alias("ticket_id"),
             F.col("l_returnflag").alias("problem_type"),

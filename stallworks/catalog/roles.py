@@ -85,28 +85,51 @@ class Roles:
             F.col("p_type").alias("cat1"),
             F.col("p_brand").alias("cat4"),
         )
-        return lines.join(orders, "order_id").join(self.store, "store_id").join(goods, "sku_id")
+        return self.at_store(lines.join(orders, "order_id")).join(goods, "sku_id")
 
     @cached_property
-    def store(self) -> DataFrame:
-        customer = self.table("customer").select(
+    def customer(self) -> DataFrame:
+        return self.table("customer").select(
             F.col("c_custkey").alias("store_id"),
             F.col("c_nationkey").cast("bigint").alias("grid_id"),
             F.col("c_mktsegment").alias("rep"),
         )
-        return customer.join(self.grid, "grid_id")
 
     @cached_property
-    def grid(self) -> DataFrame:
-        nation = self.table("nation").select(
+    def nation(self) -> DataFrame:
+        return self.table("nation").select(
             F.col("n_nationkey").cast("bigint").alias("grid_id"),
             F.col("n_name").alias("grid_name"),
             F.col("n_regionkey").cast("bigint").alias("mall_id"),
         )
-        region = self.table("region").select(
-            F.col("r_regionkey").cast("bigint").alias("mall_id"), F.col("r_name").alias("mall")
+
+    def at_grid(self, df: DataFrame) -> DataFrame:
+        """Add grid and mall to rows with a grid_id.
+
+        The dimensions join one after the other: a join of two dimensions is estimated as
+        their product, which would look too large to broadcast.
+        """
+        return df.join(self.nation, "grid_id").join(self.mall, "mall_id")
+
+    def at_store(self, df: DataFrame) -> DataFrame:
+        """Add rep, grid and mall to rows with a store_id."""
+        return self.at_grid(df.join(self.customer, "store_id"))
+
+    @cached_property
+    def store(self) -> DataFrame:
+        return self.at_grid(self.customer)
+
+    @cached_property
+    def grid(self) -> DataFrame:
+        return self.nation.join(self.mall, "mall_id")
+
+    @cached_property
+    def supplier(self) -> DataFrame:
+        return self.table("supplier").select(
+            "s_suppkey",
+            F.col("s_nationkey").cast("bigint").alias("grid_id"),
+            flag(F.col("s_acctbal") < 0).alias("status"),
         )
-        return nation.join(region, "mall_id")
 
     @cached_property
     def mall(self) -> DataFrame:
@@ -257,8 +280,7 @@ class Roles:
         )
         owner = self.table("orders").select("o_orderkey", F.col("o_custkey").alias("store_id"))
         return (
-            lines.join(owner, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.store.select("store_id", "mall_id"), "store_id")
+            self.at_store(lines.join(owner, F.col("l_orderkey") == F.col("o_orderkey")))
             .select(
                 "store_id",
                 "mall_id",
@@ -282,14 +304,13 @@ class Roles:
             F.to_date("l_shipdate").alias("dt"), "l_partkey", "l_suppkey", "l_returnflag",
             "l_linestatus", "l_quantity", "l_extendedprice", "l_tax",
         )
-        supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
+        supplier = self.supplier
         part = self.table("part").select(
             F.col("p_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"),
             F.col("p_type").alias("cat1"), F.col("p_brand").alias("cat4"),
         )
         daily = (
-            lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(self.grid.select("grid_id", "mall_id"), F.col("s_nationkey") == F.col("grid_id"))
+            self.at_grid(lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")))
             .groupBy("dt", "mall_id", F.col("l_partkey").alias("sku_id"))
             .agg(
                 F.max(F.concat("l_returnflag", "l_linestatus")).alias("merit_raw"),
@@ -320,7 +341,8 @@ class Roles:
         part = self.table("part").select(
             F.col("p_partkey").alias("sku_id"), F.col("p_type").alias("cat1")
         )
-        return events.join(self.store.select("store_id", "mall_id"), "store_id").join(part, "sku_id")
+        located = self.at_store(events).drop("rep", "grid_id", "grid_name", "mall")
+        return located.join(part, "sku_id")
 
     @cached_property
     def store_dim(self) -> DataFrame:
@@ -329,11 +351,9 @@ class Roles:
         orders = self.table("orders").select(
             "o_orderkey", F.col("o_custkey").alias("store_id"), F.to_date("o_orderdate").alias("dt")
         )
-        supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
+        ordered = served.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         return (
-            served.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(self.grid, F.col("s_nationkey") == F.col("grid_id"))
+            self.at_grid(ordered.join(self.supplier, F.col("l_suppkey") == F.col("s_suppkey")))
             .select(
                 "dt", "store_id", "mall_id", "grid_id", "grid_name",
                 F.col("mall").alias("province_name"),
@@ -346,15 +366,11 @@ class Roles:
     @cached_property
     def agent_grid(self) -> DataFrame:
         """Agent-run grids: several rows per grid and day, status 1 while active."""
-        supplier = self.table("supplier").select(
-            "s_suppkey", "s_nationkey", flag(F.col("s_acctbal") < 0).alias("status")
-        )
         served = self.table("lineitem").select("l_orderkey", "l_suppkey")
         orders = self.table("orders").select("o_orderkey", F.to_date("o_orderdate").alias("dt"))
+        ordered = served.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         return (
-            served.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(self.grid.select("grid_id", "mall_id", "grid_name"), F.col("s_nationkey") == F.col("grid_id"))
+            self.at_grid(ordered.join(self.supplier, F.col("l_suppkey") == F.col("s_suppkey")))
             .select("dt", "mall_id", "grid_id", "grid_name", "status", F.col("s_suppkey").alias("agent_id"))
         )
 
