@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stallworks.llm import packing
+from stallworks.llm import packing, toxicity
+from stallworks.llm.common import fold, labelled_sample
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -25,8 +27,27 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), TOKENIZER, digest=True)
 
 
+def toxic_model(docs: DataFrame, all_labels: DataFrame) -> toxicity.ToxicModel:
+    """A model from the labelled rows that may be learned from."""
+    return toxicity.fit(docs, labelled_sample(all_labels, "toxic", fold(F.col("doc_id"), 3) != 1))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, with the number of its significant passages."""
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score(docs.select("doc_id", "text"), toxic_model(docs, labels(spark, sf_dir)))
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), 3) == 1).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
+        F.size("toxic_passages").alias("n_passages"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op6_toxicity": op6_toxicity,
 }
 
 SQL: dict[str, str] = {}
