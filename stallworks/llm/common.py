@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,3 +51,15 @@ def coded_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     flat = split.values.slice(bounds[0], bounds[-1] - bounds[0])
     coded = flat.dictionary_encode()
     return coded.dictionary, coded.indices.to_numpy(), bounds - bounds[0]
+
+
+def cut(rows: DataFrame) -> DataFrame:
+    """``rows`` computed once and kept in the folder that ``spark.checkpoint.dir`` names.
+
+    Only where the session names none, as in tests, is a folder of this machine set.
+    """
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        named = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(named)
+    return rows.checkpoint()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallworks.llm import packing, toxicity
+from stallworks.llm import packing, quality_rules, toxicity
 from stallworks.llm.common import fold, labelled_sample
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,19 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), TOKENIZER, digest=True)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality by the rules that labelled rows support."""
+    docs = documents(spark, sf_dir)
+    sample = labelled_sample(labels(spark, sf_dir), "quality", fold(F.col("doc_id"), 5) != 0)
+    scored = quality_rules.score(docs.select("doc_id", "text"), quality_rules.fit(docs, sample))
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), 5) == 0).alias("held_out"),
+        F.col("quality").alias("score"),
+        (F.col("quality") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def toxic_model(docs: DataFrame, all_labels: DataFrame) -> toxicity.ToxicModel:
     """A model from the labelled rows that may be learned from."""
     return toxicity.fit(docs, labelled_sample(all_labels, "toxic", fold(F.col("doc_id"), 3) != 1))
@@ -47,6 +60,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_quality_rules": op4_quality_rules,
     "op6_toxicity": op6_toxicity,
 }
 
