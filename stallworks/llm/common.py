@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,15 @@ from pyspark.sql import functions as F
 LABEL_BOUND = 40_000
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once for a row.
+
+    A lambda's body is evaluated for every element, with all that the optimizer has put
+    into it; a lambda variable is the one thing that it never expands.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def fold(key: Column, folds: int) -> Column:
     """``crc32(key as text) mod folds``; a null key is in fold 0."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds, F.lit(0))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallworks.llm import packing, quality_rules, toxicity
+from stallworks.llm import packing, quality_rules, target_ratio, toxicity
 from stallworks.llm.common import fold, labelled_sample
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -58,10 +58,30 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document, and whether it resembles the trusted target."""
+    docs = documents(spark, sf_dir)
+    trusted = labelled_sample(labels(spark, sf_dir), "quality", F.col("quality") == 1)
+    table = target_ratio.ratios(target_ratio.gram_counts(docs, trusted))
+    scored = target_ratio.score(target_ratio.base_statistics(docs), table)
+    return scored.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        (~F.col("base_failed") & (F.col("target_ratio") >= target_ratio.THRESHOLD)).alias("kept"),
+        "target_ratio",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
     "op6_toxicity": op6_toxicity,
+    "op7_target_ratio": op7_target_ratio,
 }
 
 SQL: dict[str, str] = {}
