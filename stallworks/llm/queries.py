@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallworks.llm import packing, quality_rules, target_ratio, toxicity
+from stallworks.llm import near_dups, packing, quality_rules, target_ratio, toxicity
 from stallworks.llm.common import fold, labelled_sample
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -40,6 +40,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component over sets of three-word shingles."""
+    return near_dups.near_duplicates(documents(spark, sf_dir), shingle=3, percent=85)
+
+
 def toxic_model(docs: DataFrame, all_labels: DataFrame) -> toxicity.ToxicModel:
     """A model from the labelled rows that may be learned from."""
     return toxicity.fit(docs, labelled_sample(all_labels, "toxic", fold(F.col("doc_id"), 3) != 1))
@@ -80,6 +85,7 @@ def op7_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_minhash_near_dups": op5_minhash_near_dups,
     "op6_toxicity": op6_toxicity,
     "op7_target_ratio": op7_target_ratio,
 }
