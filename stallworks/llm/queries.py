@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallworks.llm import near_dups, packing, quality_rules, target_ratio, toxicity
+from stallworks.llm import near_dups, packing, quality_rules, secrets, target_ratio, toxicity
 from stallworks.llm.common import fold, labelled_sample
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -82,12 +82,30 @@ def op7_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base spans, digested, and all spans."""
+    found = secrets.scan(documents(spark, sf_dir))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
+        secrets.spelled(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
     "op5_minhash_near_dups": op5_minhash_near_dups,
     "op6_toxicity": op6_toxicity,
     "op7_target_ratio": op7_target_ratio,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 SQL: dict[str, str] = {}
