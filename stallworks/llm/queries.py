@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallworks.llm import near_dups, packing, quality_rules, secrets, target_ratio, toxicity
+from stallworks.llm import near_dups, packing, quality_rules, secrets, target_ratio, toxicity, winnowing
 from stallworks.llm.common import fold, labelled_sample
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,20 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), TOKENIZER, digest=True)
 
 
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's fingerprint, and its likeness to an edited text and to the next one's."""
+    rows = winnowing.compared(documents(spark, sf_dir))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        winnowing.spelled(F.col("hashes")).alias("fingerprint"),
+        winnowing.spelled(F.col("edited_hashes")).alias("edited_fingerprint"),
+        winnowing.likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
+        winnowing.likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality by the rules that labelled rows support."""
     docs = documents(spark, sf_dir)
@@ -101,6 +115,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_winnowing": op3_winnowing,
     "op4_quality_rules": op4_quality_rules,
     "op5_minhash_near_dups": op5_minhash_near_dups,
     "op6_toxicity": op6_toxicity,
