@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallworks.llm import near_dups, packing, quality_rules, secrets, target_ratio, toxicity, winnowing
+from stallworks.llm import near_dups, packing, quality_rules, repeats, secrets, target_ratio, toxicity, winnowing
 from stallworks.llm.common import fold, labelled_sample
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -113,6 +113,18 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that an earlier document has."""
+    found = repeats.remove_repeats(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_winnowing": op3_winnowing,
@@ -121,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_target_ratio": op7_target_ratio,
     "op9_secret_scan": op9_secret_scan,
+    "op10_suffix_repeats": op10_suffix_repeats,
 }
 
 SQL: dict[str, str] = {}
