@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallworks.llm import near_dups, packing, quality_rules, repeats, secrets, target_ratio, toxicity, winnowing
+from stallworks.llm import line_chunks, mixing, near_dups, packing, quality_rules, repeats, secrets, target_ratio, toxicity, winnowing
 from stallworks.llm.common import fold, labelled_sample
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,13 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), TOKENIZER, digest=True)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines without the chunks that stand elsewhere before."""
+    rows = line_chunks.remove_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return rows.select("doc_id", "n_lines", "n_removed_chunks", "n_removed_lines", F.sha2(text, 256).alias("kept_sha256"))
+
+
 def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's fingerprint, and its likeness to an edited text and to the next one's."""
     rows = winnowing.compared(documents(spark, sf_dir))
@@ -125,15 +132,23 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is used when no source is repeated more than four times."""
+    docs = documents(spark, sf_dir).select("doc_id", "source", "text")
+    return mixing.mix_sources(docs, repetition=4.0).select("doc_id", "source", "mix_weight", "mix_copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_line_dedup": op2_line_dedup,
     "op3_winnowing": op3_winnowing,
     "op4_quality_rules": op4_quality_rules,
     "op5_minhash_near_dups": op5_minhash_near_dups,
     "op6_toxicity": op6_toxicity,
     "op7_target_ratio": op7_target_ratio,
+    "op8_source_mixing": op8_source_mixing,
     "op9_secret_scan": op9_secret_scan,
     "op10_suffix_repeats": op10_suffix_repeats,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_line_dedup": line_chunks.SQL}
