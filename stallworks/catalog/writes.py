@@ -28,9 +28,23 @@ WINDOW = DateWindow(date(2024, 1, 15), -7, 0, buffer=2)
 CLEANUP = WINDOW.cleanup()
 
 
-def written_table(r: Roles, label: str) -> str:
+#: Each type's total as a row without a day, beside the dated ones.
+UNDATED_SQL = """undated AS (SELECT CAST(NULL AS DATE) AS dt, event_type, SUM(n)::BIGINT AS n,
+    CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM daily GROUP BY event_type),
+    stored AS (SELECT * FROM daily UNION ALL SELECT * FROM undated)"""
+
+
+def undated_events(r: Roles) -> DataFrame:
+    rows = r.table("events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(money("value")).cast("double").alias("amount")
+    )
+    return rows.select(F.lit(None).cast("date").alias("dt"), "event_type", "n", "amount")
+
+
+def written_table(r: Roles, label: str, undated: bool = False) -> str:
     path = scratch_path(r.spark, label)
-    overwrite_days(daily_events(r), path, "dt")
+    rows = daily_events(r)
+    overwrite_days(rows.unionByName(undated_events(r)) if undated else rows, path, "dt")
     return path
 
 
@@ -108,12 +122,12 @@ def snk04(r: Roles) -> DataFrame:
 
 @query(
     "snk05",
-    f"""WITH {DAILY_SQL} SELECT * FROM daily WHERE NOT (dt BETWEEN DATE '2024-01-05' AND DATE '2024-01-08' AND contains(event_type, 'i'))
-    AND NOT (n < 60 OR event_type = 'error')""",
+    f"""WITH {DAILY_SQL}, {UNDATED_SQL} SELECT * FROM stored WHERE NOT coalesce(dt BETWEEN DATE '2024-01-05' AND DATE '2024-01-08'
+      AND contains(event_type, 'i'), false) AND NOT (n < 60 OR event_type = 'error')""",
 )
 def snk05(r: Roles) -> DataFrame:
-    """Two deletes: conditions joined by and, then by or."""
-    path = written_table(r, "snk05")
+    """Two deletes: conditions joined by and, then by or. Rows without a day are deleted too."""
+    path = written_table(r, "snk05", undated=True)
     window = day_window("dt", date(2024, 1, 5), date(2024, 1, 8))
     merge.delete_from(r.spark, path, "dt", [*window, Condition("event_type", "contains", "i")])
     merge.delete_from(
@@ -124,19 +138,29 @@ def snk05(r: Roles) -> DataFrame:
 
 @query(
     "snk06",
-    f"""WITH {DAILY_SQL}, {NEW_SQL}, extra AS (SELECT dt + 100 AS dt, event_type, n, amount FROM fresh)
-    SELECT 'merge' AS mode, * FROM (SELECT d.* FROM daily d LEFT JOIN fresh f ON f.dt = d.dt AND f.event_type = d.event_type
-      WHERE f.dt IS NULL UNION ALL SELECT * FROM fresh UNION ALL SELECT * FROM extra)
-    UNION ALL SELECT 'ignore', * FROM (SELECT * FROM daily UNION ALL SELECT * FROM extra)""",
+    f"""WITH {DAILY_SQL}, {UNDATED_SQL}, {NEW_SQL}, extra AS (SELECT dt + 100 AS dt, event_type, n, amount FROM fresh),
+    lone AS (SELECT dt, event_type, -n AS n, amount FROM undated WHERE event_type = 'purchase'),
+    dated AS (SELECT d.* FROM daily d LEFT JOIN fresh f ON f.dt = d.dt AND f.event_type = d.event_type WHERE f.dt IS NULL
+      UNION ALL SELECT * FROM fresh UNION ALL SELECT * FROM extra)
+    SELECT 'merge' AS mode, * FROM (SELECT * FROM dated UNION ALL SELECT * FROM undated
+      UNION ALL SELECT * FROM lone)
+    UNION ALL SELECT 'ignore', * FROM (SELECT * FROM stored UNION ALL SELECT * FROM extra UNION ALL SELECT * FROM lone)
+    UNION ALL SELECT 'counts', * FROM (SELECT d.dt, d.event_type, coalesce(f.n, d.n), d.amount FROM daily d LEFT JOIN fresh f
+      ON f.dt = d.dt AND f.event_type = d.event_type UNION ALL SELECT dt, event_type, n, NULL FROM extra
+      UNION ALL SELECT * FROM undated UNION ALL SELECT dt, event_type, n, NULL FROM lone)""",
 )
 def snk06(r: Roles) -> DataFrame:
-    """Upsert on (day, type): replace duplicates, or leave them."""
+    """Upsert on (day, type): replace duplicates, leave them, or replace their counts alone.
+
+    A row without a day is added beside those that are there.
+    """
     fresh = purchases_again(r)
-    new = fresh.unionByName(fresh.withColumn("dt", F.date_add("dt", 100)))
+    lone = undated_events(r).where("event_type = 'purchase'").withColumn("n", -F.col("n"))
+    new = fresh.unionByName(fresh.withColumn("dt", F.date_add("dt", 100))).unionByName(lone)
     result = None
-    for mode in ("merge", "ignore"):
-        path = written_table(r, f"snk06-{mode}")
-        merge.upsert_into(new, path, "dt", ["dt", "event_type"], mode)
+    for mode, columns in (("merge", None), ("ignore", None), ("counts", ["n"])):
+        path = written_table(r, f"snk06-{mode}", undated=True)
+        merge.upsert_into(new, path, "dt", ["dt", "event_type"], "merge" if columns else mode, columns)
         out = read_back(r, path).select(F.lit(mode).alias("mode"), "*")
         result = out if result is None else result.unionByName(out)
     return result
@@ -165,7 +189,9 @@ def snk08(r: Roles) -> DataFrame:
     rows = r.table("lineitem").select(
         "l_orderkey", "l_linenumber", money("l_extendedprice").alias("price"), odd.alias("disc")
     )
-    return output.normalise_for_sink(rows)
+    path = scratch_path(r.spark, "snk08")
+    output.normalise_for_sink(rows).write.parquet(path)
+    return r.spark.read.parquet(path)
 
 
 @query(
@@ -174,11 +200,14 @@ def snk08(r: Roles) -> DataFrame:
     UNION ALL SELECT dt, event_type, n, CAST(NULL AS DOUBLE), 'late' FROM daily WHERE dt > DATE '2024-01-20'""",
 )
 def snk09(r: Roles) -> DataFrame:
-    """A column the target lacks is added; a column the rows lack stays null."""
+    """A stored table gets a column that it lacks; a column the new rows lack stays null."""
     cut = F.lit("2024-01-20").cast("date")
     daily = daily_events(r)
+    path = scratch_path(r.spark, "snk09")
+    overwrite_days(daily.where(F.col("dt") <= cut), path, "dt")
     new = daily.where(F.col("dt") > cut).drop("amount").withColumn("remark", F.lit("late"))
-    return merge.append_evolving(daily.where(F.col("dt") <= cut), new)
+    merge.append_into(new, path, "dt")
+    return merge.read_evolved(r.spark, path).select("dt", "event_type", "n", "amount", "remark")
 
 
 @query(

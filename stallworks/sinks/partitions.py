@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -25,10 +25,26 @@ def partition_days(spark: SparkSession, path: str, column: str) -> list[date]:
     return sorted(date.fromisoformat(t) for t in texts if not t.startswith("__"))
 
 
-def drop_days(spark: SparkSession, path: str, column: str, days: Iterable[date]) -> None:
-    fs, root = _filesystem(spark, path)
+#: Fixed value: the folder of rows whose partition column is null.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def require_days(df: DataFrame, column: str) -> None:
+    """Refuse a partition column that is not a calendar day: its values would not be bounded."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, T.DateType):
+        raise TypeError(f"{column!r} must be a date to partition by, not {kind.simpleString()}")
+
+
+def drop_days(spark: SparkSession, path: str, column: str, days: Iterable[date | None]) -> None:
+    """Remove the folders of the days; None stands for rows without a day."""
     for day in days:
-        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{column}={day.isoformat()}"), True)
+        drop_folder(spark, f"{path.rstrip('/')}/{column}={NULL_FOLDER if day is None else day.isoformat()}")
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, root = _filesystem(spark, path)
+    fs.delete(root, True)
 
 
 def overwrite_days(df: DataFrame, path: str, column: str) -> None:

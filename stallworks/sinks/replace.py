@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from ..operators.metrics import day_range
 from ..params import DateWindow
 from ..sources.tables import day_bounds
-from .partitions import drop_days, overwrite_days, partition_days
+from .partitions import drop_days, overwrite_days, partition_days, require_days
 
 
 def replace_window(df: DataFrame, path: str, day: str, window: DateWindow) -> dict[str, object]:
@@ -17,8 +17,11 @@ def replace_window(df: DataFrame, path: str, day: str, window: DateWindow) -> di
 
     Only the window's partitions are written. Days of the window that ``df`` has no
     rows for are removed, so stale days do not survive. A row outside the window stops
-    the write: it would replace a day nobody asked to replace.
+    the write: it would replace a day nobody asked to replace. Written days replace old
+    ones before stale days are dropped; a run that breaks off in between is healed by the
+    next one.
     """
+    require_days(df, day)
     spark = df.sparkSession
     inside = F.coalesce(day_bounds(df, day, window.first, window.last), F.lit(False))
     text = F.coalesce(F.col(day).cast("string"), F.lit("null"))

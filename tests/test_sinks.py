@@ -91,6 +91,75 @@ def test_delete_from_drops_emptied_days(spark, table):
         merge.delete_from(spark, table, "dt", [])
 
 
+UNDATED = "dt date, k string, v long"
+
+
+@pytest.fixture
+def undated(spark, table):
+    spark.createDataFrame([(None, "n1", 1), (None, "n2", 2)], UNDATED).write.mode("append").partitionBy("dt").parquet(table)
+    return table
+
+
+def test_upsert_keeps_stored_rows_without_a_day(spark, undated):
+    expected = content(spark, undated) + Counter([(date(2026, 6, 20), "n", 1), (None, "n9", 9)])
+    new = spark.createDataFrame([(date(2026, 6, 20), "n", 1), (None, "n9", 9)], UNDATED)
+    merge.upsert_into(new, undated, "dt", ["dt", "k"])
+    assert content(spark, undated) == expected
+    only = spark.createDataFrame([(None, "n10", 10)], UNDATED)
+    merge.upsert_into(only, undated, "dt", ["dt", "k"], "ignore")
+    assert content(spark, undated) == expected + Counter([(None, "n10", 10)])
+
+
+def test_delete_reaches_rows_without_a_day(spark, undated):
+    merge.delete_from(spark, undated, "dt", [Condition("v", "isLess", 2)])
+    assert not [r for r in content(spark, undated) if r[2] < 2]
+    merge.delete_from(spark, undated, "dt", [Condition("k", "is", "n2")])
+    left = content(spark, undated)
+    assert sum(left.values()) == 9 and not [r for r in left if r[0] is None]
+
+
+def test_upsert_refuses_two_rows_of_one_key_and_writes_nothing(spark, table):
+    before = content(spark, table)
+    new = spark.createDataFrame([(DAYS[0], "k1", 5), (DAYS[0], "k1", 6)], UNDATED)
+    for mode in ("merge", "ignore"):
+        with pytest.raises(ValueError, match="two new rows"):
+            merge.upsert_into(new, table, "dt", ["dt", "k"], mode)
+    assert content(spark, table) == before
+
+
+def test_upsert_of_some_columns_of_a_stored_table(spark, path):
+    rows = spark.createDataFrame([(DAYS[0], "a", 1, "x"), (DAYS[0], "b", 2, "y")], "dt date, k string, v long, s string")
+    overwrite_days(rows, path, "dt")
+    new = spark.createDataFrame([(DAYS[0], "a", 10)], UNDATED)
+    merge.upsert_into(new, path, "dt", ["dt", "k"], columns=["v"])
+    got = {(r["k"], r["v"], r["s"]) for r in spark.read.parquet(path).collect()}
+    assert got == {("a", 10, "x"), ("b", 2, "y")}
+
+
+def test_staged_folders_do_not_stay(spark, table, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge, "scratch_path", lambda _, label: str(tmp_path / f"staged-{label}"))
+    merge.delete_from(spark, table, "dt", [Condition("v", "isLess", 3)])
+    merge.upsert_into(spark.createDataFrame([(DAYS[4], "z", 5)], UNDATED), table, "dt", ["dt", "k"])
+    assert not list(tmp_path.glob("staged-*"))
+
+
+def test_partition_column_must_be_a_day(spark, table):
+    before = content(spark, table)
+    stamped = spark.read.parquet(table).select(F.col("dt").cast("timestamp").alias("dt"), "k", "v")
+    with pytest.raises(TypeError):
+        replace_window(stamped, table, "dt", DateWindow(date(2026, 6, 10), -9, 0))
+    with pytest.raises(TypeError):
+        merge.upsert_into(stamped, table, "dt", ["dt", "k"])
+    assert content(spark, table) == before
+
+
+def test_stored_table_is_widened(spark, table):
+    new = spark.createDataFrame([(date(2026, 6, 30), "w", "late")], "dt date, k string, remark string")
+    assert merge.append_into(new, table, "dt") == [("remark", "string")]
+    rows = {(r["k"], r["v"], r["remark"]) for r in merge.read_evolved(spark, table).collect()}
+    assert ("w", None, "late") in rows and ("k1", 1, None) in rows and len(rows) == 11
+
+
 def test_schema_growth(spark):
     old = spark.createDataFrame([(1,)], "a long")
     new = spark.createDataFrame([(2, "x")], "a long, b string")
