@@ -12,7 +12,8 @@
 4. Links give components (iterated hooking of labels). A bucket whose members lie in one
    component is done. In the others, all members outside the bucket's largest component
    are compared with the members of other components, in blocks of ``BLOCK`` rows, so no
-   pair that could join two components is left out and none inside a component is tried.
+   pair that could join two components is left out and none inside a component is tried. A
+   block verifies on the full sets itself and returns the links that join its components.
 
 Nothing is capped: a large bucket costs more blocks, not fewer comparisons. Hashes have 64
 bits. Defined results: null text has no set, no link and stands alone; texts with fewer
@@ -39,7 +40,7 @@ from stallworks.llm.common import coded_words, cut, slices
 BANDS, ROWS = 16, 4
 MISS = 1e-6
 BATCH = 8
-BLOCK = 2048
+BLOCK = 1024
 SLICE_BYTES = 2 << 20
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -148,14 +149,14 @@ def _rows_of(blobs: pd.Series, width: int) -> np.ndarray:
 
 
 def _buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``bucket, rep, near`` of buckets with two members or more; ``near`` counts neighbours."""
+    """``bucket, band, rep, size`` of buckets with two members or more."""
     width = 4 * rows
     keys = F.array(
         *(F.xxhash64(F.lit(b), F.expr(f"substring(signature, {b * width + 1}, {width})")) for b in range(bands))
     )
-    each = classes.select("rep", F.explode(keys).alias("bucket"))
+    each = classes.select("rep", F.posexplode(keys).alias("band", "bucket"))
     sizes = each.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    return each.join(sizes, "bucket").select("bucket", "rep", "size")
+    return each.join(sizes, "bucket").select("bucket", "band", "rep", "size")
 
 
 def _similar(pairs: DataFrame, classes: DataFrame, needed: list[int], width: int) -> DataFrame:
@@ -226,40 +227,82 @@ def _open(members: DataFrame) -> DataFrame:
     return members.join(spread.where("x <> y").select("bucket"), "bucket", "left_semi")
 
 
-def _block_pairs(members: DataFrame, classes: DataFrame, needed: list[int], width: int) -> DataFrame:
-    """Similar pairs of different components within buckets, block by block."""
+def _overlaps(own: np.ndarray, codes: np.ndarray, begins: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    """How many codes of each of many sets, laid end to end, are among ``own``."""
+    flags[own] = 1
+    counts = np.add.reduceat(flags[codes], begins)
+    flags[own] = 0
+    return counts
+
+
+def _block_links(frame: pd.DataFrame, needed: list[int], rows: int, bands: int, percent: int) -> list[tuple[int, int]]:
+    """Verified links between the two sides of a block, as many as join its components.
+
+    A pair is tried in the first band it shares, if no link found so far connects it. The
+    sequential test on signatures comes first, then the full sets.
+    """
+    width = rows * bands
+    left, right = (frame[frame["side"] == k] for k in (0, 1))
+    if not len(left) or not len(right):
+        return []
+    band = int(frame["band"].iloc[0])
+    one, two = _rows_of(left["signature"], width), _rows_of(right["signature"], width)
+    reps, outside = right["rep"].to_numpy(), right["outside"].to_numpy()
+    names, roots = np.unique(np.concatenate([left["component"], right["component"]]), return_inverse=True)
+    root = np.arange(len(names))
+    mine, theirs = roots[: len(left)], roots[len(left) :]
+    blobs = [np.frombuffer(x, np.uint64) for x in (*left["hashes"], *right["hashes"])]
+    sizes = np.fromiter(map(len, blobs), np.int64, len(blobs))
+    _, codes = np.unique(np.concatenate(blobs), return_inverse=True)
+    begins = np.cumsum(sizes) - sizes
+    flags = np.zeros(int(codes.max()) + 1, np.int64)
+    found: list[tuple[int, int]] = []
+    for i, (rep, own) in enumerate(zip(left["rep"].to_numpy(), one, strict=True)):
+        tried = np.flatnonzero((root[theirs] != root[mine[i]]) & (~outside | (reps > rep)))
+        for earlier in range(band):
+            part = slice(earlier * rows, (earlier + 1) * rows)
+            tried = tried[(two[tried, part] != own[part]).any(axis=1)]
+        alive = tried[survivors(np.broadcast_to(own, (len(tried), width)), two[tried], needed, BATCH)]
+        if not len(alive):
+            continue
+        mass = sizes[len(left) + alive]
+        ends = np.cumsum(mass)
+        spots = np.repeat(begins[len(left) + alive] - (ends - mass), mass) + np.arange(ends[-1])
+        both = _overlaps(codes[begins[i] : begins[i] + sizes[i]], codes[spots], ends - mass, flags)
+        linked = alive[100 * both >= percent * (sizes[i] + mass - both)]
+        for j in linked:
+            if root[theirs[j]] != root[mine[i]]:
+                root[root == root[theirs[j]]] = root[mine[i]]
+                found.append((int(rep), int(reps[j])))
+    return found
+
+
+def _between(members: DataFrame, classes: DataFrame, sets: DataFrame, needed: list[int], rows: int, bands: int, percent: int) -> DataFrame:
+    """Links between different components within buckets, block by block.
+
+    Members outside a bucket's largest component are held against all of another one.
+    """
     sized = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     most = sized.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"))
-    rows = members.select("bucket", "rep", "component").join(most, "bucket").join(classes.select("rep", "signature"), "rep")
+    each = members.select("bucket", "band", "rep", "component").join(most, "bucket")
+    each = each.join(classes.select("rep", "signature").join(sets, "rep"), "rep")
     blocks = F.ceil(F.col("all") / BLOCK).cast("int")
-    rows = rows.select(
-        "bucket", "rep", "component", "signature",
+    each = each.select(
+        "bucket", "band", "rep", "component", "signature", "hashes",
         (F.col("component") != F.col("main")).alias("outside"),
         blocks.alias("blocks"),
         F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("own"),
     )
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = rows.where("outside").withColumn("other", every).withColumn("side", F.lit(0))
-    right = rows.withColumnsRenamed({"own": "other"}).withColumn("own", every).withColumn("side", F.lit(1))
-    names = ["bucket", "own", "other", "side", "rep", "component", "signature", "outside"]
+    left = each.where("outside").withColumn("other", every).withColumn("side", F.lit(0))
+    right = each.withColumnsRenamed({"own": "other"}).withColumn("own", every).withColumn("side", F.lit(1))
+    names = ["bucket", "own", "other", "side", "band", "rep", "component", "signature", "hashes", "outside"]
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        sides = [frame[frame["side"] == k] for k in (0, 1)]
-        if not len(sides[0]) or not len(sides[1]):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        one, two = (_rows_of(x["signature"], width) for x in sides)
-        reps, outside = sides[1]["rep"].to_numpy(), sides[1]["outside"].to_numpy()
-        parts = sides[1]["component"].to_numpy()
-        found: list[tuple[int, int]] = []
-        for rep, part, own in zip(sides[0]["rep"], sides[0]["component"], one, strict=True):
-            tried = np.flatnonzero((parts != part) & (~outside | (reps > rep)))
-            alive = survivors(np.broadcast_to(own, (len(tried), width)), two[tried], needed, BATCH)
-            found += [(rep, other) for other in reps[tried[alive]].tolist()]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        return pd.DataFrame(_block_links(frame, needed, rows, bands, percent), columns=["a", "b"], dtype="int64")
 
     both = left.select(*names).union(right.select(*names))
-    pairs = both.groupBy("bucket", "own", "other").applyInPandas(run, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return both.groupBy("bucket", "own", "other").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(
@@ -285,7 +328,7 @@ def near_duplicates(
     )
     members = _buckets(classes, bands, rows)
     central = members.groupBy("rep").agg(F.sum("size").alias("near"))
-    members = cut(members.join(central, "rep").select("bucket", "rep", "near"))
+    members = cut(members.join(central, "rep").select("bucket", "band", "rep", "near"))
     wanted = members.select("rep").distinct()
     sets = cut(_sets(docs, wanted, shingle))
     links: DataFrame | None = None
@@ -294,18 +337,17 @@ def near_duplicates(
         left = _open(_labelled(members, labels))
         if turn < star_rounds:
             hubs = left.groupBy("bucket").agg(F.max_by("rep", F.struct("near", F.xxhash64("rep"))).alias("hub"))
-            hubs_of = cut(left.join(hubs, "bucket").select("bucket", "rep", "near", "component", "hub"))
+            hubs_of = cut(left.join(hubs, "bucket").select("bucket", "band", "rep", "near", "component", "hub"))
             far = hubs_of.select("bucket", F.col("rep").alias("hub"), F.col("component").alias("own"))
             tried = hubs_of.join(far, ["bucket", "hub"]).where("component <> own")
             pairs = tried.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-            found = _similar(pairs, classes, needed, width)
-            members = hubs_of.where("rep <> hub").select("bucket", "rep", "near")
+            linked = _verified(_similar(pairs, classes, needed, width), sets, percent)
+            members = hubs_of.where("rep <> hub").select("bucket", "band", "rep", "near")
         else:
             left = cut(left)
             if left.isEmpty():
                 break
-            found = _block_pairs(left, classes, needed, width)
-        linked = _verified(found, sets, percent)
+            linked = _between(left, classes, sets, needed, rows, bands, percent)
         links = cut(linked if links is None else links.union(linked))
         labels = components(links)
     by_class = _labelled(classes.select("rep", "digest"), labels).select("digest", "component")
