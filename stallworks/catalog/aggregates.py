@@ -25,7 +25,7 @@ from .reports import (
     pilot_flags,
     q06,
 )
-from .roles import EVENT_DAYS, HOME_MALL, ORDER_DAYS, QUALITY_TYPES, Roles, _list, refund, refund_quality
+from .roles import EVENT_FIRST, EVENT_LAST, HOME_MALL, QUALITY_TYPES, Roles, _list, refund, refund_quality
 
 
 @query(
@@ -129,12 +129,12 @@ def agg06(r: Roles) -> DataFrame:
     "agg07",
     f"""SELECT s.dt, v.store_id, CAST(MAX(CASE WHEN v.dt = s.dt THEN exposed_cnt ELSE 0 END) AS BIGINT) AS exposed_cnt,
     CAST(MAX(CASE WHEN v.dt = s.dt THEN ordered_amt ELSE 0 END) AS DOUBLE) AS ordered_amt
-    FROM (SELECT CAST(UNNEST(generate_series(DATE '{EVENT_DAYS.first}', DATE '{EVENT_DAYS.last}', INTERVAL 1 DAY)) AS DATE) AS dt) s
+    FROM (SELECT CAST(UNNEST(generate_series({EVENT_FIRST}, {EVENT_LAST}, INTERVAL 1 DAY)) AS DATE) AS dt) s
     JOIN visit v ON v.dt BETWEEN s.dt - 13 AND s.dt GROUP BY s.dt, v.store_id""",
 )
 def agg07(r: Roles) -> DataFrame:
     """The day's own value inside a rolling group; days without facts read 0."""
-    spread = spine_expand(r.visit, "dt", EVENT_DAYS, near=0, far=13, out="day")
+    spread = spine_expand(r.visit, "dt", r.event_days, near=0, far=13, out="day")
     same = F.col("day") == F.col("dt")
     own = lambda c: F.max(F.when(same, F.col(c)).otherwise(0))
     return spread.groupBy(F.col("day").alias("dt"), "store_id").agg(
@@ -174,7 +174,7 @@ def agg08(r: Roles) -> DataFrame:
     GROUP BY ALL HAVING target_sku_num > 0""",
 )
 def agg09(r: Roles) -> DataFrame:
-    return target_skus(r.sku_mall, r.mall_cat1, RULES, ORDER_DAYS)
+    return target_skus(r.sku_mall, r.mall_cat1, RULES, r.order_days)
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
@@ -259,10 +260,14 @@ def _daily(df: DataFrame) -> DataFrame:
     "rt01",
     """SELECT 'daily' AS route, 1 AS success, (SELECT COUNT(*) FROM (SELECT DISTINCT CAST(ts AS DATE), event_type FROM events)) AS n_written
     UNION ALL SELECT 'errors', 1, COUNT(*) FILTER (WHERE event_type = 'error') FROM events
+    UNION ALL SELECT 'mapped', 1, COUNT(DISTINCT (CAST(ts AS DATE), event_type)) FROM events
     UNION ALL SELECT 'broken', 0, 0 FROM (VALUES (1)) UNION ALL SELECT 'unknown', 0, 0 FROM (VALUES (1))""",
 )
 def rt01(r: Roles) -> DataFrame:
-    """Four routes from one pool; two fail and the others still write."""
+    """Five routes from one pool; two fail and the others still write.
+
+    One maps: its target has other names and the types of its fields.
+    """
     base = scratch_path(r.spark, "rt01")
     sink = lambda name: lambda df: df.write.parquet(f"{base}/{name}")
     routes = [
@@ -270,12 +275,17 @@ def rt01(r: Roles) -> DataFrame:
         Route("broken", "result", sink("broken"), steps=[("row key", lambda df: with_row_key(df, ["shop_id"]))]),
         Route("errors", "result", sink("errors"), steps=[("errors", lambda df: df.where("event_type = 'error'"))]),
         Route("unknown", "warehouse:absent", sink("unknown")),
+        Route("mapped", "result", sink("mapped"), steps=[("daily", _daily)], mapping={
+            "dt": ("day", FieldType.DATE), "event_type": ("kind", FieldType.SINGLE_SELECT), "n": ("events", FieldType.NUMBER),
+        }),
         Route("off", "result", sink("off"), enabled=False),
     ]
     results = routing.run_routes({"result": r.table("events")}, routes, fail=False)
     out = None
     for result in results:
         done = r.spark.read.parquet(f"{base}/{result.route}") if result.success else r.table("events").where(F.lit(False))
+        if result.route == "mapped":
+            done = done.where("day > 0 AND kind.text IS NOT NULL AND events > 0")
         row = done.agg(F.count(F.lit(1)).alias("n_written")).select(
             F.lit(result.route).alias("route"), F.lit(int(result.success)).alias("success"), "n_written"
         )
@@ -319,9 +329,10 @@ def rt03(r: Roles) -> DataFrame:
       SELECT CAST(ts AS DATE) AS dt, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2) GROUP BY event_type""",
 )
 def rt04(r: Roles) -> DataFrame:
-    """A named query that later SQL reads."""
-    routing.materialise(_daily(r.table("events")), "rt04_daily")
-    return r.spark.sql("SELECT event_type, count(*) AS n_days, sum(n) AS n FROM rt04_daily GROUP BY event_type")
+    """A named query that later SQL reads. The name is the run's own."""
+    name = f"rt04_daily_{uuid.uuid4().hex[:8]}"
+    routing.materialise(_daily(r.table("events")), name)
+    return r.spark.sql(f"SELECT event_type, count(*) AS n_days, sum(n) AS n FROM {name} GROUP BY event_type")
 
 
 @query(

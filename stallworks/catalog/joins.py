@@ -23,7 +23,7 @@ from .reports import (
     pricing_tables,
     region_rows,
 )
-from .roles import EVENT_DAYS, ORDER_DAYS, Roles, money
+from .roles import EVENT_FIRST, EVENT_LAST, ORDER_DAYS, Roles, money
 
 
 @query(
@@ -87,13 +87,13 @@ def jon04(r: Roles) -> DataFrame:
 @query(
     "jon05",
     f"""SELECT s.dt AS spine_dt, v.store_id, v.dt, v.exposed_cnt
-    FROM (SELECT CAST(UNNEST(generate_series(DATE '{EVENT_DAYS.first}', DATE '{EVENT_DAYS.last}', INTERVAL 1 DAY)) AS DATE) AS dt) s
+    FROM (SELECT CAST(UNNEST(generate_series({EVENT_FIRST}, {EVENT_LAST}, INTERVAL 1 DAY)) AS DATE) AS dt) s
     JOIN visit v ON s.dt BETWEEN v.dt AND v.dt + 6""",
 )
 def jon05(r: Roles) -> DataFrame:
     """Facts on every spine day of their week, without a theta join."""
     visits = r.visit.select("store_id", "dt", "exposed_cnt")
-    return spine_expand(visits, "dt", EVENT_DAYS, near=0, far=6)
+    return spine_expand(visits, "dt", r.event_days, near=0, far=6)
 
 
 @query(
@@ -243,5 +243,5 @@ def jon14(r: Roles) -> DataFrame:
     CAST(upgrade_refund AS DOUBLE) AS upgrade_refund, CAST(upgrade_platform_refund AS DOUBLE) AS upgrade_platform_refund FROM upgrade""",
 )
 def jon15(r: Roles) -> DataFrame:
-    stat = upgrade_stat(r.ticket, r.orders, r.goods_day, ORDER_DAYS)
+    stat = upgrade_stat(r.ticket, r.orders, r.goods_day, r.order_days)
     return stat.withColumns({c: F.col(c).cast("double") for c in ("upgrade_refund", "upgrade_platform_refund")})

@@ -269,12 +269,16 @@ def q03(r: Roles) -> DataFrame:
     return malls.mall_kpis(report_tables(r), RULES, ORDER_DAYS, F.col("mall_id") == HOME_MALL)
 
 
-CARD_UPDATES = """updates AS (SELECT dt, mall_id, cat4,
+ALL_CARD_UPDATES = """updates AS (SELECT dt, mall_id, cat4,
       COUNT(DISTINCT CASE WHEN COALESCE(merit, '') <> COALESCE(before, '') AND is_up_today > 0 THEN sku_id END) AS updated_sku_num,
       COUNT(DISTINCT CASE WHEN is_up_today > 0 THEN sku_id END) AS onshelf_sku_num
       FROM (SELECT *, LAG(merit) OVER (PARTITION BY sku_id, mall_id ORDER BY dt) AS before
-        FROM goods_card WHERE dt BETWEEN DATE '{first}' - 1 AND DATE '{last}' AND is_up_today + is_sku_valid > 0)
-      GROUP BY ALL)""".replace("{first}", str(ORDER_DAYS.first)).replace("{last}", str(ORDER_DAYS.last))
+        FROM goods_card WHERE is_up_today + is_sku_valid > 0)
+      GROUP BY ALL)"""
+CARD_UPDATES = ALL_CARD_UPDATES.replace(
+    "FROM goods_card WHERE",
+    f"FROM goods_card WHERE dt BETWEEN DATE '{ORDER_DAYS.first}' - 1 AND DATE '{ORDER_DAYS.last}' AND",
+)
 
 
 @query(
@@ -781,7 +785,10 @@ def pricing_tables(r: Roles) -> dict[str, DataFrame]:
         .otherwise("self-run")
         .alias("operation_type"),
     )
-    rates = r.table("supplier").join(r.table("part"), F.col("s_suppkey") == F.col("p_partkey")).select(
+    # every part has a supplier: they take turns
+    suppliers = r.table("supplier").agg(F.count(F.lit(1))).scalar()
+    turn = F.col("s_suppkey") == F.pmod(F.col("p_partkey"), suppliers)
+    rates = r.table("part").join(r.table("supplier"), turn).select(
         brand.cast("string").alias("goods_id"),
         F.col("s_nationkey").alias("city_id"),
         F.when(F.col("p_size") > 25, "g1").alias("trial_group"),
@@ -789,7 +796,7 @@ def pricing_tables(r: Roles) -> dict[str, DataFrame]:
         (F.col("s_acctbal") / F.lit(200000.0)).alias("agent_rate"),
         F.lit("2001-06-01").alias("start_day"),
         F.when(F.col("p_size") > 10, "2001-06-30").otherwise("2001-06-10").alias("end_day"),
-        F.col("s_suppkey").alias("seq"),
+        F.col("p_partkey").alias("seq"),
     )
     lowest = r.table("customer").groupBy("c_nationkey").agg(F.min("c_custkey").alias("first_county"))
     logistics = r.table("nation").join(lowest, F.col("n_nationkey") == F.col("c_nationkey"), "left").where(
@@ -811,8 +818,8 @@ PRICING_SQL = """brands AS (SELECT p_brand, CAST(substr(p_brand, 7) AS BIGINT) A
     rates AS (SELECT CAST(substr(p_brand, 7) AS BIGINT) AS goods_id, s_nationkey AS city_id,
       CASE WHEN p_size > 25 THEN 'g1' ELSE '' END AS trial_group,
       CASE WHEN s_acctbal > 0 THEN s_acctbal / 100000 END AS self_rate, s_acctbal / 200000 AS agent_rate
-      FROM supplier JOIN part ON p_partkey = s_suppkey WHERE p_size > 10
-      QUALIFY ROW_NUMBER() OVER (PARTITION BY p_brand, s_nationkey ORDER BY s_suppkey DESC) = 1),
+      FROM part JOIN supplier ON s_suppkey = p_partkey % (SELECT COUNT(*) FROM supplier) WHERE p_size > 10
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY p_brand, s_nationkey ORDER BY p_partkey DESC) = 1),
     fees AS (SELECT n_nationkey, CAST(n_nationkey AS DOUBLE) / 1000 AS fee_rate,
       CASE WHEN n_regionkey <> 0 THEN (SELECT MIN(c_custkey) FROM customer WHERE c_nationkey = n_nationkey) END AS first_county
       FROM nation WHERE n_regionkey <> 4),

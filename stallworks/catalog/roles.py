@@ -11,7 +11,7 @@ market segment. Returned lines are complaints; open lines count as ordered.
 from __future__ import annotations
 
 import re
-from datetime import date
+from datetime import date, datetime
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,12 +20,16 @@ from ..functions.values import flag
 from ..operators.metrics import Metrics, aggregate
 from ..params import DateWindow
 
-#: All order days, and all event days.
+#: The reports' windows over orders and over events.
 ORDER_DAYS = DateWindow.of_days(date(1995, 1, 1), date(2001, 8, 1))
 EVENT_DAYS = DateWindow.of_days(date(2024, 1, 1), date(2024, 1, 31))
 #: Events moved onto order days, so that reports can join the two.
 EVENT_SHIFT_DAYS = 8400
 
+#: All event days, in SQL; ``Roles.event_days`` is the same window.
+EVENT_FIRST = "(SELECT MIN(CAST(ts AS DATE)) FROM events)"
+EVENT_LAST = "(SELECT MAX(CAST(ts AS DATE)) FROM events)"
+
 HOME_MALL = 2  # the mall single-mall reports are about
 FRUIT = "ECONOMY"
 VEGETABLES = ["LARGE", "SMALL"]
@@ -58,6 +62,24 @@ class Roles:
             self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
         return self._tables[name]
 
+    def days_of(self, table: str, column: str) -> DateWindow:
+        """All days a table has, for plans that no window is asked of."""
+        row = self.table(table).agg(F.min(column), F.max(column)).first()
+        first, last = (v.date() if isinstance(v, datetime) else v for v in row)
+        return DateWindow.of_days(first or ORDER_DAYS.first, last or ORDER_DAYS.first)
+
+    @cached_property
+    def order_days(self) -> DateWindow:
+        return self.days_of("orders", "o_orderdate")
+
+    @cached_property
+    def ship_days(self) -> DateWindow:
+        return self.days_of("lineitem", "l_shipdate")
+
+    @cached_property
+    def event_days(self) -> DateWindow:
+        return self.days_of("events", "ts")
+
     @cached_property
     def item(self) -> DataFrame:
         """Order items with order, store, mall, grid and category."""

@@ -11,7 +11,7 @@ from ..params import DateWindow, SourceOffsets
 from ..session import scratch_path
 from ..sources import delimited, records, tables
 from .registry import query
-from .roles import EVENT_DAYS, Roles, money
+from .roles import EVENT_FIRST, EVENT_LAST, Roles, money
 
 WINDOW = DateWindow(date(2000, 12, 31), -1826, 0)
 LATE_EVENTS = DateWindow(date(2024, 1, 20), -6, 0)
@@ -154,7 +154,10 @@ def src07(r: Roles) -> DataFrame:
     """SELECT c_custkey, c_name, c_acctbal, DATE '1995-01-01' + CAST(c_nationkey AS INTEGER) AS opened FROM customer""",
 )
 def src08(r: Roles) -> DataFrame:
-    """Tab-separated text with quotes inside values, read with a given schema."""
+    """Tab-separated text with quotes inside values, read with a given schema.
+
+    The header is skipped as a row, as where notes stand above it.
+    """
     path = scratch_path(r.spark, "delimited")
     source = r.table("customer").select(
         "c_custkey",
@@ -169,6 +172,8 @@ def src08(r: Roles) -> DataFrame:
         path,
         "c_custkey bigint, c_name string, c_acctbal double, opened string, c_mktsegment string",
         separator="\t",
+        header=False,
+        skip_rows=1,
         columns=["c_custkey", "c_name", "c_acctbal", "opened"],
         day_columns=["opened"],
     )
@@ -194,12 +199,12 @@ def src10(r: Roles) -> DataFrame:
 @query(
     "src11",
     f"""SELECT s.dt, COUNT(event_id) AS n_events
-    FROM (SELECT CAST(UNNEST(generate_series(DATE '{EVENT_DAYS.first}', DATE '{EVENT_DAYS.last}', INTERVAL 1 DAY)) AS DATE) AS dt) s
+    FROM (SELECT CAST(UNNEST(generate_series({EVENT_FIRST}, {EVENT_LAST}, INTERVAL 1 DAY)) AS DATE) AS dt) s
     LEFT JOIN events ON CAST(ts AS DATE) = s.dt GROUP BY s.dt""",
 )
 def src11(r: Roles) -> DataFrame:
     """Calendar spine with the events of each day; days without events stay."""
     daily = r.table("events").groupBy(F.to_date("ts").alias("dt")).agg(F.count(F.lit(1)).alias("n_events"))
-    spine = tables.day_spine(r.spark, EVENT_DAYS)
+    spine = tables.day_spine(r.spark, r.event_days)
     return spine.join(daily, "dt", "left").fillna({"n_events": 0})
 

@@ -12,10 +12,10 @@ from ..operators.rolling import Band, repeat_entities, rolling_by_spine
 from ..plans.reports.common import ranked_cat4
 from ..plans.reports.malls import card_updates
 from .registry import query
-from .reports import CARD_UPDATES
-from .roles import EVENT_DAYS, ORDER_DAYS, Roles
+from .reports import ALL_CARD_UPDATES
+from .roles import EVENT_FIRST, EVENT_LAST, Roles
 
-SPINE = f"""(SELECT CAST(UNNEST(generate_series(DATE '{EVENT_DAYS.first}', DATE '{EVENT_DAYS.last}', INTERVAL 1 DAY)) AS DATE) AS dt)"""
+SPINE = f"""(SELECT CAST(UNNEST(generate_series({EVENT_FIRST}, {EVENT_LAST}, INTERVAL 1 DAY)) AS DATE) AS dt)"""
 
 
 @query(
@@ -29,7 +29,7 @@ SPINE = f"""(SELECT CAST(UNNEST(generate_series(DATE '{EVENT_DAYS.first}', DATE
 )
 def win01(r: Roles) -> DataFrame:
     """Three ranks of malls inside a category-day, from one shuffle."""
-    ranked = ranked_cat4(r.mall_cat4_with("delivered_amt", "ordered_store_num"), r.mall_cat1, r.mall_day, r.mall, ORDER_DAYS, None)
+    ranked = ranked_cat4(r.mall_cat4_with("delivered_amt", "ordered_store_num"), r.mall_cat1, r.mall_day, r.mall, r.order_days, None)
     ranks = ("delivered_amt_rank", "penetration_rank", "dau_rank")
     return ranked.select("dt", "cat1", "cat4", "mall_id", *[F.col(c).cast("bigint").alias(c) for c in ranks])
 
@@ -57,9 +57,9 @@ def win03(r: Roles) -> DataFrame:
     return ranking.one_per_key_any(r.agent_grid.where("status = 1"), ["dt", "mall_id", "grid_id"])
 
 
-@query("win04", f"WITH {CARD_UPDATES} SELECT * FROM updates")
+@query("win04", f"WITH {ALL_CARD_UPDATES} SELECT * FROM updates")
 def win04(r: Roles) -> DataFrame:
-    return card_updates(r.goods_card, ORDER_DAYS)
+    return card_updates(r.goods_card, r.ship_days)
 
 
 MEASURES = ["exposed_cnt", "delivered_num", "after_sale_num"]
@@ -81,7 +81,7 @@ def _rolled_sql(direction: str) -> str:
 def win05(r: Roles) -> DataFrame:
     """Rolling sums over four bands, looking back and looking ahead."""
     parts = [
-        rolling_by_spine(r.visit, ["store_id"], "dt", EVENT_DAYS, MEASURES, BANDS, direction=d).withColumn("direction", F.lit(d))
+        rolling_by_spine(r.visit, ["store_id"], "dt", r.event_days, MEASURES, BANDS, direction=d).withColumn("direction", F.lit(d))
         for d in ("backward", "forward")
     ]
     return parts[0].unionByName(parts[1])
@@ -99,7 +99,7 @@ def win06(r: Roles) -> DataFrame:
     """Rolling distinct active days."""
     active = {"exposed": F.col("exposed_cnt") > 0, "ordered": F.col("ordered_num") > 0}
     return rolling_by_spine(
-        r.visit, ["store_id"], "dt", EVENT_DAYS, [], [Band("d7", 0, 6), Band("d30", 0, 29)], active
+        r.visit, ["store_id"], "dt", r.event_days, [], [Band("d7", 0, 6), Band("d30", 0, 29)], active
     )
 
 
@@ -122,7 +122,7 @@ def win07(r: Roles) -> DataFrame:
 )
 def win08(r: Roles) -> DataFrame:
     """A rank gate inside a conditional distinct count."""
-    ranked = ranked_cat4(r.mall_cat4_with("delivered_amt", "ordered_store_num"), r.mall_cat1, r.mall_day, r.mall, ORDER_DAYS, None)
+    ranked = ranked_cat4(r.mall_cat4_with("delivered_amt", "ordered_store_num"), r.mall_cat1, r.mall_day, r.mall, r.order_days, None)
     share = raw_ratio("ordered_store_num", "cat1_stores")
     gate = (share >= 0.15) & (F.col("penetration_rank") <= 3)
     return aggregate(ranked, ["mall_id", "cat1"], Metrics(distincts={"n_top": ("cat4", gate)}))

@@ -18,9 +18,9 @@ DAY_FORMATS = (
     "yyyy/MM/dd HH:mm:ss",
     "yyyy/MM/dd",
 )
-#: Day zero of spreadsheet serials, and the largest serial accepted.
+#: Day zero of spreadsheet serials, and the serial of 9999-12-31, their last day.
 SERIAL_ORIGIN = "1899-12-30"
-SERIAL_LIMIT = 100_000
+SERIAL_LAST = 2_958_465
 #: Fixed value: epochs up to this are seconds, above it milliseconds.
 SECONDS_LIMIT = 9_999_999_999
 MILLIS_PER_DAY = 86_400_000
@@ -40,9 +40,9 @@ def parse_day(c: ColumnLike) -> Column:
 
 
 def serial_to_day(c: ColumnLike) -> Column:
-    """Spreadsheet serial to a date; outside ``(0, 100000)`` it is null."""
+    """Spreadsheet serial to a date; outside the calendar of serials it is null."""
     n = as_col(c)
-    ok = (n > 0) & (n < SERIAL_LIMIT)
+    ok = (n > 0) & (n < SERIAL_LAST + 1)
     return F.when(ok, F.date_add(_day(SERIAL_ORIGIN), F.floor(n).cast("int")))
 
 
@@ -116,6 +116,14 @@ def is_month_end(c: ColumnLike) -> Column:
 
 
 def covers(start: ColumnLike, end: ColumnLike, day: object) -> Column:
-    """Validity range ``start <= day <= end`` on date parts; open ends do not match."""
+    """Validity range ``start <= day <= end`` on date parts.
+
+    Open ends do not match, and neither does text that is no day in any accepted layout:
+    the row is left out, the job goes on.
+    """
     d = day if isinstance(day, Column) else F.lit(day)
-    return (as_col(start).cast("date") <= d) & (as_col(end).cast("date") >= d)
+
+    def read(c: ColumnLike) -> Column:
+        return F.coalesce(as_col(c).try_cast("date"), parse_day(c))
+
+    return (read(start) <= d) & (read(end) >= d)

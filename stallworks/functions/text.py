@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import mimetypes
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
 from .values import ColumnLike, as_col, first_match
 
-#: Suffixes recognised first.
-IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "gif", "webp", "bmp", "ico", "tiff", "heic")
-VIDEO_SUFFIXES = ("mp4", "mov", "m4v", "webm", "avi", "mkv")
+#: Suffixes of images and of videos, the registered types among them.
+IMAGE_SUFFIXES = (
+    "avif", "bmp", "gif", "heic", "heif", "ico", "ief", "jpe", "jpeg", "jpg", "pbm", "pgm", "png", "pnm",
+    "ppm", "ras", "rgb", "svg", "tif", "tiff", "webp", "xbm", "xpm", "xwd",
+)
+VIDEO_SUFFIXES = ("avi", "m1v", "m4v", "mkv", "mov", "movie", "mp4", "mpa", "mpe", "mpeg", "mpg", "qt", "webm")
 #: Words that tick a checkbox, and the domain a checkbox may hold.
 TRUTHY_WORDS = ("true", "1", "yes", "是")
 CHECKBOX_DOMAIN = ("true", "false", "True", "False", "1", "0", "yes", "no", "是", "否")
@@ -20,11 +22,6 @@ LINK_PATTERN = r"^(https?://|//|/|\./|\.\./|~)"
 _HTTP_PATTERN = r"(?i)^https?://[^/?#]+"
 
 
-def _suffixes_of(kind: str) -> list[str]:
-    known = [s.lstrip(".") for s, t in mimetypes.types_map.items() if t.startswith(f"{kind}/")]
-    return sorted(known)
-
-
 def canonical_name(c: ColumnLike, rules: Sequence[tuple[str, str]]) -> Column:
     """Spelling variants to one name: first rule whose fragment occurs wins."""
     col = as_col(c)
@@ -134,9 +131,7 @@ def url_suffix(c: ColumnLike) -> Column:
 def media_type(c: ColumnLike) -> Column:
     """image, video or unknown, by the link's suffix."""
     suffix = url_suffix(c)
-    image = sorted(set(IMAGE_SUFFIXES) | set(_suffixes_of("image")))
-    video = sorted(set(VIDEO_SUFFIXES) | set(_suffixes_of("video")))
-    return first_match([(suffix.isin(image), "image"), (suffix.isin(video), "video")], "unknown")
+    return first_match([(suffix.isin(*IMAGE_SUFFIXES), "image"), (suffix.isin(*VIDEO_SUFFIXES), "video")], "unknown")
 
 
 def attachment_name(c: ColumnLike) -> Column:

@@ -111,18 +111,24 @@ def override_rate(overrides_json: Column, key: Column, default: Column) -> Colum
     return F.coalesce(F.try_element_at(parsed, key.cast("string")), default)
 
 
+def content_hash(df: DataFrame) -> Column:
+    """Hash over the columns that can be hashed: maps, and what holds them, cannot."""
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(*[F.col(c) for c in plain], F.lit(0)), F.lit(1 << 31))
+
+
 def grid_product(left: DataFrame, right: DataFrame, blocks: int | None = None) -> DataFrame:
     """Every left row with every right row, as an equi-join on a block number.
 
     For configuration grids whose product is the wanted result; ``left`` is the shorter
-    side. The right side is spread over the blocks by its content and the left side
-    copied once per block, so the work splits into as many joinable parts as there are
-    shuffle partitions instead of a cartesian pairing. While the copies stay under the
-    broadcast threshold, the right side is not shuffled at all.
+    side. The right side is spread over the blocks by its content and its input split, and
+    the left side copied once per block, so the work splits into as many joinable parts as
+    there are shuffle partitions instead of a cartesian pairing. While the copies stay
+    under the broadcast threshold, the right side is not shuffled at all.
     """
     if blocks is None:
         blocks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    block = F.pmod(F.xxhash64(*right.columns), F.lit(blocks)).cast("int")
+    block = F.pmod(content_hash(right) + F.spark_partition_id(), F.lit(blocks)).cast("int")
     spread = right.withColumn("__block", block)
     copied = left.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     return copied.join(spread, "__block").drop("__block")
@@ -153,7 +159,7 @@ def hot_key_join(
     )
     # Content and input split decide the part, never the order of rows, so a task that
     # runs again sends every row where it went before; exact copies spread as well.
-    spread = F.pmod(F.xxhash64(*fact.columns) + F.spark_partition_id(), F.lit(parts))
+    spread = F.pmod(content_hash(fact) + F.spark_partition_id(), F.lit(parts))
     salted = join_null_safe(fact, hot, keys).withColumn(
         "__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0)).cast("int")
     )

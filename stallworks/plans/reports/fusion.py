@@ -41,7 +41,8 @@ def pilot_kpis(detail: DataFrame, flags: DataFrame, pilots: dict[str, str], rule
     numbers = ("delivered_amt", "ordered_num", "commission_amt")
     rows = (
         detail.withColumn("store_id", harmonised("store_id"))
-        .withColumns({c: nz(F.col(c).cast("decimal(22,4)")) for c in numbers})
+        # ten digits behind the point hold every amount; NaN and infinities count as none
+        .withColumns({c: nz(F.col(c).try_cast("decimal(32,10)")) for c in numbers})
         .withColumns({c: to_number(c, 0.0) for c in ("is_pilot", "is_after_sale", "is_rebuy")})
         .join(marks, ["dt", "store_id", "cat4"], "left")
         .withColumn("pilot_mark", nz("pilot_mark"))

@@ -63,12 +63,17 @@ def pricing_plan(
 ) -> DataFrame:
     """Fixed commission ratio on trial, fixed amount elsewhere, with its direction.
 
-    A pair without a rate and without a fee has no price and is left out.
+    A pair without a rate and without a fee has no price and is left out. Rates are looked
+    up for products × cities, a small grid; the large one, products × regions, comes out of
+    the last join and is never shuffled itself. A region without a city has neither rate
+    nor fee.
     """
     products = trial_products(t["goods"], t["trial_goods"], day)
     regions = with_fee(scan_day(t["county"], "dt", day).drop("dt"), t["logistics"], day)
     rates = active_rates(t["trial_rate"], day, rate_order)
-    grid = grid_product(products, regions).join(rates, ["goods_id", "city_id"], "left")
+    cities = regions.select("city_id").dropna().distinct()
+    offers = grid_product(products, cities).join(rates, ["goods_id", "city_id"], "left")
+    grid = regions.join(offers, "city_id")
     rate = F.when(has("operation_type", labels.self_tag), F.col("self_rate")).when(
         has("operation_type", labels.agent_tag), F.col("agent_rate")
     )

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from contextlib import ExitStack
 
-from ..functions.coerce import FieldType
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+from ..functions.coerce import FieldType, coerce_frame
 from ..operators.quality import FieldCheck, check_columns, missing_columns
-from ..operators.reshape import pad_columns
+from ..session import scratch_path
+from ..sinks.merge import staged
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -25,21 +27,51 @@ def run_steps(df: DataFrame, steps: Sequence[tuple[str, Step]]) -> DataFrame:
     return df
 
 
+@dataclass(frozen=True)
+class StepShape:
+    """Columns a step left, and the observation that has its row count after an action."""
+
+    step: str
+    columns: tuple[str, ...]
+    seen: Observation
+
+    @property
+    def rows(self) -> int:
+        return self.seen.get["rows"]
+
+
+def run_steps_logged(df: DataFrame, steps: Sequence[tuple[str, Step]]) -> tuple[DataFrame, list[StepShape]]:
+    """``run_steps`` with the shape behind every step, counted while the result is computed."""
+    shapes = []
+    for name, step in steps:
+        df = run_steps(df, [(name, step)])
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        shapes.append(StepShape(name, tuple(df.columns), seen))
+    return df, shapes
+
+
 def run_sql(spark: SparkSession, text: str, params: dict[str, object], tables: dict[str, DataFrame]) -> DataFrame:
     """SQL text with ``:name`` parameters bound as values, never spliced into the text."""
     return spark.sql(text, args=params, **tables)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Publish a named query for later SQL."""
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.table(name)
+    """Compute a named query once, as a table in the shared folder, for later SQL."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.createOrReplaceTempView(name)
+    return table
 
 
 @dataclass(frozen=True)
 class Route:
     """One input to one target.
 
+    mapping: ``{source column: (target field, type)}``. With one, the target gets its
+    fields alone, coerced to their types; without, the columns as they are.
     level: 'strict' stops the route on a CRITICAL issue, 'warn' records it, 'skip'
     does not check.
     """
@@ -71,10 +103,14 @@ class RoutesFailed(RuntimeError):
 
 def _run_one(route: Route, pool: dict[str, DataFrame]) -> RouteResult:
     n_critical = 0
+    stack = ExitStack()
     try:
         if route.source not in pool:
             raise KeyError(f"{route.source!r} not found, available: {sorted(pool)}")
         df = run_steps(pool[route.source], route.steps)
+        if route.mapping and route.level != "skip":
+            # what is checked is what is written, and is computed once
+            df = stack.enter_context(staged(df, "route"))
         if route.mapping:
             checks = [FieldCheck(c, kind) for c, (_, kind) in route.mapping.items()]
             if route.level != "skip":
@@ -83,30 +119,29 @@ def _run_one(route: Route, pool: dict[str, DataFrame]) -> RouteResult:
                 if n_critical and route.level == "strict":
                     raise ValueError(f"{n_critical} critical issue(s)")
             absent = {c: "string" for c in route.mapping if c not in df.columns}
-            df = df.withColumns({c: F.lit(None).cast(t) for c, t in absent.items()})
+            df = coerce_frame(df.withColumns({c: F.lit(None).cast(t) for c, t in absent.items()}), route.mapping)
         route.write(df)
         return RouteResult(route.name, route.source, True, n_critical, None)
     except Exception as error:
         text = str(error).splitlines()[0] if str(error) else type(error).__name__
         return RouteResult(route.name, route.source, False, n_critical, text)
+    finally:
+        stack.close()
 
 
 def run_routes(pool: dict[str, DataFrame], routes: Sequence[Route], fail: bool = True) -> list[RouteResult]:
     """Run every route; one that fails does not stop the others.
 
-    An input that several routes read is kept on the executors' disks while they run,
-    so it is computed once.
+    An input that several routes read is staged in the shared folder while they run, so it
+    is computed once, whatever happens to executors.
     """
     active = [r for r in routes if r.enabled]
     uses: dict[str, int] = {}
     for r in active:
         uses[r.source] = uses.get(r.source, 0) + 1
-    shared = [pool[s].persist(StorageLevel.DISK_ONLY) for s, n in uses.items() if n > 1 and s in pool]
-    try:
-        results = [_run_one(r, pool) for r in active]
-    finally:
-        for df in shared:
-            df.unpersist()
+    with ExitStack() as stack:
+        shared = {s: stack.enter_context(staged(pool[s], "input")) for s, n in uses.items() if n > 1 and s in pool}
+        results = [_run_one(r, {**pool, **shared}) for r in active]
     if fail and any(not r.success for r in results):
         raise RoutesFailed(results)
     return results
@@ -137,8 +172,3 @@ def route_summary(spark: SparkSession, routes: Sequence[Route]) -> DataFrame:
         F.count(F.lit(1)).alias("n_fields")
     )
 
-
-__all__ = [
-    "Route", "RouteResult", "RoutesFailed", "materialise", "pad_columns", "route_fields",
-    "route_status", "route_summary", "run_routes", "run_sql", "run_steps",
-]

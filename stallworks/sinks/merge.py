@@ -43,7 +43,7 @@ def delete_where(df: DataFrame, conditions: list[Condition], conjunction: str =
 
 
 @contextmanager
-def _staged(rows: DataFrame, label: str) -> Iterator[DataFrame]:
+def staged(rows: DataFrame, label: str) -> Iterator[DataFrame]:
     """``rows`` as a table in the shared folder, removed again whatever happens."""
     spark = rows.sparkSession
     path = scratch_path(spark, label)
@@ -61,10 +61,10 @@ def _rewrite(path: str, day: str, days: list, rows: DataFrame) -> None:
     away. Days that are written are replaced before emptied ones are dropped; a run that
     breaks off in between leaves emptied days, which a second run drops.
     """
-    with _staged(rows, "stage") as staged:
-        left = set(_days_of(staged, day))
-        overwrite_days(staged, path, day)
-        drop_days(staged.sparkSession, path, day, [d for d in days if d not in left])
+    with staged(rows, "stage") as held:
+        left = set(_days_of(held, day))
+        overwrite_days(held, path, day)
+        drop_days(held.sparkSession, path, day, [d for d in days if d not in left])
 
 
 def _days_of(df: DataFrame, day: str) -> list:
@@ -98,7 +98,7 @@ def upsert_into(
     spark = new.sparkSession
     require_days(new, day)
     old = spark.read.parquet(path)
-    with _staged(new.select(*[c for c in old.columns if c in new.columns]), "incoming") as rows:
+    with staged(new.select(*[c for c in old.columns if c in new.columns]), "incoming") as rows:
         twice = rows.dropna(subset=list(keys)).groupBy(*keys).count().where("count > 1").limit(1).collect()
         if twice:
             raise ValueError(f"two new rows have the key {[twice[0][k] for k in keys]}")
