@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from stallworks.llm.common import coded_words, cut, slices
 
 BANDS, ROWS = 16, 4
-MISS = 1e-6
+MISS = 1e-10
 BATCH = 8
 BLOCK = 1024
 SLICE_BYTES = 2 << 20
