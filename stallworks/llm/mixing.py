@@ -101,7 +101,7 @@ def solve(
 def _order(seed: int) -> tuple[Column, Column]:
     """A document's hash, which gives its block and its place inside it."""
     h = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    return F.pmod(h, F.col("blocks")).alias("block"), h.alias("place")
+    return F.pmod(h, F.col("_blocks")).alias("block"), h.alias("place")
 
 
 def mix_sources(
@@ -130,27 +130,27 @@ def mix_sources(
         rest = int(max(0.0, budget - full * own)) if own else 0
         plan.append((r["_source"], mix.weight[r["_source"]], full, rest, max(1, r["docs"] // BLOCK_ROWS)))
     # a row for each source, from here on
-    plans = F.broadcast(spark.createDataFrame(plan, "_source string, weight double, full long, rest long, blocks long"))
-    placed = rows.join(plans, "_source").where("rest > 0").select("_source", "tokens", "rest", *_order(seed))
+    plans = F.broadcast(spark.createDataFrame(plan, "_source string, _weight double, _full long, _rest long, _blocks long"))
+    placed = rows.join(plans, "_source").where("_rest > 0").select("_source", "tokens", "_rest", *_order(seed))
     # the block in which a source's budget ends
-    sums = placed.groupBy("_source", "block", "rest").agg(F.sum("tokens").alias("n"))
+    sums = placed.groupBy("_source", "block", "_rest").agg(F.sum("tokens").alias("n"))
     before = F.sum("n").over(Window.partitionBy("_source").orderBy("block")) - F.col("n")
-    ending = sums.withColumn("before", before).where("before <= rest AND before + n > rest")
-    ending = cut(ending.select("_source", "block", (F.col("rest") - F.col("before")).alias("room")))
+    ending = sums.withColumn("before", before).where("before <= _rest AND before + n > _rest")
+    ending = cut(ending.select("_source", "block", (F.col("_rest") - F.col("before")).alias("room")))
     # and the last place in it that still fits
     inside = placed.join(F.broadcast(ending), ["_source", "block"])
     filled = F.sum("tokens").over(Window.partitionBy("_source").orderBy("place"))
     last = inside.withColumn("filled", filled).where("filled <= room")
     last = last.groupBy("_source").agg(F.max("place").alias("last"))
-    ends = ending.join(last, "_source", "left").select("_source", F.col("block").alias("end_block"), "last")
+    ends = ending.join(last, "_source", "left").select("_source", F.col("block").alias("_end"), F.col("last").alias("_last"))
     plans = F.broadcast(plans.join(F.broadcast(ends), "_source", "left"))
     kept = [c for c in docs.columns if c not in ("mix_weight", "mix_copies")]
     block, place = _order(seed)
     joined = docs.select(*kept, key).join(plans, "_source")
-    part = (block < F.col("end_block")) | ((block == F.col("end_block")) & (place <= F.col("last")))
-    more = F.when((F.col("rest") > 0) & F.coalesce(part, F.lit(False)), 1).otherwise(0)
-    copies = (F.col("full") + more).cast("int").alias("mix_copies")
-    return joined.select(*kept, F.col("weight").alias("mix_weight"), copies)
+    part = (block < F.col("_end")) | ((block == F.col("_end")) & (place <= F.col("_last")))
+    more = F.when((F.col("_rest") > 0) & F.coalesce(part, F.lit(False)), 1).otherwise(0)
+    copies = (F.col("_full") + more).cast("int").alias("mix_copies")
+    return joined.select(*kept, F.col("_weight").alias("mix_weight"), copies)
 
 
 def repeated(mixed: DataFrame) -> DataFrame:

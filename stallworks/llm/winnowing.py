@@ -101,9 +101,13 @@ def with_next(rows: DataFrame, carried: list[str], key: str = "doc_id") -> DataF
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = F.coalesce(F.col(key), F.lit(-(1 << 63))).cast("double").alias("_place")
     placed = rows.select(*rows.columns, place)
-    cuts = placed.approxQuantile("_place", [i / parts for i in range(1, parts)], 1 / (4 * parts))
+    inner = [i / parts for i in range(1, parts)]
+    cuts = placed.approxQuantile("_place", inner, 1 / (4 * parts)) if inner else []
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="_place", outputCol="_range").transform(placed)
+    if cuts:
+        ranged = Bucketizer(splits=splits, inputCol="_place", outputCol="_range").transform(placed)
+    else:
+        ranged = placed.withColumn("_range", F.lit(0.0))
     tops = ranged.groupBy("_range").agg(F.max("_place").alias("_place")).collect()  # a row for each range
     tops = sorted(((r["_range"], r["_place"]) for r in tops), reverse=True)
     if not tops:
