@@ -234,30 +234,32 @@ def fit(docs: DataFrame, sample: DataFrame) -> ToxicModel:
         for batch in batches:
             labels = batch.column(1).to_pylist()
             for low, high in slices(batch.column(0), SLICE_BYTES):
-                got = list(model.segments(batch.column(0).slice(low, high - low)))
+                rows: list[tuple[int, int, int, list[float]]] = []
+                plain = {0: [0, 0], 1: [0, 0]}  # texts without a segment, and their tokens
+                got = model.segments(batch.column(0).slice(low, high - low))
+                for label, (tokens, spans) in zip(labels[low:high], got, strict=True):
+                    if spans:
+                        rows.append((int(label > 0), 1, tokens, [s for *_, s in spans]))
+                    else:
+                        plain[int(label > 0)][0] += 1
+                        plain[int(label > 0)][1] += tokens
+                rows += [(label, n, tokens, []) for label, (n, tokens) in plain.items() if n]
+                cols = list(zip(*rows, strict=True))
+                types = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.float64())]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(labels[low:high], pa.int32()),
-                        pa.array([n for n, _ in got], pa.int64()),
-                        pa.array([[s for *_, s in x] for _, x in got], pa.list_(pa.float64())),
-                    ],
-                    ["label", "tokens", "scores"],
+                    [pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["label", "n", "tokens", "scores"]
                 )
 
-    seen = rows.mapInArrow(scan, "label int, tokens long, scores array<double>").toPandas()
-    clean = seen[seen["label"] == 0]
-    tokens = max(1, int(clean["tokens"].sum()))
+    seen = rows.mapInArrow(scan, "label int, n long, tokens long, scores array<double>").collect()  # bounded like the sample
+    tokens = max(1, sum(r["tokens"] for r in seen if not r["label"]))
     model.scale = _scale(table["odds"].to_numpy(float), table["clean"].to_numpy(float) / tokens)
     # segments of clean texts above the median lexicon score, against their expected number
     level = model.scale * float(table["odds"].median()) if len(table) else 1.0
-    above = sum(1 for x in clean["scores"] for s in x if model.scale * s >= level)
+    above = sum(1 for r in seen if not r["label"] for s in r["scores"] if model.scale * s >= level)
     model.constant = min(1.0, (above + 1) * math.exp(min(50.0, level)) / tokens)
-    found = [
-        model.statistic(model.passages(n, [(0, 0, s) for s in x]))
-        for n, x in zip(seen["tokens"], seen["scores"], strict=True)
-    ]
-    x = np.log1p(np.round(found, 2))
-    model.intercept, model.slope = _curve(x, (seen["label"] > 0).to_numpy(float), np.ones(len(x)))
+    found = [model.statistic(model.passages(r["tokens"], [(0, 0, s) for s in r["scores"]])) for r in seen]
+    truth, times = (np.array([r[c] for r in seen], float) for c in ("label", "n"))
+    model.intercept, model.slope = _curve(np.log1p(np.round(found, 2)), truth, times)
     return model
 
 
