@@ -196,8 +196,8 @@ def components(links: DataFrame) -> DataFrame:
     Each turn takes the smallest label among the neighbours and then the label's own label,
     so chains shorten by half; the loop ends when no label changes.
     """
-    both = links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct()
-    labels = both.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("b"), F.min("a")).alias("component"))
+    both = cut(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct())
+    labels = cut(both.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("b"), F.min("a")).alias("component")))
     while True:
         near = both.join(labels.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep"))
         stepped = labels.join(near.agg(F.min("component").alias("near")), "rep").select(
