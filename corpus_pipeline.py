@@ -44,7 +44,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near-duplicates: five-word shingles, 0.8 or more."""
-    found = near_dups.near_duplicates(docs, shingle=5, percent=80, bands=BANDS, rows=ROWS)
+    # one round of hubs: what it leaves goes to blocks, with fewer jobs for the driver to keep
+    found = near_dups.near_duplicates(docs, shingle=5, percent=80, bands=BANDS, rows=ROWS, star_rounds=1)
     return docs.select(*COLUMNS).join(found.where("kept").select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
 
 
