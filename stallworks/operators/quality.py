@@ -17,6 +17,7 @@ from ..functions.dates import parse_day
 from ..functions.text import CHECKBOX_DOMAIN, looks_like_link
 
 ISSUE_SCHEMA = "field string, check string, level string, n bigint, value double"
+#: Number displays that stand for a share.
 PERCENT_DISPLAYS = ("progress", "percent", "percentage")
 
 

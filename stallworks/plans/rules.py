@@ -37,6 +37,7 @@ ROW_KEYS = {
 class Rules:
     """Category lists, thresholds and labels. Defaults are the usual configuration."""
 
+    #: Fixed values, down to ``missing_rep``: names and labels that stored tables carry.
     special_cat4: Sequence[str] = ("金枕榴莲", "干尧榴莲", "甲仑榴莲", "托曼尼榴莲", "青尼榴莲")
     special_label: str = "榴莲"
     pilot_cat4: Sequence[str] = ("麒麟西瓜", "香蕉")
@@ -53,6 +54,7 @@ class Rules:
     online_tag: str = "线上"
     online_rep: tuple[int, str] = (-88, "线上运营")
     missing_rep: tuple[int, str] = (-99, "其他/未配置")
+    #: Thresholds of the reports.
     sku_target_share: float = 0.1
     special_penetration: float = 0.10
     top_rank: int = 3
