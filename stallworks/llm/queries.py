@@ -87,7 +87,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document, and whether it resembles the trusted target."""
     docs = documents(spark, sf_dir)
-    trusted = labelled_sample(labels(spark, sf_dir), "quality", F.col("quality") == 1)
+    trusted = labels(spark, sf_dir).where("quality = 1")
     table = target_ratio.ratios(target_ratio.gram_counts(docs, trusted))
     scored = target_ratio.score(target_ratio.base_statistics(docs), table)
     return scored.select(

@@ -119,10 +119,11 @@ def buckets_of(words: Column, buckets: int = BUCKETS) -> Column:
 def gram_counts(docs: DataFrame, targets: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``bucket, target, raw``: n-grams of the trusted texts and of all texts.
 
-    ``targets`` has the ``doc_id`` of the trusted texts, a bounded list, hence broadcast.
+    ``targets`` has the ``doc_id`` of the trusted texts, however many there are; texts meet
+    them by a sort-merge join, whatever the size.
     """
     own = targets.select("doc_id").distinct().withColumn("trusted", F.lit(1))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(own), "doc_id", "left")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(own.hint("merge"), "doc_id", "left")
     gram = rows.select(
         F.explode(buckets_of(words_of(F.col("text")), buckets)).alias("bucket"),
         F.coalesce("trusted", F.lit(0)).alias("trusted"),

@@ -9,8 +9,8 @@ import pytest
 from conftest import odd_rows
 from pyspark.sql import functions as F
 
-from stallworks.llm import quality_rules, target_ratio, toxicity
-from stallworks.llm.common import fold, labelled_sample
+from stallworks.llm import quality_rules, queries, target_ratio, toxicity
+from stallworks.llm.common import LABEL_BOUND, fold, labelled_sample
 
 
 def accuracy(scored, labels, name, label, held, bar):
@@ -115,6 +115,17 @@ def test_base_statistics(odd, docs, none):
     assert target_ratio.base_statistics(none).collect() == []
 
 
+def test_target_counts_all_trusted_rows(spark, tmp_path):
+    """One more than the classifiers' bound, each with a text of its own."""
+    n = LABEL_BOUND + 1
+    ids = spark.range(n).select(F.col("id").alias("doc_id"))
+    ids.withColumn("text", F.concat(F.lit("word w"), "doc_id")).write.parquet(f"{tmp_path}/documents.parquet")
+    ids.withColumn("quality", F.lit(1)).withColumn("toxic", F.lit(0)).write.parquet(f"{tmp_path}/labels.parquet")
+    rows = queries.op7_target_ratio(spark, str(tmp_path))
+    # the target is the corpus, so no n-gram is rarer in either
+    assert rows.count() == n and rows.where("abs(target_ratio) > 1e-12").isEmpty()
+
+
 def test_ratio_of_every_document(docs, labels, odd, none):
     trusted = labelled_sample(labels, "quality", F.col("quality") == 1)
     counts = target_ratio.gram_counts(docs, trusted)
