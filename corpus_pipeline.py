@@ -2,7 +2,7 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns the rows that the next one reads
 back from Parquet. All but the last return the columns of ``documents``. Rows whose
-``doc_id`` is null are dropped by the near-duplicate stage; every other defined result is
+``doc_id`` is null pass the near-duplicate stage as they are; every other defined result is
 that of the operators.
 """
 
@@ -43,10 +43,16 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates: five-word shingles, 0.8 or more."""
+    """One document of every group of near-duplicates: five-word shingles, 0.8 or more.
+
+    Rows of the same ``doc_id`` and text stay together; rows without a ``doc_id`` all stay.
+    """
     # one round of hubs: what it leaves goes to blocks, with fewer jobs for the driver to keep
     found = near_dups.near_duplicates(docs, shingle=5, percent=80, bands=BANDS, rows=ROWS, star_rounds=1)
-    return docs.select(*COLUMNS).join(found.where("kept").select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
+    kept = found.where("kept").select(F.col("doc_id").alias("_id"), "key")
+    rows = docs.select(*COLUMNS)
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("key"))
+    return rows.join(kept, same, "left_semi").unionByName(rows.where("doc_id IS NULL"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 1. A text's set holds the hashes of its distinct word shingles. Texts of equal sets are one
-   class, whose smallest ``doc_id`` stands for it; only these go on.
+   class with a number of its own, and its smallest ``doc_id`` and text hash stand for it;
+   only these go on.
 2. A signature of ``BANDS * ROWS`` minima is cut into bands; classes that share a band are a
    bucket. A pair with the least similarity of 0.85 shares none with probability
    ``(1 - 0.85**4)**16``, under 1e-5.
@@ -17,10 +18,10 @@
 
 Nothing is capped: a large bucket costs more blocks, not fewer comparisons. Hashes have 64
 bits. Defined results: null text has no set, no link and stands alone; texts with fewer
-words than a shingle have their whole word sequence as the one shingle; repeated rows of a
-``doc_id`` are the document that has the largest set and the smallest hash of it; a null
-``doc_id`` is dropped from the result; an empty table gives no row; other columns are
-ignored.
+words than a shingle have their whole word sequence as the one shingle; different texts of
+one ``doc_id`` are documents of their own, rows of the same ``doc_id`` and text are one; a
+null ``doc_id`` is not in the result, and ``unnamed`` gives those rows, each on its own; an
+empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -91,11 +92,11 @@ def signature(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, digest, signature``: the digest identifies the set."""
+    """``doc_id, key, n_shingles, digest, signature``: the digest identifies the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pc.fill_null(batch.column(1), "")
+            texts = pc.fill_null(batch.column(2), "")
             for low, high in slices(texts, SLICE_BYTES):
                 sets = shingle_sets(texts.slice(low, high - low), size)
                 sums = [
@@ -105,15 +106,27 @@ def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low),
+                        batch.column(1).slice(low, high - low),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(sums, pa.binary()),
                         pa.array([signature(s, bands * rows).tobytes() if len(s) else None for s in sets], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "digest", "signature"],
+                    ["doc_id", "key", "n_shingles", "digest", "signature"],
                 )
 
-    rows_ = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL")
-    return rows_.mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature binary")
+    return _keyed(docs).mapInArrow(run, "doc_id long, key long, n_shingles long, digest binary, signature binary")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, key, text``; ``key`` is the text's hash, with null as empty."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("key"), text.alias("text"))
+
+
+def unnamed(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for rows without a ``doc_id``."""
+    rows = signatures(docs.where(F.col("doc_id").cast("long").isNull()), shingle, 1, 1)
+    return rows.select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
 
 
 def least_matches(threshold: float, width: int, batch: int, miss: float) -> list[int]:
@@ -312,23 +325,27 @@ def near_duplicates(
     rows: int = ROWS,
     star_rounds: int = 2,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every document."""
+    """``doc_id, key, n_shingles, component_id, kept`` for every text of every document.
+
+    ``key`` is the text's ``xxhash64``; one ``doc_id`` and ``key`` of a component is kept.
+    """
     width = bands * rows
     needed = least_matches(percent / 100, width, BATCH, MISS)
-    signed = signatures(docs, shingle, bands, rows).groupBy("doc_id").agg(
+    named = docs.where(F.col("doc_id").cast("long").isNotNull())
+    signed = signatures(named, shingle, bands, rows).groupBy("doc_id", "key").agg(
         F.max_by(F.struct("n_shingles", "digest", "signature"), F.struct("n_shingles", "digest")).alias("s")
     )
-    signed = cut(signed.select("doc_id", "s.*"))
+    signed = cut(signed.select("doc_id", "key", "s.*"))
     classes = cut(
         signed.where("n_shingles > 0")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.min_by("signature", "doc_id").alias("signature"))
-        .select("rep", "digest", "signature")
+        .agg(F.min(F.struct("doc_id", "key")).alias("first"), F.min("signature").alias("signature"))
+        .select(F.monotonically_increasing_id().alias("rep"), "first", "digest", "signature")
     )
     members = _buckets(classes, bands, rows)
     central = members.groupBy("rep").agg(F.sum("size").alias("near"))
     members = cut(members.join(central, "rep").select("bucket", "band", "rep", "near"))
-    wanted = members.select("rep").distinct()
+    wanted = classes.join(members.select("rep").distinct(), "rep").select("rep", "first.*")
     sets = cut(_sets(docs, wanted, shingle))
     links: DataFrame | None = None
     labels: DataFrame | None = None
@@ -349,16 +366,17 @@ def near_duplicates(
             linked = _between(left, classes, sets, needed, rows, bands, percent)
         links = cut(linked if links is None else links.union(linked))
         labels = components(links)
-    by_class = _labelled(classes.select("rep", "digest"), labels).select("digest", "component")
-    out = signed.select("doc_id", "n_shingles", "digest").join(by_class, "digest", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept")
-    )
+    by_class = _labelled(classes.select("rep", "first", "digest"), labels)
+    firsts = by_class.groupBy("component").agg(F.min("first").alias("first"))
+    by_class = by_class.select("digest", "component").join(firsts, "component").select("digest", "first")
+    out = signed.select("doc_id", "key", "n_shingles", "digest").join(by_class, "digest", "left")
+    own = F.struct("doc_id", "key")
+    first = F.when(F.col("n_shingles") > 0, F.col("first")).otherwise(own)
+    return out.select("doc_id", "key", "n_shingles", first["doc_id"].alias("component_id"), (first == own).alias("kept"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``rep, hashes``: the sorted full set of each wanted document, 8 bytes a shingle."""
+    """``rep, hashes``: the sorted full set of each wanted ``doc_id, key``, 8 bytes a shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -369,6 +387,6 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                     [batch.column(0).slice(low, high - low), pa.array(blobs, pa.binary())], ["rep", "hashes"]
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"))
-    sets = rows.join(wanted, "rep", "left_semi").mapInArrow(run, "rep long, hashes binary")
+    rows = _keyed(docs).join(wanted, ["doc_id", "key"]).select("rep", "text")
+    sets = rows.mapInArrow(run, "rep long, hashes binary")
     return sets.groupBy("rep").agg(F.max_by("hashes", F.struct(F.length("hashes"), F.xxhash64("hashes"))).alias("hashes"))

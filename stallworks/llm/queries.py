@@ -63,7 +63,9 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate component over sets of three-word shingles."""
-    return near_dups.near_duplicates(documents(spark, sf_dir), shingle=3, percent=85)
+    docs = documents(spark, sf_dir)
+    found = near_dups.near_duplicates(docs, shingle=3, percent=85).drop("key")
+    return found.unionByName(near_dups.unnamed(docs, shingle=3))
 
 
 def toxic_model(docs: DataFrame, all_labels: DataFrame) -> toxicity.ToxicModel:

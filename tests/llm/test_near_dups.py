@@ -1,11 +1,12 @@
 import random
 import re
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from conftest import SCHEMA, prose
 
-from stallworks.llm import near_dups
+from stallworks.llm import near_dups, queries
 
 
 def sets_of(rows, size):
@@ -51,6 +52,20 @@ def test_null_ids_and_no_documents(spark, none):
     assert result(near_dups.near_duplicates(rows)) == {1: (0, 1, True)}
 
 
+def test_texts_that_share_an_id_and_rows_without_one(spark, tmp_path):
+    """Each text of an id is judged; no document without an id is lost."""
+    one, two, three = prose(1, 90), prose(2, 90), prose(3, 90)
+    rows = [(1, one), (1, two), (2, two + " end"), (3, three), (4, two), (None, one), (None, one), (None, prose(4, 90))]
+    df = spark.createDataFrame([(i, t, "", "", 0) for i, t in rows], SCHEMA)
+    got = [tuple(r) for r in near_dups.near_duplicates(df).select("doc_id", "component_id", "kept").collect()]
+    assert sorted(got) == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 3, True), (4, 1, False)]
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()]
+    assert sorted(left, key=str) == sorted([(1, one), (1, two), (3, three), *rows[5:]], key=str)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op5_minhash_near_dups(spark, str(tmp_path)).collect()
+    assert len(found) == len(rows) and sum(r["kept"] for r in found) == 6
+
+
 @pytest.mark.parametrize("block", [8, 1024])
 def test_a_large_group_of_copies_that_drift(spark, monkeypatch, block):
     """Copies of copies: many are linked through others, many to none."""
