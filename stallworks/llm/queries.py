@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallworks.llm import line_chunks, mixing, near_dups, packing, quality_rules, repeats, secrets, target_ratio, toxicity, winnowing
+from stallworks.llm import (
+    alignment,
+    decontamination,
+    line_chunks,
+    mixing,
+    near_dups,
+    packing,
+    periodic_runs,
+    quality_rules,
+    repeats,
+    secrets,
+    target_ratio,
+    toxicity,
+    winnowing,
+)
 from stallworks.llm.common import fold, labelled_sample
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -140,6 +156,51 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs, repetition=4.0).select("doc_id", "source", "mix_weight", "mix_copies")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned and weighed by corpus counts."""
+    path_a, path_b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = alignment.align_tokenizers(documents(spark, sf_dir), path_a, path_b, digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_training_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words that stand in windows of benchmark items."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.contamination(documents(spark, sf_dir), benchmark)
+    items = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(items, 256).alias("items_sha256"), "contaminated"
+    )
+
+
+def periodic_tail(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The order of words of a text whose tail is made periodic: one in ten ids."""
+    code = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if code % 10 or not n:
+        return None
+    at = code // 10 % n
+    period = 1 + (n - at) // (3 + code // 10 % 8)
+    order = np.arange(n)
+    order[at:] = at + (order[at:] - at) % period
+    return order
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs of words, and its text with one period of each."""
+    found = periodic_runs.find_runs(documents(spark, sf_dir), reorder=periodic_tail)
+    best = periodic_runs.longest(F.col("runs"))
+    return found.select("doc_id", "runs", "collapsed", best.alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.spelled(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -151,6 +212,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_secret_scan": op9_secret_scan,
     "op10_suffix_repeats": op10_suffix_repeats,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_training_suffixes": op12_training_suffixes,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
-SQL: dict[str, str] = {"op2_line_dedup": line_chunks.SQL}
+SQL: dict[str, str] = {"op2_line_dedup": line_chunks.SQL, "op12_training_suffixes": decontamination.SQL}
