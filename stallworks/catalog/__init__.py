@@ -7,6 +7,6 @@ the equivalent statement. Names are the inventory identifiers in lower case.
 from __future__ import annotations
 
 from .registry import REGISTRY
-from . import scans, writes, projections, joins, aggregates, windows, scalars, checks, reports  # noqa: F401
+from . import scans, writes, projections, joins, aggregates, windows, scalars, checks, reports, trial  # noqa: F401
 
 __all__ = ["REGISTRY"]

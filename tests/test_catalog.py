@@ -49,7 +49,7 @@ def test_every_query_has_sql():
 def test_inventory_is_complete():
     want = {
         "src": 11, "snk": 10, "prj": 11, "flt": 12, "jon": 15, "agg": 17, "win": 9, "srt": 3,
-        "set": 3, "scl": 31, "dq": 11, "rt": 6, "q": 17,
+        "set": 3, "scl": 31, "dq": 11, "rt": 6, "q": 17, "x": 5,
     }
     names = {f"{p}{i:02d}" for p, n in want.items() for i in range(1, n + 1)}
     assert names == set(REGISTRY)
