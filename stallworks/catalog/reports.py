@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.values import flag
 from ..params import DateWindow
@@ -14,6 +14,7 @@ from ..plans.rules import Rules
 from .registry import query
 from .roles import (
     CANCELLED,
+    CAT1_IDS,
     EVENT_DAYS,
     EVENT_SHIFT_DAYS,
     FRUIT,
@@ -25,6 +26,8 @@ from .roles import (
     VEGETABLES,
     Roles,
     _list,
+    cat1_id,
+    cat4_id,
     money,
     rate,
 )
@@ -58,7 +61,7 @@ UPGRADE = """upgrade AS (SELECT o.dt, t.mall_id, g.cat1, g.cat4{store},
 UPGRADE_MALL = UPGRADE.replace("{store}", "")
 UPGRADE_STORE = UPGRADE.replace("{store}", ", t.store_id")
 
-ACTIVE = "ordered_num + delivered_num + after_sale_num + rebuy_days > 0"
+ACTIVE = "exposed_num + clicked_num + added_num + ordered_num + after_sale_num + rebuy_num > 0"
 AGENTS = "agents AS (SELECT DISTINCT dt, mall_id, grid_id FROM agent_grid WHERE status = 1)"
 
 
@@ -72,7 +75,7 @@ class ReportTables(Mapping):
     ROLES = {
         "mall_cat1": "mall_cat1", "mall_day": "mall_day", "malls": "mall",
         "sku_mall": "sku_mall", "complaint": "complaint", "ticket": "ticket", "orders": "orders",
-        "goods": "goods_day", "goods_card": "goods_card", "flow": "flow", "store_cat4": "store_cat4",
+        "goods": "goods_day", "goods_card": "goods_card", "flow": "flow", "store_cat4": "store_cat4", "store_feed": "store_feed",
         "store_dim": "store_dim", "agent_grid": "agent_grid", "grid_day": "grid_day",
     }
 
@@ -112,7 +115,7 @@ Q01_SQL = f"""WITH {UPGRADE_STORE},
       LEFT JOIN agents a ON a.dt = f.dt AND a.mall_id = f.mall_id AND a.grid_id = COALESCE(f.grid_id, p.grid_id)
       LEFT JOIN upgrade u ON u.dt = f.dt AND u.mall_id = f.mall_id AND u.cat1 = f.cat1 AND u.cat4 = f.cat4 AND u.store_id = f.store_id
       LEFT JOIN grid_day g ON g.dt = f.dt AND g.grid_id = COALESCE(f.grid_id, p.grid_id)
-      WHERE {ACTIVE} AND ordered_num > 0)
+      WHERE ordered_num > 0)
     SELECT dt, mall_id, mall, operate_type,
       CAST(COALESCE(b_id, CASE WHEN b_name IS NULL AND instr(g_name, 'NATION_2') > 0 THEN -88 END, -99) AS BIGINT) AS rep_id,
       CASE WHEN b_name IS NOT NULL THEN b_name WHEN instr(g_name, 'NATION_2') > 0 THEN 'online' ELSE 'missing' END AS rep_name,
@@ -309,11 +312,12 @@ def q05(r: Roles) -> DataFrame:
 
 TREATED = "regexp_matches(p.county_name, 'NATION_1|NATION_2')"
 DETAIL = f"""{UPGRADE_STORE}, {AGENTS},
-    place AS (SELECT dt, store_id, mall_id, MAX(province_name) AS province_name, MAX(grid_name) AS county_name
-      FROM store_dim GROUP BY ALL),
+    place AS (SELECT dt, store_id, mall_id, MAX(county_name) AS county_name, {', '.join(
+        f"arg_max({c}, county_name) AS {c}" for c in stores.PLACE if c != 'county_name')}
+      FROM store_dim GROUP BY dt, store_id, mall_id),
     detail AS (SELECT f.dt, f.mall_id, f.mall, f.grid_id, f.grid_name,
       CASE WHEN a.grid_id IS NOT NULL THEN 'agent' ELSE 'direct' END AS operate_type, f.bd_id, f.bd_name, f.store_id,
-      p.province_name, p.county_name, f.cat1, f.cat4,
+      p.province_id, p.province_name, p.city_id, p.city_name, p.county_id, p.county_name, f.cat1_id, f.cat1, f.cat4_id, f.cat4,
       CASE WHEN f.cat1 IN ({_list(VEGETABLES)}) AND ordered_num > 0 THEN 1 ELSE 0 END AS is_vegetable,
       CASE WHEN {TREATED} AND instr(f.grid_name, 'NATION_1') > 0 THEN 1 ELSE 0 END AS is_trial,
       CASE WHEN {TREATED} AND instr(f.grid_name, 'NATION_1') > 0 THEN 'treatment'
@@ -326,7 +330,7 @@ DETAIL = f"""{UPGRADE_STORE}, {AGENTS},
       CASE WHEN rebuy_days + ordered_num > 0 THEN 1 ELSE 0 END AS is_rebuy,
       COALESCE(CAST(u.upgrade_refund AS DOUBLE), 0) AS upgrade_refund,
       COALESCE(CAST(u.upgrade_platform_refund AS DOUBLE), 0) AS upgrade_platform_refund
-      FROM store_cat4 f LEFT JOIN place p ON p.dt = f.dt AND p.store_id = f.store_id AND p.mall_id = f.mall_id
+      FROM store_feed f LEFT JOIN place p ON p.dt = f.dt AND p.store_id = f.store_id AND p.mall_id = f.mall_id
       LEFT JOIN agents a ON a.dt = f.dt AND a.mall_id = f.mall_id AND a.grid_id = f.grid_id
       LEFT JOIN upgrade u ON u.dt = f.dt AND u.mall_id = f.mall_id AND u.cat1 = f.cat1 AND u.cat4 = f.cat4 AND u.store_id = f.store_id
       WHERE {ACTIVE})"""
@@ -338,9 +342,11 @@ def q06(r: Roles) -> DataFrame:
 
 
 #: Goods cards per day and sku, and extra attributes per day, mall and sku.
-GOODS_SQL = """goods AS (SELECT dt, sku_id, MAX(sku_name) AS sku_name, MAX('Supplier ' || merchant_id) AS merchant_name,
-    MAX(cat1) AS back_category FROM goods_card GROUP BY dt, sku_id),
-    extra AS (SELECT dt, mall_id, sku_id, cat4 AS sku_grade, cat1 AS packaging FROM goods_day)"""
+GOODS_SQL = f"""goods AS (SELECT dt, sku_id, MAX(sku_name) AS sku_name, MAX('Supplier ' || merchant_id) AS merchant_name,
+    MAX(cat1) AS back_category, CAST(CASE MAX(cat1) {' '.join(f"WHEN '{k}' THEN {v}" for k, v in CAT1_IDS.items())} END AS BIGINT) AS back_category_id
+    FROM goods_card GROUP BY dt, sku_id),
+    extra AS (SELECT dt, mall_id, sku_id, cat4 AS sku_grade, 'AREA ' || (CAST(split_part(cat4, '#', 2) AS BIGINT) % 5) AS producing_area,
+      cat1 AS packaging FROM goods_day)"""
 STORES_SQL = f"""place AS (SELECT dt, store_id, {', '.join(
     f"COALESCE(MAX({c}) FILTER (WHERE mall_id = {HOME_MALL}), MAX({c}) FILTER (WHERE mall_id <> {HOME_MALL})) AS {c}"
     for c in details.STORE_ATTRIBUTES)} FROM store_dim GROUP BY dt, store_id)"""
@@ -349,18 +355,29 @@ MERCHANT_SQL = """CASE WHEN instr(g.merchant_name, 'Supplier 1') > 0 THEN 'First
     WHEN instr(g.merchant_name, 'Supplier 2') > 0 THEN 'Second suppliers' ELSE g.merchant_name END AS merchant_name"""
 
 
+def item_names(order: str, line: str) -> list[Column]:
+    """Id and printed numbers of an order item, and its order's number."""
+    item = F.concat_ws("-", order, line)
+    return [
+        item.alias("order_item_id"), F.concat(F.lit("IT"), item).alias("order_item_no"),
+        F.concat(F.lit("NO"), F.col(order).cast("string")).alias("order_no"),
+    ]
+
+
 def detail_tables(r: Roles) -> dict[str, DataFrame]:
     goods = r.goods_card.groupBy("dt", "sku_id").agg(
         F.max("sku_name").alias("sku_name"),
         F.max(F.concat(F.lit("Supplier "), F.col("merchant_id").cast("string"))).alias("merchant_name"),
         F.max("cat1").alias("back_category"),
-    )
+    ).withColumn("back_category_id", cat1_id("back_category"))
     extra = r.goods_day.select(
-        "dt", "mall_id", "sku_id", F.col("cat4").alias("sku_grade"), F.col("cat1").alias("packaging")
+        "dt", "mall_id", "sku_id", F.col("cat4").alias("sku_grade"),
+        F.concat(F.lit("AREA "), (cat4_id("cat4") % 5).cast("string")).alias("producing_area"), F.col("cat1").alias("packaging"),
     )
     item = r.item.select(
-        "dt", "order_id", "line_no", "sku_id", "store_id", "mall_id", "status",
+        "dt", *item_names("order_id", "line_no"), "order_id", "sku_id", "store_id", "mall_id", "status",
         F.col("qty").cast("bigint").alias("ordered_num"),
+        F.when(F.col("linestatus") == "F", F.col("qty").cast("bigint")).alias("delivered_num"),
         F.col("amt").alias("ordered_amt"),
         F.when(F.col("linestatus") == "F", F.col("amt")).alias("delivered_amt"),
         (F.col("amt") * (F.lit(1) - F.col("disc"))).alias("payment_amt"),
@@ -374,8 +391,10 @@ def detail_tables(r: Roles) -> dict[str, DataFrame]:
 @query(
     "q08",
     f"""WITH {GOODS_SQL}, {STORES_SQL}, {AGENTS}
-    SELECT i.dt, i.order_id, i.line_no, i.sku_id, g.sku_name, {MERCHANT_SQL}, g.back_category, e.sku_grade, e.packaging,
-      i.store_id, p.province_name, p.grid_id, p.grid_name, CAST(i.qty AS BIGINT) AS ordered_num,
+    SELECT i.dt, i.order_id || '-' || i.line_no AS order_item_id, 'IT' || i.order_id || '-' || i.line_no AS order_item_no, i.order_id,
+      'NO' || i.order_id AS order_no, i.sku_id, g.sku_name, {MERCHANT_SQL}, g.back_category_id, g.back_category,
+      e.sku_grade, e.producing_area, e.packaging, i.store_id, p.province_id, p.province_name, p.city_id, p.city_name, p.county_id, p.county_name,
+      p.grid_id, p.grid_name, CAST(i.qty AS BIGINT) AS ordered_num, CAST(CASE WHEN i.linestatus = 'F' THEN i.qty END AS BIGINT) AS delivered_num,
       CAST(i.amt AS DOUBLE) AS ordered_amt, CAST(CASE WHEN i.linestatus = 'F' THEN i.amt END AS DOUBLE) AS delivered_amt,
       CAST(i.amt * (1 - i.disc) AS DOUBLE) AS payment_amt, i.mall_id,
       CASE WHEN a.grid_id IS NOT NULL THEN 'agent' ELSE 'direct' END AS operate_type
@@ -392,12 +411,14 @@ def q08(r: Roles) -> DataFrame:
 
 
 HOST = "https://media.example.com"
-TICKET_SQL = """tickets AS (SELECT l_orderkey AS ticket_id, l_orderkey AS order_id, MIN(l_partkey) AS sku_id,
+TICKET_SQL = """tickets AS (SELECT l_orderkey || '-' || l_linenumber AS ticket_id, l_orderkey AS order_id, MIN(l_partkey) AS sku_id,
       SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2))) AS expected_amt,
-      MAX(l_linestatus) AS complaint_type,
+      SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2))) AS final_amt,
+      MAX(l_linestatus) AS complaint_type, MAX(l_suppkey) AS handler_id, MAX(l_shipdate) AS arrival_time,
+      MIN(l_tax) AS defective_rate, SUM(CAST(l_quantity AS DECIMAL(12,2))) AS bad_weight, COUNT(*) AS bad_num, CAST(MAX(l_quantity) AS BIGINT) AS handle_duration,
       '["/i/' || MIN(l_partkey) || '.jpg","/i/' || MAX(l_partkey) || '.png"]' AS images,
       '/v/' || MIN(l_partkey) || '.mp4,/v/' || MAX(l_partkey) || '.mov' AS videos
-      FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey)"""
+      FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey, l_linenumber)"""
 COMPLAINTS = {"F": "finished", "O": "open"}
 APPLY = {"1-URGENT": "urgent", "2-HIGH": "high"}
 
@@ -406,10 +427,15 @@ def ticket_tables(r: Roles) -> dict[str, DataFrame]:
     lines = r.table("lineitem")
     part = F.col("l_partkey").cast("string")
     low, high = F.min("l_partkey").cast("string"), F.max("l_partkey").cast("string")
-    tickets = lines.where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+    ticket_id = F.concat_ws("-", "l_orderkey", "l_linenumber").alias("ticket_id")
+    returned = lines.where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("order_id"), ticket_id)
+    tickets = returned.agg(
         F.min("l_partkey").alias("sku_id"),
         F.sum(money("l_extendedprice") * rate("l_discount")).alias("expected_amt"),
+        F.sum(money("l_extendedprice") * rate("l_tax")).alias("final_amt"),
         F.max("l_linestatus").alias("complaint_type"),
+        F.max("l_suppkey").alias("handler_id"),
+        F.max("l_shipdate").alias("arrival_time"),
         F.concat(F.lit('["/i/'), low, F.lit('.jpg","/i/'), high, F.lit('.png"]')).alias("images"),
         F.concat(F.lit("/v/"), low, F.lit(".mp4,/v/"), high, F.lit(".mov")).alias("videos"),
     )
@@ -420,18 +446,43 @@ def ticket_tables(r: Roles) -> dict[str, DataFrame]:
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderdate").alias("create_time"),
     )
+    number = F.col("ticket_id")
+    named = {
+        "ticket_no": F.concat(F.lit("AS"), number),
+        "refund_no": F.concat(F.lit("RF"), number),
+        "order_no": F.concat(F.lit("NO"), F.col("order_id").cast("string")),
+        "order_item_id": number,
+        "order_item_no": F.concat(F.lit("IT"), number),
+        "sku_code": F.concat(F.lit("SKU"), F.col("sku_id").cast("string")),
+        "handler_name": F.concat(F.lit("HANDLER "), F.col("handler_id").cast("string")),
+        "remark": F.concat(F.lit("reported "), "complaint_type"),
+        "problem_remark": F.concat(F.lit("kind "), "complaint_type"),
+        "handle_remark": F.concat(F.lit("to store "), F.col("store_id").cast("string")),
+        "service_remark": F.concat(F.lit("by "), F.col("handler_id").cast("string")),
+        "real_status": F.concat_ws("/", "status", "complaint_type"),
+        "claim_time": F.col("create_time") + F.expr("interval 90 minutes"),
+        "handle_time": F.col("arrival_time") + F.expr("interval 1 day"),
+    }
     return {
         **detail_tables(r),
         "ticket": r.at_store(tickets.join(orders, "order_id"))
         .drop("rep", "grid_id", "grid_name", "mall")
-        .withColumn("ticket_id", F.col("order_id")),
+        .withColumns(named),
+        "ticket_item": lines.where("l_returnflag = 'R'").groupBy(ticket_id).agg(
+            F.min("l_tax").alias("defective_rate"),
+            F.sum(money("l_quantity")).cast("double").alias("bad_weight"),
+            F.count(F.lit(1)).alias("bad_num"),
+            F.max("l_quantity").cast("bigint").alias("handle_duration"),
+        ),
         "reason": lines.select(
-            F.col("l_orderkey").alias("ticket_id"),
+            ticket_id,
             F.col("l_returnflag").alias("problem_type"),
-            F.concat_ws("-", "l_linestatus", "l_linenumber").alias("point_name"),
+            F.concat_ws("-", "l_linestatus", F.col("l_partkey") % 7).alias("point_name"),
             flag(F.col("l_quantity") > 45).alias("deleted"),
         ),
-        "track": lines.where("l_returnflag = 'A'").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        "track": lines.where("l_returnflag = 'A'").groupBy(
+            F.concat(F.lit("NO"), F.col("l_orderkey").cast("string")).alias("order_no")
+        ).agg(
             F.concat(F.lit('["/t/'), F.min(part), F.lit('.jpg?watermark=9","/t/'), F.max(part), F.lit('.jpg"]')).alias("track_file"),
             F.when(F.max("l_linestatus") == "O", "COMPLETE").otherwise("OPEN").alias("deliver_status"),
         ),
@@ -441,20 +492,29 @@ def ticket_tables(r: Roles) -> dict[str, DataFrame]:
 @query(
     "q07",
     f"""WITH {GOODS_SQL}, {STORES_SQL}, {AGENTS}, {TICKET_SQL},
-    points AS (SELECT DISTINCT l_orderkey AS ticket_id, l_returnflag AS problem_type,
-      l_linestatus || '-' || l_linenumber AS point_name FROM lineitem WHERE NOT l_quantity > 45),
+    points AS (SELECT DISTINCT l_orderkey || '-' || l_linenumber AS ticket_id, l_returnflag AS problem_type,
+      l_linestatus || '-' || (l_partkey % 7) AS point_name FROM lineitem WHERE NOT l_quantity > 45),
     problems AS (SELECT ticket_id, string_agg(problem_type || '=' || names, ';' ORDER BY problem_type) AS problems FROM (
       SELECT ticket_id, problem_type, string_agg(point_name, ',' ORDER BY point_name) AS names FROM points GROUP BY ALL) GROUP BY ALL),
     tracks AS (SELECT l_orderkey AS order_id, '"/t/' || MIN(CAST(l_partkey AS VARCHAR)) || '.jpg"|"/t/' || MAX(CAST(l_partkey AS VARCHAR)) || '.jpg"' AS track_files
       FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_orderkey HAVING MAX(l_linestatus) = 'O')
-    SELECT CAST(o.o_orderdate AS DATE) AS apply_day, t.ticket_id,
+    SELECT CAST(o.o_orderdate AS DATE) AS apply_day, t.ticket_id, 'AS' || t.ticket_id AS ticket_no, 'RF' || t.ticket_id AS refund_no,
       CASE o.o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'high' ELSE o.o_orderpriority END AS apply_type,
-      t.order_id, t.sku_id, g.sku_name, {MERCHANT_SQL}, g.back_category, e.sku_grade, e.packaging, o.o_custkey AS store_id,
-      p.province_name, p.grid_id, p.grid_name, k.track_files, CAST(t.expected_amt AS DOUBLE) AS expected_amt, b.problems,
+      t.order_id, 'NO' || t.order_id AS order_no, t.ticket_id AS order_item_id, 'IT' || t.ticket_id AS order_item_no,
+      t.sku_id, 'SKU' || t.sku_id AS sku_code, g.sku_name, t.defective_rate, g.back_category_id, g.back_category,
+      e.sku_grade, e.producing_area, e.packaging, {MERCHANT_SQL}, o.o_custkey AS store_id,
+      p.province_id, p.province_name, p.city_id, p.city_name, p.county_id, p.county_name,
+      k.track_files, CAST(t.expected_amt AS DOUBLE) AS expected_amt, CAST(t.bad_weight AS DOUBLE) AS bad_weight, t.bad_num, b.problems,
       replace(replace(replace(t.images, '["', '"{HOST}'), '","', '"|"{HOST}'), ']', '') AS images,
-      '"{HOST}' || replace(t.videos, ',', '"|"{HOST}') || '"' AS videos,
+      '"{HOST}' || replace(t.videos, ',', '"|"{HOST}') || '"' AS videos, t.handler_id, 'HANDLER ' || t.handler_id AS handler_name,
       CASE t.complaint_type WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' END AS complaint_type,
-      o.o_orderstatus AS status, s.mall_id, CASE WHEN a.grid_id IS NOT NULL THEN 'agent' ELSE 'direct' END AS operate_type
+      'reported ' || t.complaint_type AS remark, 'kind ' || t.complaint_type AS problem_remark, 'to store ' || o.o_custkey AS handle_remark,
+      'by ' || t.handler_id AS service_remark, CAST(t.final_amt AS DOUBLE) AS final_amt,
+      o.o_orderstatus AS status, o.o_orderstatus || '/' || t.complaint_type AS real_status,
+      strftime(t.arrival_time, '%Y-%m-%d %H:%M:%S') AS arrival_time, strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS apply_time,
+      strftime(o.o_orderdate + INTERVAL 90 MINUTE, '%Y-%m-%d %H:%M:%S') AS claim_time,
+      strftime(t.arrival_time + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS handle_time, t.handle_duration,
+      s.mall_id, CASE WHEN a.grid_id IS NOT NULL THEN 'agent' ELSE 'direct' END AS operate_type
     FROM tickets t JOIN orders o ON o.o_orderkey = t.order_id JOIN store s ON s.store_id = o.o_custkey
     LEFT JOIN problems b ON b.ticket_id = t.ticket_id LEFT JOIN tracks k ON k.order_id = t.order_id
     LEFT JOIN place p ON p.dt = CAST(o.o_orderdate AS DATE) AND p.store_id = o.o_custkey
@@ -495,9 +555,9 @@ def _rolled(measures: list[str], table: str, keys: str, bands: dict[str, tuple[i
 
 Q09_MEASURES = [
     "exposed_cnt", "ordered_amt", "delivered_amt", "delivered_num", "after_sale_num_quality",
-    "after_sale_num", "refund_quality", "refund_amt", "commission_amt", "ordered_num",
+    "after_sale_num", "refund_quality", "refund_amt", "natural_refund_amt", "commission_amt",
 ]
-Q09_AMOUNTS = {"ordered_amt", "delivered_amt", "refund_quality", "refund_amt", "commission_amt"}
+Q09_AMOUNTS = {"ordered_amt", "delivered_amt", "refund_quality", "refund_amt", "natural_refund_amt", "commission_amt"}
 
 
 def _doubles(df: DataFrame, amounts: set[str]) -> DataFrame:
@@ -508,13 +568,13 @@ def _doubles(df: DataFrame, amounts: set[str]) -> DataFrame:
 @query(
     "q09",
     _rolled(
-        Q09_MEASURES, "visit", "store_id", {"d30": (0, 29), "d14": (0, 13), "d7": (0, 6), "p7": (7, 13)},
+        Q09_MEASURES, "visit_two_days", "store_id", {"d30": (0, 29), "d14": (0, 13), "d7": (0, 6), "p7": (7, 13)},
         {"exposed_days": "exposed_cnt > 0", "ordered_days": "ordered_num > 0"}, ["d30", "p7", "d7"], 29,
-        EVENT_DAYS, "exposed_cnt + ordered_amt + refund_amt > 0", Q09_AMOUNTS,
+        EVENT_DAYS, "exposed_cnt + ordered_amt + natural_refund_amt > 0", Q09_AMOUNTS,
     ),
 )
 def q09(r: Roles) -> DataFrame:
-    return _doubles(stores.store_rolling(r.visit, EVENT_DAYS), Q09_AMOUNTS)
+    return _doubles(stores.store_rolling(r.visit_two_days, EVENT_DAYS), Q09_AMOUNTS)
 
 
 Q10_MEASURES = [
@@ -554,9 +614,9 @@ def payments(r: Roles) -> DataFrame:
 
 @query(
     "q11",
-    f"""SELECT f.dt, f.store_id, f.cat1, ordered_num, delivered_num, {', '.join(
+    f"""SELECT f.dt, f.store_id, cat1_id, f.cat1, ordered_num, delivered_num, {', '.join(
         f"CAST({c} AS DOUBLE) AS {c}" for c in
-        ("ordered_amt", "delivered_amt", "payment_amt", "refund_amt", "refund_quality", "commission_amt"))}
+        ("ordered_amt", "delivered_amt", "payment_amt", "refund_amt", "refund_quality", "commission_amt", "natural_refund_amt"))}
     FROM store_cat1 f LEFT JOIN (SELECT dt, store_id, cat1, SUM({PAYMENT}) AS payment_amt FROM item
       WHERE status <> '{CANCELLED}' GROUP BY ALL) p
     ON p.dt = f.dt AND p.store_id = f.store_id AND p.cat1 = f.cat1 WHERE ordered_num > 0""",

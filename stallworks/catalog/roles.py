@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.values import flag
 from ..operators.metrics import Metrics, aggregate
+from ..operators.reshape import on_two_days
 from ..params import DateWindow
 from ..session import scratch_path
 
@@ -38,6 +39,8 @@ SPECIAL_CAT4 = ["Brand#1", "Brand#7", "Brand#12"]
 PILOT_CAT4 = ["Brand#3", "Brand#9"]
 QUALITY_TYPES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 CANCELLED = "P"
+#: Ids of categories that the tables only name.
+CAT1_IDS = {"STANDARD": 1, "SMALL": 2, "MEDIUM": 3, "LARGE": 4, "ECONOMY": 5, "PROMO": 6}
 REP_IDS = {"MACHINERY": 1, "AUTOMOBILE": 2, "FURNITURE": 3, "HOUSEHOLD": 4}
 
 
@@ -49,6 +52,15 @@ def rate(c: str) -> Column:
     return F.col(c).cast("decimal(4,2)")
 
 
+def cat1_id(c: str) -> Column:
+    pairs = [F.lit(x) for kv in CAT1_IDS.items() for x in kv]
+    return F.try_element_at(F.create_map(*pairs), F.col(c)).cast("bigint")
+
+
+def cat4_id(c: str) -> Column:
+    return F.substring_index(c, "#", -1).cast("bigint")
+
+
 class Roles:
     """Role tables over one data folder. All lazy; nothing is read here."""
 
@@ -203,6 +215,49 @@ class Roles:
             }
         ).drop("rep")
 
+    @cached_property
+    def store_feed(self) -> DataFrame:
+        """Store × level-4 category per day: what a store saw, ordered, sent back and bought again.
+
+        Items and page flow are tagged with their measures, put in one union and added up at
+        once, so stores that only saw, clicked or added have a row as well.
+        """
+        zero = {m: F.lit(0) for m in ("exposed_num", "clicked_num", "added_num", "ordered_num", "after_sale_num", "rebuy_days", "rebuy_num")}
+        zero |= {m: F.lit(0).cast("decimal(16,4)") for m in ("delivered_amt", "refund_amt", "commission_amt")}
+        tagged = lambda df, own: df.select(
+            "dt", "store_id", "sku_id", *[own.get(m, z).cast("decimal(16,4)" if m.endswith("amt") else "bigint").alias(m) for m, z in zero.items()]
+        )
+        lines = self.table("lineitem").select(
+            "l_orderkey", F.col("l_partkey").alias("sku_id"), money("l_extendedprice").alias("amt"), rate("l_discount").alias("disc"),
+            rate("l_tax").alias("tax"), F.col("l_returnflag").alias("returnflag"), F.col("l_linestatus").alias("linestatus"),
+        )
+        orders = self.table("orders").select("o_orderkey", F.col("o_custkey").alias("store_id"), F.to_date("o_orderdate").alias("dt"))
+        items = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        again = F.col("returnflag") == "A"
+        bought = tagged(items, {
+            "ordered_num": flag(F.col("linestatus") == "O"), "after_sale_num": flag(F.col("returnflag") == "R"),
+            "rebuy_days": flag(again), "rebuy_num": flag(again & (F.col("linestatus") == "O")),
+            "delivered_amt": F.col("amt"), "refund_amt": refund(), "commission_amt": F.col("amt") * F.col("tax"),
+        })
+        seen = tagged(self.page_flow, {m: F.col(m) for m in ("exposed_num", "clicked_num", "added_num")})
+        goods = self.table("part").select(F.col("p_partkey").alias("sku_id"), F.col("p_type").alias("cat1"), F.col("p_brand").alias("cat4"))
+        daily = bought.unionByName(seen).join(goods, "sku_id").groupBy("dt", "store_id", "cat1", "cat4").agg(
+            *[F.sum(m).alias(m) for m in zero]
+        )
+        on_house = F.col("rep") == "HOUSEHOLD"
+        bd = F.when(F.col("rep") != "BUILDING", F.col("rep"))
+        pairs = [F.lit(x) for kv in REP_IDS.items() for x in kv]
+        return self.at_store(daily).withColumns(
+            {
+                "bd_name": bd,
+                "bd_id": F.try_element_at(F.create_map(*pairs), bd).cast("bigint"),
+                "grid_id": F.when(~on_house, F.col("grid_id")),
+                "grid_name": F.when(~on_house, F.col("grid_name")),
+                "cat1_id": cat1_id("cat1"),
+                "cat4_id": cat4_id("cat4"),
+            }
+        ).drop("rep")
+
     @cached_property
     def mall_cat4(self) -> DataFrame:
         return self.mall_cat4_with()
@@ -364,9 +419,9 @@ class Roles:
         ).drop("merit_raw")
 
     @cached_property
-    def flow(self) -> DataFrame:
-        """Page flow per event, moved onto order days; category from the event's part."""
-        events = self.table("events").select(
+    def page_flow(self) -> DataFrame:
+        """Page flow per event, moved onto order days."""
+        return self.table("events").select(
             F.date_sub(F.to_date("ts"), EVENT_SHIFT_DAYS).alias("dt"),
             F.col("user_id").alias("store_id"),
             F.col("event_type").alias("page"),
@@ -376,10 +431,14 @@ class Roles:
             flag(F.col("event_type") == "purchase").alias("ordered_num"),
             F.get_json_object("props", "$.k").cast("bigint").alias("sku_id"),
         )
+
+    @cached_property
+    def flow(self) -> DataFrame:
+        """Page flow with the store's mall and the category of the event's part."""
         part = self.table("part").select(
             F.col("p_partkey").alias("sku_id"), F.col("p_type").alias("cat1")
         )
-        located = self.at_store(events).drop("rep", "grid_id", "grid_name", "mall")
+        located = self.at_store(self.page_flow).drop("rep", "grid_id", "grid_name", "mall")
         return located.join(part, "sku_id")
 
     @cached_property
@@ -394,7 +453,10 @@ class Roles:
             self.at_grid(ordered.join(self.supplier, F.col("l_suppkey") == F.col("s_suppkey")))
             .select(
                 "dt", "store_id", "mall_id", "grid_id", "grid_name",
-                F.col("mall").alias("province_name"),
+                F.col("mall_id").alias("province_id"), F.col("mall").alias("province_name"),
+                F.floor(F.col("grid_id") / 3).cast("bigint").alias("city_id"),
+                F.concat(F.lit("CITY "), F.floor(F.col("grid_id") / 3).cast("string")).alias("city_name"),
+                (F.col("grid_id") + 500).alias("county_id"), F.concat(F.lit("COUNTY "), "grid_name").alias("county_name"),
                 F.when(F.col("mall") != "ASIA", F.col("grid_id") + 100).alias("bd_id"),
                 F.when(F.col("mall") != "ASIA", F.concat(F.lit("REP "), "grid_name")).alias("bd_name"),
             )
@@ -418,15 +480,56 @@ class Roles:
 
     @cached_property
     def store_cat1(self) -> DataFrame:
-        ordered = F.col("linestatus") == "O"
-        return self.item.groupBy("dt", "mall_id", "store_id", "cat1").agg(
-            F.sum(flag(ordered)).alias("ordered_num"),
-            F.sum(F.when(ordered, F.col("amt")).otherwise(0)).alias("ordered_amt"),
-            F.count(F.lit(1)).alias("delivered_num"),
-            F.sum("amt").alias("delivered_amt"),
-            F.sum(refund()).alias("refund_amt"),
-            F.sum(refund_quality()).alias("refund_quality"),
-            F.sum(F.col("amt") * F.col("tax")).alias("commission_amt"),
+        """Store × level-1 category per day: refunds on the order's day and, once more, on the day they were paid."""
+        lines = self.table("lineitem").select(
+            "l_orderkey", "l_partkey", money("l_extendedprice").alias("amt"), rate("l_discount").alias("disc"), rate("l_tax").alias("tax"),
+            F.col("l_returnflag").alias("returnflag"), F.col("l_linestatus").alias("linestatus"), F.to_date("l_shipdate").alias("paid"),
+        )
+        orders = self.table("orders").select(
+            "o_orderkey", F.col("o_custkey").alias("store_id"), F.to_date("o_orderdate").alias("ordered"), F.col("o_orderpriority").alias("priority"),
+        )
+        goods = self.table("part").select("p_partkey", F.col("p_type").alias("cat1"))
+        items = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(goods, F.col("l_partkey") == F.col("p_partkey"))
+        paid = F.when(F.col("returnflag") == "R", F.col("paid"))
+        rows = on_two_days(items, F.col("ordered"), paid, mark="second")
+        own, open_line = ~F.col("second"), F.col("linestatus") == "O"
+        on_own = lambda value: F.sum(F.when(own, value).otherwise(0))
+        daily = rows.groupBy("dt", "store_id", "cat1").agg(
+            on_own(flag(open_line)).alias("ordered_num"),
+            on_own(F.when(open_line, F.col("amt")).otherwise(0)).alias("ordered_amt"),
+            on_own(F.lit(1)).alias("delivered_num"),
+            on_own(F.col("amt")).alias("delivered_amt"),
+            on_own(refund()).alias("refund_amt"),
+            on_own(refund_quality()).alias("refund_quality"),
+            on_own(F.col("amt") * F.col("tax")).alias("commission_amt"),
+            F.sum(F.when(F.col("second"), refund()).otherwise(0)).alias("natural_refund_amt"),
+        )
+        return self.at_store(daily).drop("rep", "grid_id", "grid_name", "mall").withColumn("cat1_id", cat1_id("cat1"))
+
+    @cached_property
+    def visit_two_days(self) -> DataFrame:
+        """Store measures per event day; complaints on the day of their order, their refund on its own day too."""
+        kind = F.col("event_type")
+        events = self.table("events").select(
+            F.col("user_id").alias("store_id"), "event_type", money("value").alias("amount"), F.to_date("ts").alias("happened"),
+            (F.col("event_id") % 3).cast("int").alias("late"),
+        )
+        ordered = F.when(kind == "error", F.date_sub("happened", F.col("late")))
+        rows = on_two_days(events, F.col("happened"), ordered, mark="on_order_day")
+        late, big = F.col("on_order_day"), F.col("amount") > 20
+        part = lambda cond, v: F.sum(F.when(cond, v).otherwise(0))
+        return rows.groupBy("dt", "store_id").agg(
+            part(kind == "view", F.lit(1)).alias("exposed_cnt"),
+            part(kind == "purchase", F.col("amount")).alias("ordered_amt"),
+            part(kind == "purchase", F.lit(1)).alias("ordered_num"),
+            part(kind == "click", F.col("amount")).alias("delivered_amt"),
+            part(kind == "click", F.lit(1)).alias("delivered_num"),
+            part(late, F.lit(1)).alias("after_sale_num"),
+            part(late & big, F.lit(1)).alias("after_sale_num_quality"),
+            part(late, F.col("amount")).alias("refund_amt"),
+            part(late & big, F.col("amount")).alias("refund_quality"),
+            part((kind == "error") & ~late, F.col("amount")).alias("natural_refund_amt"),
+            part(kind == "signup", F.col("amount")).alias("commission_amt"),
         )
 
     @cached_property
@@ -518,6 +621,25 @@ ROLE_SQL: dict[str, str] = {
         {_n(_ORDERED)} AS ordered_num, {_REFUND} AS refund_amt, SUM(amt * tax) AS commission_amt,
         {_n("returnflag = 'R'")} AS after_sale_num, {_n("returnflag = 'A'")} AS rebuy_days
         FROM item GROUP BY dt, mall_id, mall, store_id, item.grid_id, item.grid_name, rep, cat1, cat4""",
+    "store_feed": f"""SELECT dt, store.mall_id, store.mall, f.store_id, cat1, cat4,
+        CAST(CASE cat1 {' '.join(f"WHEN '{k}' THEN {v}" for k, v in CAT1_IDS.items())} END AS BIGINT) AS cat1_id,
+        CAST(split_part(cat4, '#', 2) AS BIGINT) AS cat4_id,
+        CASE WHEN rep <> 'HOUSEHOLD' THEN grid_id END AS grid_id, CASE WHEN rep <> 'HOUSEHOLD' THEN grid_name END AS grid_name,
+        CASE WHEN rep <> 'BUILDING' THEN rep END AS bd_name,
+        CAST(CASE rep {' '.join(f"WHEN '{k}' THEN {v}" for k, v in REP_IDS.items())} END AS BIGINT) AS bd_id,
+        exposed_num, clicked_num, added_num, COALESCE(ordered_num, 0) AS ordered_num, COALESCE(after_sale_num, 0) AS after_sale_num,
+        COALESCE(rebuy_days, 0) AS rebuy_days, COALESCE(rebuy_num, 0) AS rebuy_num, COALESCE(delivered_amt, 0) AS delivered_amt,
+        COALESCE(refund_amt, 0) AS refund_amt, COALESCE(commission_amt, 0) AS commission_amt FROM (
+          SELECT dt, store_id, cat1, cat4, COALESCE(e.exposed_num, 0) AS exposed_num, COALESCE(e.clicked_num, 0) AS clicked_num,
+          COALESCE(e.added_num, 0) AS added_num, i.* EXCLUDE (dt, store_id, cat1, cat4) FROM (
+            SELECT dt, store_id, cat1, cat4, {_n(_ORDERED)} AS ordered_num, {_n("returnflag = 'R'")} AS after_sale_num,
+            {_n("returnflag = 'A'")} AS rebuy_days, {_n("returnflag = 'A' AND linestatus = 'O'")} AS rebuy_num,
+            SUM(amt) AS delivered_amt, {_REFUND} AS refund_amt, SUM(amt * tax) AS commission_amt
+            FROM item GROUP BY dt, store_id, cat1, cat4) i
+          FULL JOIN (SELECT CAST(ts AS DATE) - {EVENT_SHIFT_DAYS} AS dt, user_id AS store_id, p_type AS cat1, p_brand AS cat4,
+            CAST(SUM(FLOOR(value)) AS BIGINT) AS exposed_num, {_n("event_type = 'click'")} AS clicked_num, {_n("event_type = 'signup'")} AS added_num
+            FROM events JOIN part ON p_partkey = CAST(json_extract_string(props, '$.k') AS BIGINT) GROUP BY 1, 2, 3, 4) e
+          USING (dt, store_id, cat1, cat4)) f JOIN store ON store.store_id = f.store_id""",
     "mall_cat4": f"""SELECT dt, mall_id, mall, cat1, cat4, SUM(amt) AS delivered_amt,
         {_REFUND} AS refund_amt, {_REFUND_Q} AS refund_quality,
         SUM(CASE WHEN {_ORDERED} THEN amt ELSE 0 END) AS ordered_amt, COUNT(*) AS delivered_num,
@@ -571,7 +693,8 @@ ROLE_SQL: dict[str, str] = {
         FROM events JOIN store ON store.store_id = user_id
         JOIN part ON p_partkey = CAST(json_extract_string(props, '$.k') AS BIGINT)""",
     "store_dim": """SELECT DISTINCT CAST(o_orderdate AS DATE) AS dt, o_custkey AS store_id, mall_id,
-        grid_id, grid_name, mall AS province_name,
+        grid_id, grid_name, mall_id AS province_id, mall AS province_name, grid_id // 3 AS city_id, 'CITY ' || (grid_id // 3) AS city_name,
+        grid_id + 500 AS county_id, 'COUNTY ' || grid_name AS county_name,
         CASE WHEN mall <> 'ASIA' THEN grid_id + 100 END AS bd_id,
         CASE WHEN mall <> 'ASIA' THEN 'REP ' || grid_name END AS bd_name
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = l_suppkey
@@ -581,10 +704,28 @@ ROLE_SQL: dict[str, str] = {
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = l_suppkey
         JOIN grid ON grid_id = s_nationkey""",
     "grid_day": "SELECT DISTINCT dt, grid_id, grid_name FROM item",
-    "store_cat1": f"""SELECT dt, mall_id, store_id, cat1, {_n(_ORDERED)} AS ordered_num,
-        SUM(CASE WHEN {_ORDERED} THEN amt ELSE 0 END) AS ordered_amt, COUNT(*) AS delivered_num,
-        SUM(amt) AS delivered_amt, {_REFUND} AS refund_amt, {_REFUND_Q} AS refund_quality,
-        SUM(amt * tax) AS commission_amt FROM item GROUP BY dt, mall_id, store_id, cat1""",
+    "store_cat1": f"""SELECT dt, mall_id, d.store_id, cat1,
+        CAST(CASE cat1 {' '.join(f"WHEN '{k}' THEN {v}" for k, v in CAT1_IDS.items())} END AS BIGINT) AS cat1_id,
+        COALESCE(ordered_num, 0) AS ordered_num, COALESCE(ordered_amt, 0) AS ordered_amt, COALESCE(delivered_num, 0) AS delivered_num,
+        COALESCE(delivered_amt, 0) AS delivered_amt, COALESCE(refund_amt, 0) AS refund_amt, COALESCE(refund_quality, 0) AS refund_quality,
+        COALESCE(commission_amt, 0) AS commission_amt, COALESCE(natural_refund_amt, 0) AS natural_refund_amt FROM (
+          SELECT * FROM (SELECT dt, store_id, cat1, {_n(_ORDERED)} AS ordered_num,
+            SUM(CASE WHEN {_ORDERED} THEN amt ELSE 0 END) AS ordered_amt, COUNT(*) AS delivered_num, SUM(amt) AS delivered_amt,
+            {_REFUND} AS refund_amt, {_REFUND_Q} AS refund_quality, SUM(amt * tax) AS commission_amt FROM item GROUP BY dt, store_id, cat1)
+          FULL JOIN (SELECT CAST(l_shipdate AS DATE) AS dt, o_custkey AS store_id, p_type AS cat1,
+            SUM({_MONEY.format('l_extendedprice')} * {_RATE.format('l_discount')}) AS natural_refund_amt
+            FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey WHERE l_returnflag = 'R' GROUP BY 1, 2, 3)
+          USING (dt, store_id, cat1)) d JOIN store ON store.store_id = d.store_id""",
+    "visit_two_days": f"""SELECT dt, store_id, SUM(exposed_cnt) AS exposed_cnt, SUM(ordered_amt) AS ordered_amt, SUM(ordered_num) AS ordered_num,
+        SUM(delivered_amt) AS delivered_amt, SUM(delivered_num) AS delivered_num, SUM(after_sale_num) AS after_sale_num,
+        SUM(after_sale_num_quality) AS after_sale_num_quality, SUM(refund_amt) AS refund_amt, SUM(refund_quality) AS refund_quality,
+        SUM(natural_refund_amt) AS natural_refund_amt, SUM(commission_amt) AS commission_amt FROM (
+          SELECT dt, store_id, exposed_cnt, ordered_amt, ordered_num, delivered_amt, delivered_num, 0 AS after_sale_num, 0 AS after_sale_num_quality,
+            0 AS refund_amt, 0 AS refund_quality, refund_amt AS natural_refund_amt, commission_amt FROM visit
+          UNION ALL SELECT CAST(ts AS DATE) - CAST(event_id % 3 AS INTEGER), user_id, 0, 0, 0, 0, 0, 1,
+            CASE WHEN {_MONEY.format('value')} > 20 THEN 1 ELSE 0 END, {_MONEY.format('value')},
+            CASE WHEN {_MONEY.format('value')} > 20 THEN {_MONEY.format('value')} ELSE 0 END, 0, 0 FROM events WHERE event_type = 'error')
+        GROUP BY dt, store_id""",
     "visit": f"""SELECT CAST(ts AS DATE) AS dt, user_id AS store_id,
         {_n("event_type = 'view'")} AS exposed_cnt,
         SUM(CASE WHEN event_type = 'purchase' THEN {_MONEY.format('value')} ELSE 0 END) AS ordered_amt,

@@ -84,3 +84,15 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     for df in frames[1:]:
         result = result.unionByName(df, allowMissingColumns=True)
     return result
+
+
+def on_two_days(df: DataFrame, own: Column, other: Column, day: str = "dt", mark: str = "on_other_day") -> DataFrame:
+    """Each row on its own day and, where ``other`` is not null, once more on that one.
+
+    For measures that are reported on two calendars, such as a refund on the day of its
+    order and on the day it was paid: both are then added up in one aggregate. ``mark``
+    tells the copies apart; a copy on the same day stays a copy.
+    """
+    copy = lambda d, second: F.struct(d.alias("day"), F.lit(second).alias("second"))
+    days = F.array_compact(F.array(copy(own, False), F.when(other.isNotNull(), copy(other, True))))
+    return df.withColumn("__copy", F.explode(days)).withColumns({day: F.col("__copy.day"), mark: F.col("__copy.second")}).drop("__copy")

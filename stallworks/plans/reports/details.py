@@ -1,4 +1,4 @@
-"""Item-level detail reports: order items and after-sale tickets.
+"""Item-level detail reports: order items (29 columns) and after-sale tickets (50 columns).
 
 The large joins here are on the order or the item. Daily snapshots are reduced to one
 row per key before they are joined, so nothing fans out; where a key is hot, AQE
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ...functions.text import canonical_name, quoted_list, strip_query
 from ...functions.values import presence, relabel
@@ -20,11 +20,20 @@ from ...sources.tables import scan_window
 from ..rules import APPLY_TYPES, COMPLAINT_TYPES, Rules
 from .stores import active_agent_grids
 
-STORE_ATTRIBUTES = ["province_name", "grid_id", "grid_name"]
+PLACE = ["province_id", "province_name", "city_id", "city_name", "county_id", "county_name"]
+STORE_ATTRIBUTES = [*PLACE, "grid_id", "grid_name"]
+GOODS_ATTRIBUTES = ["sku_name", "merchant_name", "back_category_id", "back_category"]
+EXTRA_ATTRIBUTES = ["sku_grade", "producing_area", "packaging"]
+#: Times of a ticket as the report spells them.
+TIMES = {"arrival_time": "arrival_time", "apply_time": "create_time", "claim_time": "claim_time", "handle_time": "handle_time"}
 #: Days before the window in which the order of a ticket may lie.
 LOOKBACK = 30
 
 
+def reformat(c: str) -> Column:
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
 def _stores(store_dim: DataFrame, home_mall: int, window: DateWindow, lookback: int) -> DataFrame:
     rows = scan_window(store_dim, "dt", window, lookback)
     return pick_preferred(
@@ -49,15 +58,15 @@ def order_item_detail(
     goods = scan_window(t["goods"], "dt", window, LOOKBACK)
     extra = scan_window(t["extra"], "dt", window, LOOKBACK)
     rows = snapshot_join(items, _stores(t["store_dim"], home_mall, window, 0), ["store_id"], STORE_ATTRIBUTES)
-    rows = snapshot_join(rows, goods, ["sku_id"], ["sku_name", "merchant_name", "back_category"])
-    rows = snapshot_join(rows, extra, ["sku_id", "mall_id"], ["sku_grade", "packaging"])
+    rows = snapshot_join(rows, goods, ["sku_id"], GOODS_ATTRIBUTES)
+    rows = snapshot_join(rows, extra, ["sku_id", "mall_id"], EXTRA_ATTRIBUTES)
     rows = rows.join(_agents(t["agent_grid"], window, LOOKBACK), ["dt", "mall_id", "grid_id"], "left")
     merchant = canonical_name("merchant_name", merchant_names) if merchant_names else F.col("merchant_name")
-    money = ("ordered_amt", "delivered_amt", "payment_amt")
+    as_double = lambda c: F.col(c).cast("double").alias(c)
     return rows.select(
-        "dt", "order_id", "line_no", "sku_id", "sku_name", merchant.alias("merchant_name"),
-        "back_category", "sku_grade", "packaging", "store_id", *STORE_ATTRIBUTES,
-        "ordered_num", *[F.col(c).cast("double").alias(c) for c in money], "mall_id",
+        "dt", "order_item_id", "order_item_no", "order_id", "order_no", "sku_id", "sku_name", merchant.alias("merchant_name"),
+        "back_category_id", "back_category", *EXTRA_ATTRIBUTES, "store_id", *STORE_ATTRIBUTES,
+        "ordered_num", as_double("ordered_amt"), as_double("delivered_amt"), "delivered_num", as_double("payment_amt"), "mall_id",
         presence("agent", rules.agent_label, rules.direct_label).alias("operate_type"),
     )
 
@@ -75,40 +84,50 @@ def after_sale_detail(
 ) -> DataFrame:
     """After-sale tickets opened in the window, with reasons, evidence and attributes.
 
-    Store, goods and grid are those of the order's day, which may lie up to 30 days
-    before the window.
+    A ticket is about one order item; store, goods and grid are those of that item's day,
+    which may lie up to 30 days before the window, and delivery photos those of its order.
+    Only the items that tickets name are kept, before they are joined to anything.
     """
     tickets = scan_window(t["ticket"], "create_time", window).where(F.col("status") != cancelled)
     reasons = collect_map(
         t["reason"].where(F.col("deleted") == 0), ["ticket_id"], "problem_type", "point_name"
     ).withColumnRenamed("items", "problems")
-    orders = scan_window(t["orders"].select("order_id", "dt"), "dt", window, LOOKBACK)
+    items = scan_window(t["item"], "dt", window, LOOKBACK).select("order_item_id", "dt", F.col("order_no").alias("item_order_no"))
+    named = tickets.select("order_item_id").distinct()
+    items = items.join(named, "order_item_id", "left_semi").groupBy("order_item_id").agg(
+        F.min(F.struct("dt", "item_order_no")).alias("__item")  # an item listed twice does not repeat its ticket
+    ).select("order_item_id", "__item.*")
     tracks = t["track"].where(F.col("deliver_status") == "COMPLETE").select(
-        "order_id", strip_query("track_file").alias("track_file")
+        F.col("order_no").alias("item_order_no"), strip_query("track_file").alias("track_file")
     )
     goods = scan_window(t["goods"], "dt", window, LOOKBACK)
     extra = scan_window(t["extra"], "dt", window, LOOKBACK)
     rows = (
-        tickets.join(reasons, "ticket_id", "left")
-        .join(orders, "order_id", "left")
-        .join(tracks, "order_id", "left")
+        tickets.join(t["ticket_item"], "ticket_id", "left")
+        .join(reasons, "ticket_id", "left")
+        .join(items, "order_item_id", "left")
+        .join(tracks, "item_order_no", "left")
     )
     rows = snapshot_join(rows, _stores(t["store_dim"], home_mall, window, LOOKBACK), ["store_id"], STORE_ATTRIBUTES)
-    rows = snapshot_join(rows, goods, ["sku_id"], ["sku_name", "merchant_name", "back_category"])
-    rows = snapshot_join(rows, extra, ["sku_id", "mall_id"], ["sku_grade", "packaging"])
+    rows = snapshot_join(rows, goods, ["sku_id"], GOODS_ATTRIBUTES)
+    rows = snapshot_join(rows, extra, ["sku_id", "mall_id"], EXTRA_ATTRIBUTES)
     rows = rows.join(_agents(t["agent_grid"], window, LOOKBACK), ["dt", "mall_id", "grid_id"], "left")
     merchant = canonical_name("merchant_name", merchant_names) if merchant_names else F.col("merchant_name")
     return rows.select(
         F.to_date("create_time").alias("apply_day"),
-        "ticket_id", relabel("apply_type", apply_types).alias("apply_type"), "order_id",
-        "sku_id", "sku_name", merchant.alias("merchant_name"), "back_category", "sku_grade", "packaging",
-        "store_id", *STORE_ATTRIBUTES,
+        "ticket_id", "ticket_no", "refund_no", relabel("apply_type", apply_types).alias("apply_type"),
+        "order_id", "order_no", "order_item_id", "order_item_no", "sku_id", "sku_code", "sku_name", "defective_rate",
+        "back_category_id", "back_category", *EXTRA_ATTRIBUTES, merchant.alias("merchant_name"), "store_id", *PLACE,
         quoted_list("track_file").alias("track_files"),
-        F.col("expected_amt").cast("double").alias("expected_amt"),
+        F.col("expected_amt").cast("double").alias("expected_amt"), "bad_weight", "bad_num",
         "problems",
         quoted_list("images", image_host).alias("images"),
         quoted_list("videos", image_host).alias("videos"),
+        "handler_id", "handler_name",
         relabel("complaint_type", complaint_types).alias("complaint_type"),
-        "status", "mall_id",
+        "remark", "problem_remark", "handle_remark", "service_remark",
+        F.col("final_amt").cast("double").alias("final_amt"),
+        "status", "real_status",
+        *[reformat(c).alias(n) for n, c in TIMES.items()], "handle_duration", "mall_id",
         presence("agent", rules.agent_label, rules.direct_label).alias("operate_type"),
     )

@@ -266,9 +266,9 @@ def store_category_payments(
         .agg(F.sum("payment_amt").alias("payment_amt"))
     )
     rows = scan_window(facts, "dt", window).where(nz("ordered_num") > 0)
-    money = ("ordered_amt", "delivered_amt", "payment_amt", "refund_amt", "refund_quality", "commission_amt")
+    money = ("ordered_amt", "delivered_amt", "payment_amt", "refund_amt", "refund_quality", "commission_amt", "natural_refund_amt")
     return rows.join(paid, ["dt", "store_id", "cat1"], "left").select(
-        "dt", "store_id", "cat1", "ordered_num", "delivered_num",
+        "dt", "store_id", "cat1_id", "cat1", "ordered_num", "delivered_num",
         *[F.col(c).cast("double").alias(c) for c in money],
     )
 

@@ -16,6 +16,7 @@ from ...sources.tables import scan_window
 from ..rules import Rules
 from .common import upgrade_stat
 
+PLACE = ["province_id", "province_name", "city_id", "city_name", "county_id", "county_name"]
 UPGRADE_KEYS = ["dt", "mall_id", "cat1", "cat4", "store_id"]
 
 #: Last 7, 14 and 30 days including the output day, and the 7 days before the last 7.
@@ -23,8 +24,9 @@ LAST_7, LAST_14, LAST_30, BEFORE_7 = Band("d7", 0, 6), Band("d14", 0, 13), Band(
 
 
 def active_store_facts(facts: DataFrame, window: DateWindow) -> DataFrame:
+    """Stores that saw, clicked, added, ordered, complained or bought again; a delivery alone is no activity."""
     rows = scan_window(facts, "dt", window)
-    return rows.where(any_positive("ordered_num", "delivered_num", "after_sale_num", "rebuy_days"))
+    return rows.where(any_positive("exposed_num", "clicked_num", "added_num", "ordered_num", "after_sale_num", "rebuy_num"))
 
 
 def active_agent_grids(agent_grid: DataFrame, window: DateWindow) -> DataFrame:
@@ -41,7 +43,7 @@ def sales_rep_kpis(
     Grid and rep come from the fact, else from the day's store snapshot (the home
     mall's entry first), grid names at last from the grid snapshot.
     """
-    facts = active_store_facts(t["store_cat4"], window).where(F.col("ordered_num") > 0)
+    facts = scan_window(t["store_cat4"], "dt", window).where(F.col("ordered_num") > 0)
     fallback = {c: f"store_{c}" for c in ("grid_id", "grid_name", "bd_id", "bd_name")}
     snapshot = pick_preferred(
         scan_window(t["store_dim"], "dt", window),
@@ -112,11 +114,12 @@ def trial_group(county: str, grid_name: str, rules: Rules) -> Column:
 def store_category_detail(
     t: Mapping[str, DataFrame], rules: Rules, window: DateWindow
 ) -> DataFrame:
-    """Store × level-4 category feed with trial, pilot, after-sale and rebuy marks."""
-    facts = active_store_facts(t["store_cat4"], window)
-    snapshot = scan_window(t["store_dim"], "dt", window).groupBy("dt", "store_id", "mall_id").agg(
-        F.max("province_name").alias("province_name"), F.max("grid_name").alias("county_name")
-    )
+    """Store × level-4 category feed with trial, pilot, after-sale and rebuy marks: 32 columns."""
+    facts = active_store_facts(t["store_feed"], window)
+    # several counties may serve a store on a day: one of them, with its own city and province
+    place = F.max(F.struct("county_name", *[c for c in PLACE if c != "county_name"])).alias("place")
+    snapshot = scan_window(t["store_dim"], "dt", window).groupBy("dt", "store_id", "mall_id").agg(place)
+    snapshot = snapshot.select("dt", "store_id", "mall_id", "place.*")
     agents = active_agent_grids(t["agent_grid"], window).withColumn("agent", F.lit(1))
     upgrades = upgrade_stat(t["ticket"], t["orders"], t["goods"], window, by_store=True)
     joined = (
@@ -130,7 +133,7 @@ def store_category_detail(
     return joined.select(
         "dt", "mall_id", "mall", "grid_id", "grid_name",
         presence("agent", rules.agent_label, rules.direct_label).alias("operate_type"),
-        "bd_id", "bd_name", "store_id", "province_name", "county_name", "cat1", "cat4",
+        "bd_id", "bd_name", "store_id", *PLACE, "cat1_id", "cat1", "cat4_id", "cat4",
         flag(is_one_of("cat1", rules.vegetable_cat1) & (F.col("ordered_num") > 0)).alias("is_vegetable"),
         flag(group == rules.treatment_label).alias("is_trial"),
         group.alias("trial_group"),
@@ -171,13 +174,16 @@ def rolling_report(
 
 
 def store_rolling(daily: DataFrame, window: DateWindow, direction: str = "backward") -> DataFrame:
-    """Ten store measures: same day, last 30, 14 and 7 days; exposed and ordered days."""
+    """Ten store measures: same day, last 30, 14 and 7 days; exposed and ordered days: 48 columns.
+
+    Refunds count on the day of their order and, as ``natural_refund_amt``, on their own day.
+    """
     measures = [
         "exposed_cnt", "ordered_amt", "delivered_amt", "delivered_num", "after_sale_num_quality",
-        "after_sale_num", "refund_quality", "refund_amt", "commission_amt", "ordered_num",
+        "after_sale_num", "refund_quality", "refund_amt", "natural_refund_amt", "commission_amt",
     ]
     active = {"exposed_days": F.col("exposed_cnt") > 0, "ordered_days": F.col("ordered_num") > 0}
-    rows = daily.where(any_positive("exposed_cnt", "ordered_amt", "refund_amt"))
+    rows = daily.where(any_positive("exposed_cnt", "ordered_amt", "natural_refund_amt"))
     return rolling_report(
         rows, ["store_id"], measures, [LAST_30, LAST_14, LAST_7], [LAST_30, BEFORE_7, LAST_7],
         active, window, horizon=29, direction=direction,
