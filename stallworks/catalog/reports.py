@@ -65,6 +65,21 @@ ACTIVE = "exposed_num + clicked_num + added_num + ordered_num + after_sale_num +
 AGENTS = "agents AS (SELECT DISTINCT dt, mall_id, grid_id FROM agent_grid WHERE status = 1)"
 
 
+def with_levels(df: DataFrame) -> DataFrame:
+    """Second and third level and id of a level-4 category."""
+    return df.withColumns(
+        {
+            "cat2": F.concat(F.lit("L2 "), "cat1"),
+            "cat3": F.concat(F.lit("L3 "), (cat4_id("cat4") % 4).cast("string")),
+            "cat4_id": cat4_id("cat4"),
+        }
+    )
+
+
+LEVELS_SQL = """'L2 ' || r.cat1 AS cat2, 'L3 ' || (CAST(split_part(r.cat4, '#', 2) AS BIGINT) % 4) AS cat3,
+      CAST(split_part(r.cat4, '#', 2) AS BIGINT) AS cat4_id"""
+
+
 class ReportTables(Mapping):
     """Report inputs by name; a role is only built when a report asks for it."""
 
@@ -84,7 +99,7 @@ class ReportTables(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name == "mall_cat4":
-            return self.roles.mall_cat4_with(*self.CATEGORY_MEASURES)
+            return with_levels(self.roles.mall_cat4_with(*self.CATEGORY_MEASURES))
         return getattr(self.roles, self.ROLES[name])
 
     def __iter__(self) -> Iterator[str]:
@@ -288,7 +303,7 @@ CARD_UPDATES = ALL_CARD_UPDATES.replace(
     "q04",
     f"""WITH {RANKED}, {CARD_UPDATES}
     SELECT r.dt, strftime(r.dt, '%Y-%m-01') AS dt_month,
-      CASE WHEN last_day(r.dt) = r.dt THEN 1 ELSE 0 END AS is_last_day, r.mall, r.cat1, r.cat4,
+      CASE WHEN last_day(r.dt) = r.dt THEN 1 ELSE 0 END AS is_last_day, r.mall, r.cat1, {LEVELS_SQL}, r.cat4,
       CAST(r.delivered_amt AS DOUBLE) AS delivered_amt, CAST(r.refund_amt AS DOUBLE) AS refund_amt,
       sku_num_onsale, sku_num_sold, exposed_store_num_old, ordered_store_num_old, penetration, order_cnt,
       target_sku_num, delivered_amt_rank, penetration_rank, onshelf_sku_num, updated_sku_num
@@ -652,20 +667,44 @@ TRIAL_SKUS = [5, 17, 42, 99, 101]
 @query(
     "q14",
     f"""WITH extra AS (SELECT dt, sku_id, MIN(cat4) AS sku_grade, MIN(mall_id) AS packaging FROM goods_day GROUP BY ALL)
-    SELECT g.dt, g.mall_id, g.sku_id, g.sku_name, e.sku_grade, e.packaging, g.merchant_id, g.cat1 AS back_category,
+    SELECT g.dt, g.mall_id, g.sku_id, 'SKU' || g.sku_id AS sku_code, g.sku_name, e.sku_grade,
+      CASE WHEN e.sku_id IS NOT NULL THEN 'AREA ' || (g.sku_id % 5) END AS producing_area, e.packaging,
+      CASE WHEN e.sku_id IS NOT NULL THEN 'S' || (g.sku_id % 4) END AS single_size,
+      CASE WHEN e.sku_id IS NOT NULL THEN 'C' || (g.sku_id % 7) END AS color_code,
+      CASE WHEN e.sku_id IS NOT NULL THEN g.sku_id % 50 END AS sku_quantity,
+      g.merchant_id, 'Supplier ' || g.merchant_id AS merchant_name, CASE WHEN s_acctbal < 0 THEN 'agent' ELSE 'own' END AS merchant_type,
+      CAST(CASE g.cat1 {' '.join(f"WHEN '{k}' THEN {v}" for k, v in CAT1_IDS.items())} END AS BIGINT) AS back_category_id,
+      g.cat1 AS back_category, p_size AS net_weight, p_size + 1 AS gross_weight,
+      CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS unit_price,
       CAST(standard_price AS DOUBLE) AS standard_price, CAST(commission_rate AS DOUBLE) AS commission_rate,
+      ROUND(CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) / (1.0::DOUBLE + CAST(commission_rate AS DOUBLE)), 2) AS supply_unit_price,
       ROUND(CAST(standard_price AS DOUBLE) / (1.0::DOUBLE + CAST(commission_rate AS DOUBLE)), 2) AS supply_standard_price,
       is_up_today, CASE WHEN g.sku_id IN ({', '.join(map(str, TRIAL_SKUS))}) AND g.dt >= DATE '2001-01-01' THEN 1 ELSE 0 END AS in_trial_period,
       CASE WHEN g.sku_id IN ({', '.join(map(str, TRIAL_SKUS))}) THEN 1 ELSE 0 END AS is_trial_sku
-    FROM goods_card g LEFT JOIN extra e ON e.sku_id = g.sku_id AND e.dt = (SELECT MAX(dt) FROM extra) - 1
+    FROM goods_card g JOIN part ON p_partkey = g.sku_id LEFT JOIN supplier ON s_suppkey = g.merchant_id
+    LEFT JOIN extra e ON e.sku_id = g.sku_id AND e.dt = (SELECT MAX(dt) FROM extra) - 1
     WHERE g.dt = (SELECT MAX(dt) FROM goods_card) - 1 AND is_up_today + is_sku_valid > 0""",
 )
 def q14(r: Roles) -> DataFrame:
+    part_of = lambda prefix, n: F.concat(F.lit(prefix), (F.col("sku_id") % n).cast("string"))
     extra = r.goods_day.groupBy("dt", "sku_id").agg(
         F.min("cat4").alias("sku_grade"), F.min("mall_id").alias("packaging")
+    ).withColumns(
+        {"producing_area": part_of("AREA ", 5), "single_size": part_of("S", 4), "color_code": part_of("C", 7), "sku_quantity": F.col("sku_id") % 50}
+    )
+    weights = r.table("part").select(
+        F.col("p_partkey").alias("sku_id"), F.col("p_size").alias("net_weight"), (F.col("p_size") + 1).alias("gross_weight"),
+        money("p_retailprice").alias("unit_price"),
     )
-    goods = r.goods_card.withColumnRenamed("cat1", "back_category")
-    return configuration.goods_config(goods, extra, TRIAL_SKUS, date(2001, 1, 1), prices=["standard_price"])
+    merchants = r.supplier.select(F.col("s_suppkey").alias("merchant_id"), F.when(F.col("status") == 1, "agent").otherwise("own").alias("merchant_type"))
+    goods = r.goods_card.join(weights, "sku_id").join(merchants, "merchant_id", "left").withColumns(
+        {
+            "sku_code": F.concat(F.lit("SKU"), F.col("sku_id").cast("string")),
+            "merchant_name": F.concat(F.lit("Supplier "), F.col("merchant_id").cast("string")),
+            "back_category_id": cat1_id("cat1"),
+        }
+    ).withColumnRenamed("cat1", "back_category")
+    return configuration.goods_config(goods, extra, TRIAL_SKUS, date(2001, 1, 1))
 
 
 REGIONS_SQL = """regions AS (
@@ -684,6 +723,7 @@ def region_rows(r: Roles) -> DataFrame:
         F.lit(level).alias("level"), used.alias("used"),
     ]
     one, c = F.lit(1), F.col
+    newest = r.table("orders").agg(F.max(F.to_date("o_orderdate")).alias("dt"))
     customers = r.table("customer").join(r.store.select("store_id", "mall"), c("c_custkey") == c("store_id"))
     parts = [
         r.table("region").select(*row(c("r_regionkey"), c("r_name"), none, 0, one)),
@@ -699,13 +739,21 @@ def region_rows(r: Roles) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    place = {
+        "dt": newest.scalar(),
+        "alias": F.lower("name"),
+        "longitude": (c("id") % 180).cast("double") / 2,
+        "latitude": (c("id") % 90).cast("double") / 2,
+    }
+    return out.withColumns(place)
 
 
 @query(
     "q15",
     f"""WITH {REGIONS_SQL}, used AS (SELECT * FROM regions WHERE used = 1)
-    SELECT t.id AS region_id, t.name AS region_name, regexp_replace(t.name, '[0-9]', '', 'g') AS clean_name,
+    SELECT (SELECT CAST(MAX(o_orderdate) AS DATE) FROM orders) AS dt, t.id AS region_id, t.name AS region_name,
+      regexp_replace(t.name, '[0-9]', '', 'g') AS clean_name, lower(t.name) AS region_alias,
+      CAST(t.id % 180 AS DOUBLE) / 2 AS longitude, CAST(t.id % 90 AS DOUBLE) / 2 AS latitude,
       a.id AS province_id, a.name AS province_name, b.id AS city_id, b.name AS city_name,
       t.id AS county_id, t.name AS county_name, CAST(NULL AS BIGINT) AS street_id, CAST(NULL AS VARCHAR) AS street_name,
       CAST(NULL AS BIGINT) AS address_id, CAST(NULL AS VARCHAR) AS address_name,

@@ -14,6 +14,7 @@ from ...sources.tables import latest_snapshot
 
 #: Region levels from the root down.
 REGION_LEVELS = ("province", "city", "county", "street", "address")
+EXTRA_ATTRIBUTES = ("sku_grade", "producing_area", "packaging", "single_size", "color_code", "sku_quantity")
 
 
 def goods_config(
@@ -24,7 +25,7 @@ def goods_config(
     categories: Sequence[str] | None = None,
     prices: Sequence[str] = ("unit_price", "standard_price"),
 ) -> DataFrame:
-    """Goods as of the day before the newest snapshot, with supply prices net of commission.
+    """Goods as of the day before the newest snapshot, with supply prices net of commission: 26 columns.
 
     ``trial_from`` starts the trial period of ``trial_skus``.
     """
@@ -35,7 +36,8 @@ def goods_config(
     joined = rows.join(attributes, "sku_id", "left")
     on_trial = F.col("sku_id").isin(list(trial_skus))
     return joined.select(
-        "dt", "mall_id", "sku_id", "sku_name", "sku_grade", "packaging", "merchant_id", "back_category",
+        "dt", "mall_id", "sku_id", "sku_code", "sku_name", *EXTRA_ATTRIBUTES, "merchant_id", "merchant_name", "merchant_type",
+        "back_category_id", "back_category", "net_weight", "gross_weight",
         *[F.col(p).cast("double").alias(p) for p in prices],
         F.col("commission_rate").cast("double").alias("commission_rate"),
         *[price_net_of_rate(p, "commission_rate").alias(f"supply_{p}") for p in prices],
@@ -53,13 +55,13 @@ def region_config(
     keep_level: str = "county",
     excluded: Sequence[str] = (),
 ) -> DataFrame:
-    """Regions of one level with their ancestors and who operates them.
+    """Regions of one level as of the newest snapshot, with their ancestors and who operates them.
 
     A county is agent-run when its name without digits equals the first part of an
     active agent grid's name. That list is reduced to distinct names, so several grids
     in a county do not repeat it.
     """
-    used = regions.where(F.col("used") == 1)
+    used = latest_snapshot(regions, "dt").where(F.col("used") == 1)
     flat = flatten_hierarchy(used, REGION_LEVELS, "id", "parent_id", "level", "name")
     flat = flat.withColumn("clean_name", strip_digits("name"))
     active = agent_grids.where(F.col("status") == 1).select(
@@ -74,10 +76,7 @@ def region_config(
     rows = rows.join(active, "clean_name", "left")
     paths = [f"{l}_{p}" for l in REGION_LEVELS for p in ("id", "name")]
     return rows.select(
-        F.col("id").alias("region_id"), F.col("name").alias("region_name"), "clean_name",
-        *paths, "parent_id", F.col("used").alias("is_valid"), "level", "level_name",
+        "dt", F.col("id").alias("region_id"), F.col("name").alias("region_name"), "clean_name", F.col("alias").alias("region_alias"),
+        *paths, "longitude", "latitude", "parent_id", F.col("used").alias("is_valid"), "level", "level_name",
         presence("agent", agent_label, self_label).alias("operate_type"),
     )
-
-
-__all__ = ["REGION_LEVELS", "goods_config", "region_config"]

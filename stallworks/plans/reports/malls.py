@@ -195,7 +195,7 @@ def category4_stat(
             "dt",
             month_key("dt").alias("dt_month"),
             is_month_end("dt").alias("is_last_day"),
-            "mall", "cat1", "cat4",
+            "mall", "cat1", "cat2", "cat3", "cat4_id", "cat4",
             F.col("delivered_amt").cast("double").alias("delivered_amt"),
             F.col("refund_amt").cast("double").alias("refund_amt"),
             "sku_num_onsale", "sku_num_sold", "exposed_store_num_old", "ordered_store_num_old",
@@ -272,8 +272,3 @@ def store_category_payments(
         *[F.col(c).cast("double").alias(c) for c in money],
     )
 
-
-__all__ = [
-    "card_updates", "category4_stat", "category_kpis", "complaint_ratio_rank", "mall_kpis",
-    "merchant_category", "paid_by", "sku_payments", "store_category_payments",
-]
