@@ -143,7 +143,7 @@ Q01_SQL = f"""WITH {UPGRADE_STORE},
 
 @query("q01", Q01_SQL)
 def q01(r: Roles) -> DataFrame:
-    return stores.sales_rep_kpis(report_tables(r.stored), RULES, ORDER_DAYS, HOME_MALL)
+    return stores.sales_rep_kpis(report_tables(r.stored()), RULES, ORDER_DAYS, HOME_MALL)
 
 
 BUCKETS = {
@@ -239,7 +239,7 @@ FLOW_COLUMNS = ", ".join(
     LEFT JOIN flows w ON w.dt = s.dt AND w.mall_id = s.mall_id AND w.cat1 = s.cat1""",
 )
 def q02(r: Roles) -> DataFrame:
-    return malls.category_kpis(report_tables(r.stored), RULES, ORDER_DAYS, F.col("mall_id") == HOME_MALL)
+    return malls.category_kpis(report_tables(r.stored()), RULES, ORDER_DAYS, F.col("mall_id") == HOME_MALL)
 
 
 Q03_SUMS = {
@@ -284,7 +284,7 @@ Q03_CTES = f"""{RANKED}, {FLOW.replace('{extra}', '')},
 
 @query("q03", f"WITH {Q03_CTES} SELECT * FROM kpis")
 def q03(r: Roles) -> DataFrame:
-    return malls.mall_kpis(report_tables(r.stored), RULES, ORDER_DAYS, F.col("mall_id") == HOME_MALL)
+    return malls.mall_kpis(report_tables(r.stored()), RULES, ORDER_DAYS, F.col("mall_id") == HOME_MALL)
 
 
 ALL_CARD_UPDATES = """updates AS (SELECT dt, mall_id, cat4,
@@ -310,7 +310,7 @@ CARD_UPDATES = ALL_CARD_UPDATES.replace(
     FROM ranked r LEFT JOIN updates u ON u.dt = r.dt AND u.mall_id = r.mall_id AND u.cat4 = r.cat4""",
 )
 def q04(r: Roles) -> DataFrame:
-    return malls.category4_stat(report_tables(r.stored), RULES, ORDER_DAYS, F.col("mall_id") == HOME_MALL)
+    return malls.category4_stat(report_tables(r.stored()), RULES, ORDER_DAYS, F.col("mall_id") == HOME_MALL)
 
 
 @query(
@@ -851,7 +851,7 @@ PILOT_COLUMNS = ", ".join(
     FROM kpis k LEFT JOIN quality q ON q.dt = k.dt LEFT JOIN pilot p ON p.dt = k.dt""",
 )
 def q16(r: Roles) -> DataFrame:
-    r = r.stored
+    r = r.stored()
     fused = fusion.okr_report(q03(r), shifted_rejects(r), q06(r), pilot_flags(r), PILOT_FLAGS, RULES)
     return fused.withColumns({n: F.col(n).cast("double") for n in Q16_MONEY}).withColumns(
         {n: F.col(n).cast("bigint") for n in Q16_COUNTS}

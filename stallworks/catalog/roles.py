@@ -14,13 +14,14 @@ import re
 from datetime import date, datetime
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.values import flag
 from ..operators.metrics import Metrics, aggregate
 from ..operators.reshape import on_two_days
 from ..params import DateWindow
-from ..session import scratch_path
+from ..sources.tables import scan_window
 
 #: The reports' windows over orders and over events.
 ORDER_DAYS = DateWindow.of_days(date(1995, 1, 1), date(2001, 8, 1))
@@ -122,19 +123,16 @@ class Roles:
         )
         return self.at_store(lines.join(orders, "order_id")).join(goods, "sku_id")
 
-    @cached_property
-    def stored(self) -> "Roles":
-        """The same roles over an ``item`` that is joined once and kept as a daily table.
+    def stored(self, window: DateWindow = ORDER_DAYS) -> "Roles":
+        """The same roles over an ``item`` of the window, joined once for all reports of a session.
 
-        For reports that roll several roles up from it: the four-table join runs once, and
-        every role after that is a scan of the columns it needs.
+        For reports that roll several roles up from it: the four-table join runs with the
+        first of them, every role after that scans the columns it needs. Nothing is written
+        while a plan is built; see ``shared_items``.
         """
-        path = scratch_path(self.spark, "item")
-        self.item.write.parquet(path)
         held = Roles(self.spark, self.dir)
         held._tables = self._tables
-        held.__dict__["item"] = self.spark.read.schema(self.item.schema).parquet(path)
-        held.__dict__["stored"] = held
+        held.__dict__["item"] = shared_items(self, window.padded(lookback=1))
         return held
 
     @cached_property
@@ -563,6 +561,32 @@ class Roles:
         )
 
 
+#: The joined items that reports of this session share, by application, folder and days.
+_SHARED: dict[tuple[str, str, date, date], DataFrame] = {}
+
+
+def shared_items(roles: Roles, window: DateWindow) -> DataFrame:
+    """``item`` of some days, kept by the executors once a report has asked for it.
+
+    Blocks of a lost executor are joined anew from the tables. One folder and window is held
+    at a time: asking for others, or ``release_items``, frees it.
+    """
+    key = (roles.spark.sparkContext.applicationId, roles.dir, window.first, window.last)
+    if key not in _SHARED:
+        release_items()
+        _SHARED[key] = scan_window(roles.item, "dt", window).persist(StorageLevel.MEMORY_AND_DISK)
+    return _SHARED[key]
+
+
+def release_items() -> None:
+    """Free the items that reports share."""
+    while _SHARED:
+        (application, *_), items = _SHARED.popitem()
+        context = items.sparkSession.sparkContext
+        if context._jsc is not None and context.applicationId == application:
+            items.unpersist()
+
+
 def refund() -> Column:
     return F.when(F.col("returnflag") == "R", F.col("amt") * F.col("disc")).otherwise(0)
 

@@ -29,7 +29,7 @@ SPINE = f"""(SELECT CAST(UNNEST(generate_series({EVENT_FIRST}, {EVENT_LAST}, INT
 )
 def win01(r: Roles) -> DataFrame:
     """Three ranks of malls inside a category-day, from one shuffle."""
-    r = r.stored
+    r = r.stored(r.order_days)
     ranked = ranked_cat4(r.mall_cat4_with("delivered_amt", "ordered_store_num"), r.mall_cat1, r.mall_day, r.mall, r.order_days, None)
     ranks = ("delivered_amt_rank", "penetration_rank", "dau_rank")
     return ranked.select("dt", "cat1", "cat4", "mall_id", *[F.col(c).cast("bigint").alias(c) for c in ranks])
@@ -123,7 +123,7 @@ def win07(r: Roles) -> DataFrame:
 )
 def win08(r: Roles) -> DataFrame:
     """A rank gate inside a conditional distinct count."""
-    r = r.stored
+    r = r.stored(r.order_days)
     ranked = ranked_cat4(r.mall_cat4_with("delivered_amt", "ordered_store_num"), r.mall_cat1, r.mall_day, r.mall, r.order_days, None)
     share = raw_ratio("ordered_store_num", "cat1_stores")
     gate = (share >= 0.15) & (F.col("penetration_rank") <= 3)
