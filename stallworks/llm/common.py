@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stallworks.session import shared_dir
+
 #: Labelled rows that a classifier is fitted on, at most; every row is scored.
 LABEL_BOUND = 40_000
 
@@ -65,10 +66,9 @@ def coded_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 def cut(rows: DataFrame) -> DataFrame:
     """``rows`` computed once and kept in the folder that ``spark.checkpoint.dir`` names.
 
-    Only where the session names none, as in tests, is a folder of this machine set.
+    Only on a local master, as in tests, may the session name none.
     """
     context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(named)
+        context.setCheckpointDir(shared_dir(rows.sparkSession))
     return rows.checkpoint()

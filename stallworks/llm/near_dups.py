@@ -19,13 +19,14 @@
 Nothing is capped: a large bucket costs more blocks, not fewer comparisons. Hashes have 64
 bits. Defined results: null text has no set, no link and stands alone; texts with fewer
 words than a shingle have their whole word sequence as the one shingle; different texts of
-one ``doc_id`` are documents of their own, rows of the same ``doc_id`` and text are one; a
-null ``doc_id`` is not in the result, and ``unnamed`` gives those rows, each on its own; an
+one ``doc_id`` are documents of their own, rows of the same ``doc_id`` and text are one that
+counts its rows; a null ``doc_id`` is not in the result, and ``unnamed`` gives those rows, each on its own; an
 empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -99,10 +100,7 @@ def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS)
             texts = pc.fill_null(batch.column(2), "")
             for low, high in slices(texts, SLICE_BYTES):
                 sets = shingle_sets(texts.slice(low, high - low), size)
-                sums = [
-                    np.array([len(s), s.sum(dtype=np.uint64), mix(s).sum(dtype=np.uint64)], np.uint64).tobytes()
-                    for s in sets
-                ]
+                sums = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low),
@@ -203,20 +201,39 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same components from fewer links: each portion's nodes linked to the smallest they reach in it."""
+    for batch in batches:
+        names, ends = np.unique(np.concatenate([batch.column(0).to_numpy(), batch.column(1).to_numpy()]), return_inverse=True)
+        root = list(range(len(names)))
+        for x, y in zip(ends[: len(batch)].tolist(), ends[len(batch) :].tolist(), strict=True):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            while root[y] != y:
+                root[y] = y = root[root[y]]
+            root[max(x, y)] = min(x, y)
+        for i, above in enumerate(root):  # a root is never above what hangs from it
+            root[i] = root[above]
+        own = np.asarray(root, np.int64)
+        far = np.flatnonzero(own != np.arange(len(names)))
+        yield pa.RecordBatch.from_arrays([pa.array(names[own[far]]), pa.array(names[far])], ["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """``rep, component``: the smallest member of every connected component of ``a, b``.
 
-    Each turn takes the smallest label among the neighbours and then the label's own label,
-    so chains shorten by half; the loop ends when no label changes.
+    Links are thinned portion by portion first. Each turn takes the smallest label among the
+    neighbours and then the label's own label, so chains shorten by half; the loop ends when
+    no label changes.
     """
-    both = cut(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct())
+    thin = links.select("a", "b").where("a <> b").mapInArrow(_forests, "a long, b long")
+    both = cut(thin.union(thin.select("b", "a")).distinct())
     labels = cut(both.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("b"), F.min("a")).alias("component")))
     while True:
-        near = both.join(labels.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep"))
-        stepped = labels.join(near.agg(F.min("component").alias("near")), "rep").select(
-            "rep", F.col("component").alias("old"), F.least("component", "near").alias("component")
-        )
-        target = stepped.select(F.col("rep").alias("component"), F.col("component").alias("beyond"))
+        near = both.join(labels.withColumnRenamed("rep", "b"), "b").select(F.col("a").alias("rep"), "component", F.lit(None).cast("long").alias("old"))
+        own = labels.select("rep", "component", F.col("component").alias("old"))
+        stepped = near.union(own).groupBy("rep").agg(F.max("old").alias("old"), F.min("component").alias("component"))
+        target = labels.select(F.col("rep").alias("component"), F.col("component").alias("beyond"))
         stepped = cut(
             stepped.join(target, "component", "left").select(
                 "rep", "old", F.coalesce(F.least("component", "beyond"), "component").alias("component")
@@ -323,19 +340,21 @@ def near_duplicates(
     percent: int = 80,
     bands: int = BANDS,
     rows: int = ROWS,
-    star_rounds: int = 2,
+    star_rounds: int = 1,
 ) -> DataFrame:
-    """``doc_id, key, n_shingles, component_id, kept`` for every text of every document.
+    """``doc_id, key, n_shingles, component_id, kept, n_rows`` for every text of every document.
 
-    ``key`` is the text's ``xxhash64``; one ``doc_id`` and ``key`` of a component is kept.
+    ``key`` is the text's ``xxhash64``; one ``doc_id`` and ``key`` of a component is kept;
+    ``n_rows`` counts the input's rows of it.
     """
     width = bands * rows
     needed = least_matches(percent / 100, width, BATCH, MISS)
     named = docs.where(F.col("doc_id").cast("long").isNotNull())
     signed = signatures(named, shingle, bands, rows).groupBy("doc_id", "key").agg(
-        F.max_by(F.struct("n_shingles", "digest", "signature"), F.struct("n_shingles", "digest")).alias("s")
+        F.max_by(F.struct("n_shingles", "digest", "signature"), F.struct("n_shingles", "digest")).alias("s"),
+        F.count("*").alias("n_rows"),
     )
-    signed = cut(signed.select("doc_id", "key", "s.*"))
+    signed = cut(signed.select("doc_id", "key", "n_rows", "s.*"))
     classes = cut(
         signed.where("n_shingles > 0")
         .groupBy("digest")
@@ -369,10 +388,10 @@ def near_duplicates(
     by_class = _labelled(classes.select("rep", "first", "digest"), labels)
     firsts = by_class.groupBy("component").agg(F.min("first").alias("first"))
     by_class = by_class.select("digest", "component").join(firsts, "component").select("digest", "first")
-    out = signed.select("doc_id", "key", "n_shingles", "digest").join(by_class, "digest", "left")
+    out = signed.select("doc_id", "key", "n_rows", "n_shingles", "digest").join(by_class, "digest", "left")
     own = F.struct("doc_id", "key")
     first = F.when(F.col("n_shingles") > 0, F.col("first")).otherwise(own)
-    return out.select("doc_id", "key", "n_shingles", first["doc_id"].alias("component_id"), (first == own).alias("kept"))
+    return out.select("doc_id", "key", "n_shingles", first["doc_id"].alias("component_id"), (first == own).alias("kept"), "n_rows")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:

@@ -6,10 +6,11 @@ that have ``g`` tokens left, a piece goes where the sum of ``n(g)**2`` becomes s
 ties go to the smallest gap that fits. A large residual count is thus broken up before
 it builds up, and gaps stay spread so that later pieces find an exact fit.
 
-Pieces of full length are sequences of their own. The others are dealt over blocks by a
-hash, as many blocks as keep the expected number of documents of a block at
-``block_rows``, and every block is packed on its own, so a task's memory does not grow
-with the corpus. A block leaves a handful of sequences with room at its end.
+Pieces of full length are sequences of their own and are held by no task. The others, one
+for each document at most, are dealt evenly over blocks, as many as keep the number of
+documents of a block at ``block_rows``, and every block is packed on its own, so a task's
+memory grows neither with the corpus nor with the length of its texts. A block leaves a
+handful of sequences with room at its end.
 
 Defined results: null text is the empty text, which is one piece holding the end id
 alone; repeated rows are packed once each; a null doc_id is packed like any other; an
@@ -24,7 +25,6 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -32,12 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from stallworks.llm.common import slices
+
 SEQUENCE_LENGTH = 4096
 END_ID = 1
 BLOCK_ROWS = 16384
-#: Text bytes tokenised at a time, and words a worker remembers before it starts anew.
-SLICE_BYTES = 6 << 20
-WORD_CACHE = 500_000
+#: Text bytes tokenised at a time, words a worker remembers before it starts anew, and rows given back at a time.
+SLICE_BYTES = 3 << 20
+WORD_CACHE = 200_000
+YIELD_ROWS = 2048
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 
@@ -119,19 +122,6 @@ def _encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges that hold about SLICE_BYTES of text, one row at least."""
-    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-    at, held = 0, 0
-    for i, size in enumerate(sizes):
-        if i > at and held + size > SLICE_BYTES:
-            yield at, i
-            at, held = i, 0
-        held += int(size)
-    if at < len(sizes):
-        yield at, len(sizes)
-
-
 def token_pieces(
     docs: DataFrame,
     tokenizer_path: str,
@@ -145,7 +135,7 @@ def token_pieces(
         end = np.asarray([end_id], "<u4")
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
-            for low, high in _slices(texts):
+            for low, high in slices(texts, SLICE_BYTES):
                 ids, bounds = encoder.texts(texts.slice(low, high - low))
                 rows: list[tuple[int, int, int, int, bytes]] = []
                 keys = batch.column(0).slice(low, high - low).to_pylist()
@@ -204,26 +194,42 @@ def pack(
 
     Rows are dealt evenly over ``blocks`` tasks, whatever their keys, and each task packs
     what it got, ordered by length and key so that a repeated task gives the same answer.
-    Other columns (the ids, or digests of them) ride along.
+    Pieces of full length are sequences of their own and are passed on as they come; only
+    the shorter ones, one for each document at most, are held until all have come. Other
+    columns (the ids, or digests of them) ride along.
     """
     rows = pieces.drop("sequence_id", "offset")
     schema = StructType(
         [*rows.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]
     )
+    names = schema.names
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = list(frames)
-        if not held:
+    def placed(part: pa.RecordBatch, sequence: np.ndarray, offset: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*part.columns, pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 40
+        held, full = [], first + (1 << 39)
+        for batch in batches:
+            whole = pc.greater_equal(batch.column(at), sequence_length)
+            part = batch.filter(whole)
+            if len(part):
+                yield placed(part, full + np.arange(len(part)), np.zeros(len(part), np.int64))
+                full += len(part)
+            held.append(batch.filter(pc.invert(whole)))
+        every = pa.Table.from_batches(held) if held else None
+        if not every:
             return
-        block = TaskContext.get().partitionId()
-        every = pd.concat(held, ignore_index=True).sort_values(
-            ["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable"
-        )
-        sequence, offset = sum_of_squares(every["length"].to_numpy(np.int64), sequence_length)
-        every["sequence_id"], every["offset"] = sequence + (block << 40), offset
-        yield every
-
-    return rows.repartition(blocks).mapInPandas(run, schema)
+        order = pc.sort_indices(every, [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        lengths = every.column(at).to_numpy()[order.to_numpy()].astype(np.int64)
+        sequence, offset = sum_of_squares(lengths, sequence_length)
+        for low in range(0, len(lengths), YIELD_ROWS):
+            cut = slice(low, low + YIELD_ROWS)
+            for part in every.take(order[cut]).combine_chunks().to_batches():
+                yield placed(part, first + sequence[cut], offset[cut])
+
+    at = rows.columns.index("length")
+    return rows.repartition(blocks).mapInArrow(run, schema)
 
 
 def pack_documents(

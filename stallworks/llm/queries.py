@@ -78,10 +78,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's near-duplicate component over sets of three-word shingles."""
+    """Every document's near-duplicate component over sets of three-word shingles: a row for each row."""
     docs = documents(spark, sf_dir)
-    found = near_dups.near_duplicates(docs, shingle=3, percent=85).drop("key")
-    return found.unionByName(near_dups.unnamed(docs, shingle=3))
+    found = near_dups.near_duplicates(docs, shingle=3, percent=85)
+    rows = found.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("n_rows"))))
+    rows = rows.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return rows.unionByName(near_dups.unnamed(docs, shingle=3))
 
 
 def toxic_model(docs: DataFrame, all_labels: DataFrame) -> toxicity.ToxicModel:

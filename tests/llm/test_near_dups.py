@@ -59,6 +59,7 @@ def test_texts_that_share_an_id_and_rows_without_one(spark, tmp_path):
     df = spark.createDataFrame([(i, t, "", "", 0) for i, t in rows], SCHEMA)
     got = [tuple(r) for r in near_dups.near_duplicates(df).select("doc_id", "component_id", "kept").collect()]
     assert sorted(got) == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 3, True), (4, 1, False)]
+    assert [r["n_rows"] for r in near_dups.near_duplicates(df.unionByName(df)).collect()] == [2] * 5
     left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()]
     assert sorted(left, key=str) == sorted([(1, one), (1, two), (3, three), *rows[5:]], key=str)
     df.write.parquet(f"{tmp_path}/documents.parquet")
@@ -95,3 +96,37 @@ def test_bounds_of_the_sequential_test():
     right = np.where(rng.random((4000, 64)) < 0.85, left, left + 1).astype(np.uint32)
     assert len(near_dups.survivors(left, right, needed, 8)) == 4000
     assert len(near_dups.survivors(left, left + 1, needed, 8)) == 0
+
+
+def test_one_row_for_each_input_row(spark, tmp_path):
+    one = prose(1, 90)
+    rows = [(5, one)] * 3 + [(5, one + " end"), (7, one), (None, one), (None, one)]
+    spark.createDataFrame([(i, t, "", "", 0) for i, t in rows], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op5_minhash_near_dups(spark, str(tmp_path)).collect()
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in found), key=str)
+    assert got == sorted([(5, 5, True)] * 4 + [(7, 5, False)] + [(None, None, True)] * 2, key=str)
+
+
+def test_one_row_of_a_repeated_document_stays(spark):
+    one, other = prose(1, 90), prose(2, 90)
+    rows = [(5, one, "en", "b", 1), (5, one, "de", "a", 1), (5, one, None, "a", 1), (6, one, "en", "b", 1), (8, None, "x", "y", 0), (8, "", "x", "y", 0), (9, other, "en", "b", 1)]
+    left = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert sorted(map(tuple, left)) == [(5, one, None, "a", 1), (8, "", "x", "y", 0), (9, other, "en", "b", 1)]
+
+
+def test_links_are_thinned_without_loss(spark):
+    rnd = random.Random(4)
+    links = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(260)]
+    root = list(range(300))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = near_dups.components(spark.createDataFrame(links, "a long, b long").repartition(5))
+    want = {x: find(x) for pair in links if pair[0] != pair[1] for x in pair}
+    assert {r["rep"]: r["component"] for r in got.collect()} == want
