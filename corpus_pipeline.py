@@ -8,8 +8,6 @@ that of the operators.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -18,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stallworks.llm import line_chunks, mixing, near_dups, packing, toxicity
 from stallworks.llm.common import fold, labelled_sample
+from stallworks.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC = 0.7
@@ -45,14 +44,18 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near-duplicates: five-word shingles, 0.8 or more.
 
-    Rows of the same ``doc_id`` and text stay together; rows without a ``doc_id`` all stay.
+    Rows that repeat the ``doc_id`` and text of a kept document go as well: of them the one
+    with the least language, source and length stays. Rows without a ``doc_id`` all stay.
     """
-    # one round of hubs: what it leaves goes to blocks, with fewer jobs for the driver to keep
-    found = near_dups.near_duplicates(docs, shingle=5, percent=80, bands=BANDS, rows=ROWS, star_rounds=1)
-    kept = found.where("kept").select(F.col("doc_id").alias("_id"), "key")
+    found = near_dups.near_duplicates(docs, shingle=5, percent=80, bands=BANDS, rows=ROWS)
+    kept = found.where("kept").select("doc_id", "key")
     rows = docs.select(*COLUMNS)
-    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("key"))
-    return rows.join(kept, same, "left_semi").unionByName(rows.where("doc_id IS NULL"))
+    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    named = rows.withColumn("key", key).join(kept, ["doc_id", "key"])
+    rest = [c for c in COLUMNS if c != "doc_id"]
+    order = F.struct(F.col("text").isNull(), "lang", "source", "n_chars")
+    one = named.groupBy("doc_id", "key").agg(F.min_by(F.struct(*rest), order).alias("row"))
+    return one.select("doc_id", "row.*").unionByName(rows.where("doc_id IS NULL"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,8 +84,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    folder = f"{named.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
