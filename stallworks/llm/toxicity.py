@@ -60,26 +60,29 @@ def units(word: str) -> tuple[str, str]:
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments ``(start, end, score)``, end exclusive, in one pass.
 
-    Open candidates are kept with the running totals before and after them. A new one is
-    joined with the last candidate that began lower and ended lower, until none is left.
+    Open candidates are kept with the running totals before and after them, and with the
+    place of the last candidate before them that began lower, so that a search passes no
+    candidate twice. A new one is joined with the last candidate that began lower and ended
+    lower, until none is left.
     """
-    found: list[tuple[int, int, float, float]] = []
+    found: list[tuple[int, int, float, float, int]] = []
     total = 0.0
     for at, score in enumerate(scores):
         before, total = total, total + score
         if score <= 0:
             continue
         start, left, right = at, before, total
+        j = len(found) - 1
         while True:
-            j = len(found) - 1
             while j >= 0 and found[j][2] >= left:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][3] >= right:
-                found.append((start, at + 1, left, right))
+                found.append((start, at + 1, left, right, j))
                 break
-            start, left = found[j][0], found[j][2]
+            start, _, left, _, beyond = found[j]
             del found[j:]
-    return [(a, b, right - left) for a, b, left, right in found]
+            j = beyond
+    return [(a, b, right - left) for a, b, left, right, _ in found]
 
 
 @dataclass

@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -139,3 +140,14 @@ def test_ratio_of_every_document(docs, labels, odd, none):
     assert kept > 0.98 * len(fine)
     assert len(target_ratio.score(target_ratio.base_statistics(odd), table).collect()) == len(odd_rows())
     assert set(target_ratio.ratios(target_ratio.gram_counts(none, trusted))) == {0.0}
+
+
+def test_maximal_segments_take_linear_time():
+    """Falling totals leave every segment open; each must be passed once, not by all later ones."""
+
+    def taken(n):
+        began = time.process_time()
+        assert len(toxicity.maximal_segments([1.0, -2.0] * n)) == n
+        return time.process_time() - began
+
+    assert min(taken(64_000) for _ in range(3)) < 1
