@@ -1,14 +1,19 @@
 """Line dedup by content-defined chunks, in DataFrame functions alone.
 
-A text's lines are hashed, and the hashes are rolled over ``ROLL`` neighbouring lines; a
-chunk ends after a line whose rolled hash has a first digit that ``DIVISOR`` divides. A
-boundary depends on the lines just before it alone, so text put in or taken out elsewhere
-does not move it. Chunks of two lines or more that hold a word and occur more than once
-are candidates; a candidate goes if its bytes equal those of the first occurrence, in the
-order of ``doc_id`` and place.
-
-Only hashes are shuffled to find candidates, aggregated in the map tasks first. Texts meet
-their candidates by ``doc_id``; candidate chunks, not whole texts, meet by hash.
+A text's lines are hashed, and the hashes are rolled over ``ROLL`` neighbouring lines. Each
+rolled hash depends on its own lines alone, so text put in or taken out elsewhere moves no
+boundary. A divisor above 1 (a boundary after some rolled hashes only) would miss most
+passages of two or three lines, as their edges would have to be boundaries by chance: so every
+rolled hash bounds a chunk, the ``ROLL`` lines that it covers, and chunks overlap. Chunks
+that hold a word and whose bytes equal those of an earlier occurrence, in the order of
+``doc_id`` and place, are joined line by line to maximal repeated runs. Runs of at least
+``LEAST_WORDS`` words go. The first occurrence of every line stays.
+
+Only 128-bit hashes are shuffled to find candidates, counted in the map tasks first. Texts
+meet their candidates by ``doc_id``; of a candidate's bytes the map tasks keep the least
+and the greatest text under its hash, and only if they are equal is anything removed. No
+task gathers the copies of a chunk: joins by hash have both sides shuffled as they are, so
+that Spark splits a hot hash.
 
 Defined results: null text is empty; rows of the same ``doc_id`` and text are treated
 alike, so none of them removes the other's chunks; rows with a null ``doc_id`` are
@@ -23,121 +28,149 @@ from pyspark.sql import functions as F
 from stallworks.llm.common import let
 
 ROLL = 2
-DIVISOR = 4
-LEAST_LINES = 2
-CHUNK = "array<struct<k:int,start:int,lines:int,hash:string>>"
+LEAST_WORDS = 10
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def chunks(text: Column) -> Column:
-    """``k, start, lines, hash`` of every chunk; lines count from 1."""
-
-    def ends(h: Column) -> Column:
-        def cut_after(i: Column) -> Column:
-            rolled = F.md5(F.concat_ws("", *(F.coalesce(F.get(h, i - k), F.lit("")) for k in range(ROLL, 0, -1))))
-            return (i == F.size(h)) | (F.conv(F.substring(rolled, 1, 1), 16, 10).cast("int") % DIVISOR == 0)
-
-        return F.filter(F.sequence(F.lit(1), F.size(h)), cut_after)
-
-    def cut(h: Column, e: Column) -> Column:
-        def chunk(end: Column, k: Column) -> Column:
-            start = F.coalesce(F.get(e, k - 1), F.lit(0)) + 1
-            lines = end - start + 1
+    """``at, h, g`` of every chunk that holds a word; lines count from 1."""
+
+    def rolled(lines: Column) -> Column:
+        hashes = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), F.xxhash64(F.lit(1), x).alias("g"), x.rlike(WORD).alias("word")))
+        return let(hashes, over)
+
+    def over(h: Column) -> Column:
+        def chunk(first: Column, i: Column) -> Column:
+            covered = [first] + [F.get(h, i + k) for k in range(1, ROLL)]
+            word = covered[0]["word"]
+            for x in covered[1:]:
+                word = word | x["word"]
             return F.struct(
-                k.alias("k"), start.alias("start"), lines.alias("lines"),
-                F.md5(F.array_join(F.slice(h, start, lines), "")).alias("hash"),
-            )
+                (i + 1).alias("at"),
+                F.xxhash64(*(x["h"] for x in covered)).alias("h"),
+                F.xxhash64(*(x["g"] for x in covered)).alias("g"),
+                word.alias("word"),
+            )
 
-        return F.transform(e, chunk)
+        starts = F.slice(h, F.lit(1), F.greatest(F.size(h) - (ROLL - 1), F.lit(0)))
+        return F.filter(F.transform(starts, chunk), lambda c: c["word"])
 
-    hashes = F.transform(F.split(text, "\n", -1), lambda x: F.md5(x))
-    return let(hashes, lambda h: let(ends(h), lambda e: cut(h, e)))
+    return let(F.split(text, "\n", -1), rolled)
 
 
 def chunk_text(lines: Column, start: Column, count: Column) -> Column:
     return F.array_join(F.slice(lines, start, count), "\n")
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """``doc_id, key, start, lines`` of the chunks to remove; ``key`` is the text's hash."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with a ``doc_id`` and the hash of their text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64(text).alias("key"), text.alias("text"))
-    each = rows.select("doc_id", "key", F.explode(chunks(F.col("text"))).alias("c")).where(F.col("c.lines") >= LEAST_LINES)
-    each = each.select("doc_id", "key", "c.*")
-    place = F.struct("doc_id", "key", "k")
-    many = each.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    found = each.join(many.select("hash", "first"), "hash").withColumn("is_first", place == F.col("first"))
-    listed = found.groupBy("doc_id", "key").agg(F.collect_set(F.struct("hash", "start", "lines", "is_first")).alias("found"))
-    held = rows.join(listed, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
-    held = held.select("doc_id", "key", F.split("text", "\n", -1).alias("all"), "found")
-    pieces = held.select("doc_id", "key", "all", F.explode("found").alias("c")).select(
-        "doc_id", "key", "c.*", chunk_text(F.col("all"), F.col("c.start"), F.col("c.lines")).alias("chunk")
+    return docs.where("doc_id IS NOT NULL").withColumn("_key", F.xxhash64(text))
+
+
+def _runs(starts: Column) -> Column:
+    """``start, lines`` of the stretches that sorted chunk starts cover."""
+
+    def joined(s: Column) -> Column:
+        begins = F.filter(s, lambda x, k: (k == 0) | (x > F.get(s, k - 1) + ROLL))
+        ends = F.filter(s, lambda x, k: (k == F.size(s) - 1) | (F.get(s, k + 1) > x + ROLL))
+        return F.zip_with(begins, ends, lambda a, b: F.struct(a.alias("start"), (b + ROLL - a).alias("lines")))
+
+    return let(starts, joined)
+
+
+def repeated_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, _key, runs`` of texts with repeated chunks; ``runs`` of any number of words."""
+    rows = _keyed(docs).select("doc_id", "_key", "text")
+    text = F.col("text").cast("string")
+    each = rows.select("doc_id", "_key", F.explode(chunks(text)).alias("c")).select("doc_id", "_key", "c.at", "c.h", "c.g")
+    place = F.struct("doc_id", "_key", "at")
+    many = each.groupBy("h", "g").count().where("count > 1").select("h", "g").repartition("h", "g")
+    found = each.join(many, ["h", "g"], "left_semi")
+    listed = found.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("at", "h", "g")).alias("found"))
+    held = rows.join(listed, ["doc_id", "_key"]).select("doc_id", "_key", F.split(text, "\n", -1).alias("all"), "found")
+    pieces = held.select("doc_id", "_key", "all", F.explode("found").alias("c")).select(
+        "doc_id", "_key", "c.*", chunk_text(F.col("all"), F.col("c.at"), F.lit(ROLL)).alias("chunk")
+    )
+    compared = pieces.groupBy("h", "g").agg(
+        F.min("chunk").alias("least"), F.max("chunk").alias("greatest"), F.min(place).alias("first")
     )
-    pieces = pieces.where(F.col("chunk").rlike(r"[^\x20\x09-\x0D]"))
-    firsts = pieces.where("is_first").select("hash", F.col("chunk").alias("first_chunk"))
-    same = pieces.where("NOT is_first").join(firsts, "hash").where("chunk = first_chunk")
-    return same.select("doc_id", "key", "start", "lines")
+    same = compared.where("least = greatest").select("h", "g", "first").repartition("h", "g")
+    later = each.join(same, ["h", "g"]).where(place != F.col("first"))
+    return later.groupBy("doc_id", "_key").agg(_runs(F.sort_array(F.collect_set("at"))).alias("_runs"))
 
 
 def remove_repeated_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the text that is left, ``n_lines``, ``n_removed_chunks`` and ``n_removed_lines``."""
-    removed = repeated_chunks(docs)
-    listed = removed.groupBy("doc_id", "key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "lines"))).alias("_removed")
-    )
-    listed = listed.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_removed")
+    """``docs`` with the text that is left, ``n_lines``, ``n_removed_chunks`` (runs) and ``n_removed_lines``."""
     names = ("n_lines", "n_removed_chunks", "n_removed_lines")
     kept = [c for c in docs.columns if c not in names]
+    docs = docs.select(*kept)
+    rows = _keyed(docs).join(repeated_runs(docs), ["doc_id", "_key"], "left")
+    unnamed = docs.where("doc_id IS NULL").withColumn("_key", F.lit(0).cast("long"))
+    rows = rows.unionByName(unnamed, allowMissingColumns=True)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(*kept).withColumn("_text_hash", F.xxhash64(text))
-    rows = rows.join(listed, (F.col("doc_id") == F.col("_id")) & (F.col("_text_hash") == F.col("_key")), "left")
 
-    def left(lines: Column) -> Column:
-        # what stands before each removed chunk, and what stands after the last
-        bounds = F.concat(F.array(F.struct(F.lit(1).alias("start"), F.lit(0).alias("lines"))), F.col("_removed"))
+    def left(lines: Column, removed: Column) -> Column:
+        # what stands before each removed run, and what stands after the last
+        bounds = F.concat(F.array(F.struct(F.lit(1).alias("start"), F.lit(0).alias("lines"))), removed)
 
         def after(x: Column, i: Column) -> Column:
             begin = x["start"] + x["lines"]
-            end = F.coalesce(F.get(F.col("_removed"), i)["start"], F.size(lines) + 1)
+            end = F.coalesce(F.get(removed, i)["start"], F.size(lines) + 1)
             return F.slice(lines, begin, F.greatest(end - begin, F.lit(0)))
 
         return F.array_join(F.flatten(F.transform(bounds, after)), "\n")
 
-    rest = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(let(F.split(text, "\n", -1), left))
-    counted = F.coalesce(F.size("_removed"), F.lit(0))
-    gone = F.aggregate("_removed", F.lit(0), lambda a, x: a + x["lines"])
+    def judged(lines: Column) -> Column:
+        def heavy(x: Column) -> Column:
+            return F.regexp_count(chunk_text(lines, x["start"], x["lines"]), F.lit(WORD)) >= LEAST_WORDS
+
+        return let(
+            F.filter(F.col("_runs"), heavy),
+            lambda removed: F.struct(
+                left(lines, removed).alias("rest"),
+                F.size(removed).alias("runs"),
+                F.aggregate(removed, F.lit(0), lambda a, x: a + x["lines"]).alias("lines"),
+            ),
+        )
+
+    rows = rows.withColumn("_judged", F.when(F.col("_runs").isNotNull(), let(F.split(text, "\n", -1), judged)))
+    rest = F.when(F.col("_judged.runs") > 0, F.col("_judged.rest")).otherwise(F.col("text"))
     return rows.select(
         *(rest.alias("text") if c == "text" else F.col(c) for c in kept),
         (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
-        F.when(F.col("_removed").isNull(), 0).otherwise(counted).cast("long").alias("n_removed_chunks"),
-        F.coalesce(gone, F.lit(0)).cast("long").alias("n_removed_lines"),
+        F.coalesce("_judged.runs", F.lit(0)).cast("long").alias("n_removed_chunks"),
+        F.coalesce("_judged.lines", F.lit(0)).cast("long").alias("n_removed_lines"),
     )
 
 
 #: The same rows in DuckDB: chunks are compared by their whole text.
 SQL = f"""
 WITH lines AS (
-    SELECT doc_id, u.i AS i, u.line AS line, md5(u.line) AS h
+    SELECT doc_id, u.i AS i, u.line AS line
     FROM (
         SELECT doc_id, unnest(list_transform(string_split(coalesce(text, ''), chr(10)),
             lambda x, k: {{'i': k, 'line': x}})) AS u
         FROM documents WHERE doc_id IS NOT NULL
     )
+), paired AS (
+    SELECT *, line || chr(10) || lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS body FROM lines
 ), marked AS (
-    SELECT *, CASE WHEN ('0x' || substr(md5(concat(coalesce(lag(h) OVER w, ''), h)), 1, 1))::INT % {DIVISOR} = 0
-        THEN 1 ELSE 0 END AS cut
-    FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-), numbered AS (
-    SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
+    SELECT doc_id, i, line, body IS NOT NULL AND regexp_matches(body, '[^ \\t-\\r]')
+        AND row_number() OVER (PARTITION BY body ORDER BY doc_id, i) > 1 AS later
+    FROM paired
+), covered AS (
+    SELECT doc_id, i, line, later OR coalesce(lag(later) OVER (PARTITION BY doc_id ORDER BY i), false) AS hit
     FROM marked
-), chunk AS (
-    SELECT doc_id, k, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY doc_id, k
+), runs AS (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, hit ORDER BY i) AS run,
+        len(regexp_extract_all(line, '[^ \\t-\\r]+')) AS words
+    FROM covered
 ), judged AS (
-    SELECT *, n >= {LEAST_LINES} AND regexp_matches(body, '[^ \\t-\\r]')
-        AND row_number() OVER (PARTITION BY body, n ORDER BY doc_id, k) > 1 AS gone
-    FROM chunk
+    SELECT *, hit AND sum(words) OVER (PARTITION BY doc_id, hit, run) >= {LEAST_WORDS} AS gone FROM runs
 )
-SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_removed_chunks,
-    coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines,
-    sha256(coalesce(string_agg(body, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(DISTINCT run) FILTER (gone)::BIGINT AS n_removed_chunks,
+    count(*) FILTER (gone)::BIGINT AS n_removed_lines,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
