@@ -81,7 +81,7 @@ def _runs(starts: Column) -> Column:
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """``doc_id, _key, runs`` of texts with repeated chunks; ``runs`` of any number of words."""
-    rows = _keyed(docs).select("doc_id", "_key", "text")
+    rows = _keyed(docs.select("doc_id", "text"))
     text = F.col("text").cast("string")
     each = rows.select("doc_id", "_key", F.explode(chunks(text)).alias("c")).select("doc_id", "_key", "c.at", "c.h", "c.g")
     place = F.struct("doc_id", "_key", "at")
