@@ -51,6 +51,76 @@ def test_toxicity_without_labels(docs, labels, small):
     assert {r["toxicity"] >= 0.7 for r in toxicity.score(small, model).collect()} == {False}
 
 
+def test_toxic_class_held_out(spark):
+    """Recall and precision of the toxic class, not of all rows, nine in ten of which are clean."""
+    folder = "/root/testdata/sf0.1"
+    truth = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    rows = queries.op6_toxicity(spark, folder).join(truth, "doc_id").where("held_out AND toxic IS NOT NULL")
+    got = collections.Counter((r["toxic"], r["predicted"]) for r in rows.collect())
+    assert got[1, 1] > 0.93 * (got[1, 1] + got[1, 0])
+    assert got[1, 1] > 0.93 * (got[1, 1] + got[0, 1])
+
+
+def test_log_odds_against_definition(spark):
+    """Every token, frequent or rare, seen in either class, in both or in none."""
+    rnd = random.Random(5)
+    words = [f"word{chr(97 + k)}" for k in range(12)] + ["a", "be", "Wordabc", "(be)", "77", "stemming", "stemmed"]
+    texts = [(k, " ".join(rnd.choices(words[: 8 + k % 11], k=9)), int(k % 4 == 0)) for k in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, label int")
+    model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "label"))
+    held = [({u for w in t.split() for u in toxicity.units(w) if u}, y) for _, t, y in texts]
+    share = sum(y for _, y in held) / len(held)
+
+    def posterior(unit, prior, strength):
+        n = [sum(unit in u and y == c for u, y in held) for c in (0, 1)]
+        n = n if unit and sum(n) >= toxicity.LEAST_TEXTS else [0, 0]
+        return (n[1] + strength * prior) / (sum(n) + strength)
+
+    def logit(x):
+        return np.log(x / (1 - x))
+
+    for word in [*words, "unseen", "stemless", "77", "be!"]:
+        bare, stem = toxicity.units(word)
+        by_word = posterior(bare, posterior(stem, share, toxicity.STEM_PRIOR), toxicity.WORD_PRIOR)
+        want = logit(by_word) - logit(share) if bare else 0.0
+        assert model.log_odds([word])[0] == pytest.approx(want, abs=1e-9)
+    scores = model.log_odds(words)
+    assert min(scores) < 0 < max(scores)
+    rest = model.without(0)
+    assert rest.texts.sum() + model.texts[0].sum() == len({t for _, t, _ in texts})
+
+
+def test_segments_are_those_of_all_tokens():
+    """Stretches of one sign stand for their tokens; texts do not run into each other."""
+    rnd = random.Random(8)
+    texts = [[rnd.choice([-2.5, -1.25, 0.0, 1.5, 3.0]) + rnd.random() / 1000 for _ in range(n)] for n in (0, 1, 7, 30, 0, 12, 0)]
+    bounds = np.cumsum([0] + [len(t) for t in texts])
+    got = list(toxicity.ToxicModel().segments_of(np.array(sum(texts, [])), bounds))
+    assert [n for n, _ in got] == [len(t) for t in texts]
+    for (_, spans), scores in zip(got, texts, strict=True):
+        want = toxicity.maximal_segments(scores)
+        # neighbouring hits of one stretch are one segment by definition
+        assert [(a, b) for a, b, _ in spans] == [(a, b) for a, b, _ in want]
+        assert [s for *_, s in spans] == pytest.approx([s for *_, s in want])
+
+
+def test_extreme_values_against_definition():
+    """``lambda`` solves its equation; the level's segments are as many as expected; E falls by it."""
+    tokens = {-64: 90_000, -32: 9_000, 64: 600, 160: 400}
+    segments = {64: 120, 160: 6}
+    scale, constant = toxicity.extreme_values(tokens, segments)
+    assert sum(n * np.exp(scale * b / 64) for b, n in tokens.items()) == pytest.approx(100_000, rel=1e-6)
+    assert constant * 100_000 * np.exp(-scale * 160 / 64) == pytest.approx(7)
+    model = toxicity.ToxicModel(scale=scale, constant=constant)
+    spans = [(0, 3, 0.5), (5, 9, 11.0)]
+    want = [(a, b, s, constant * 50 * np.exp(-scale * s)) for a, b, s in spans]
+    want = [x for x in want if x[3] <= toxicity.SIGNIFICANT]
+    assert len(want) == 1 and [x[:3] for x in model.passages(50, spans)] == [x[:3] for x in want]
+    assert [x[3] for x in model.passages(50, spans)] == pytest.approx([x[3] for x in want])
+    assert model.statistic(model.passages(50, spans)) == pytest.approx(-sum(np.log(x[3]) for x in want))
+    assert toxicity.extreme_values({}, {}) == (1.0, 1.0)
+
+
 def test_maximal_segments_against_definition():
     rnd = random.Random(2)
 
