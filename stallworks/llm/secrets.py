@@ -4,8 +4,11 @@ Three patterns give the base spans. Beyond them, candidate strings (long runs of
 characters) are slid over with a window whose Shannon entropy follows from counts that one
 character enters and one leaves at each step: with ``c`` occurrences of each character,
 ``H = log2(W) - sum(c * log2(c)) / W``. Hex strings and mixed strings have thresholds of
-their own. Windows at or above it join into spans. Strings on the allow-list (plain words,
-plain numbers, UUIDs) are left alone; base spans are never suppressed.
+their own. Windows at or above it join into spans. A candidate shorter than a window is one
+window, with the threshold scaled to what so few characters can hold. Strings on the
+allow-list (words of one case, capitalised or joined humps, and numbers, as they stand in
+names and paths; UUIDs) are left alone, other strings of letters are judged like any; base
+spans are never suppressed.
 
 All in DataFrame functions on single rows: no shuffle, no Python in the tasks. Positions
 are code points, ends exclusive.
@@ -36,15 +39,21 @@ HEX = "[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 20
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 #: Least entropy of a window, in bits, of hex and of other strings.
 HEX_BITS, MIXED_BITS = 3.0, 3.7
 HEX_STRING = "^[0-9A-Fa-f]+$"
-ALLOWED = (
-    r"^[A-Za-z_/=+-]+$",
-    r"^[0-9_/=+-]+$",
-    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
+#: What names and paths consist of: a string with nothing else is allowed. Each part is
+#: found on its own, so that long strings need no nested repetition.
+ALLOWED_PARTS = "|".join(
+    (
+        r"[_/=+-]+",
+        r"(?<![A-Za-z0-9])(?:[A-Z]+|[0-9]+)(?![A-Za-z0-9])",
+        r"(?<![A-Za-z0-9])[a-z]+(?![a-z0-9])",
+        r"[A-Z][a-z]{2,}(?![a-z0-9])",
+    )
 )
+ALLOWED = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
 SPANS = "array<struct<start:int,end:int,kind:int>>"
 _FIRST, _LAST = ord("+"), ord("z")
@@ -100,7 +109,16 @@ def base_spans(text: Column) -> Column:
 
 
 def dense_windows(value: Column, least: Column) -> Column:
-    """``start, end`` of joined windows of ``value`` with at least ``least`` bits."""
+    """``start, end`` of joined windows of ``value`` with at least ``least`` bits.
+
+    Windows are ``WINDOW`` characters wide, or as wide as a shorter ``value``.
+    """
+    wide = F.least(F.length(value), F.lit(WINDOW))
+    return let(F.struct(value.alias("value"), wide.alias("width")), lambda x: _dense(x["value"], x["width"], least))
+
+
+def _dense(value: Column, width: Column, least: Column) -> Column:
+    bound = F.log2(width) * (1 - least / math.log2(WINDOW))
     weight = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
     table = F.array(*map(F.lit, weight))
     slots = F.array_repeat(F.lit(0), _LAST - _FIRST + 1)
@@ -123,14 +141,14 @@ def dense_windows(value: Column, least: Column) -> Column:
             )
             return F.struct(counts.alias("counts"), total.alias("sum"))
 
-        leaving = F.when(at > WINDOW, code(at - WINDOW)).otherwise(F.lit(-1))
+        leaving = F.when(at > width, code(at - width)).otherwise(F.lit(-1))
         return let(F.struct(code(at).alias("into"), leaving.alias("out")), lambda x: moved(x["into"], x["out"]))
 
     def step(s: Column, at: Column) -> Column:
         def marked(new: Column) -> Column:
-            dense = (at >= WINDOW) & (math.log2(WINDOW) - new["sum"] / WINDOW >= least)
+            dense = (at >= width) & (new["sum"] / width <= bound + 1e-12)
             last = F.try_element_at(s["spans"], F.lit(-1))
-            begin = (at - WINDOW).cast("int")
+            begin = (at - width).cast("int")
             joined = F.concat(
                 F.slice(s["spans"], F.lit(1), F.size(s["spans"]) - 1),
                 F.array(F.struct(last["start"].alias("start"), at.cast("int").alias("end"))),
@@ -147,13 +165,9 @@ def dense_windows(value: Column, least: Column) -> Column:
 
 def entropy_spans(text: Column) -> Column:
     """Dense windows of the candidate strings that no allowed pattern covers."""
-    allowed = F.lit(False)
 
     def kept(x: Column) -> Column:
-        out = allowed
-        for pattern in ALLOWED:
-            out = out | x["value"].rlike(pattern)
-        return ~out
+        return ~x["value"].rlike(ALLOWED) & (F.regexp_replace(x["value"], ALLOWED_PARTS, "") != "")
 
     def spans(x: Column) -> Column:
         least = F.when(x["value"].rlike(HEX_STRING), HEX_BITS).otherwise(MIXED_BITS)
