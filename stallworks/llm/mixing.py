@@ -9,9 +9,11 @@ that every source is used whole at least once.
 A budget is realised as whole passes over the source and one part of a pass: documents
 stand in a permutation made of blocks (a hash gives the block and the order inside it),
 and the last pass takes whole blocks, then the head of the one in which the budget ends.
-Blocks have ``BLOCK_ROWS`` documents on average; their sums are small, so neither a large
-source nor the corpus is ever ordered in one task, and texts are not shuffled at all: what
-a document needs to know is one row for its source.
+Blocks have ``BLOCK_ROWS`` documents on average, and as many blocks make a group. The end
+of a budget is looked for among a source's groups, then among the blocks of one group, then
+among the documents of one block, so neither a large source nor the corpus is ever ordered
+in one task. Texts are not shuffled at all: what a document needs to know is one row for
+its source. Its place in the permutation is put out with its copies.
 
 Tokens are words between white space. Defined results: null text has no token; a null
 source is a source of its own; repeated rows share their copies' fate; a null ``doc_id``
@@ -31,6 +33,7 @@ from stallworks.llm.common import cut
 
 BLOCK_ROWS = 1024
 SEED = 20
+RESULTS = ("mix_weight", "mix_copies", "mix_block", "mix_place")
 WORD = r"[^\x20\x09-\x0D]+"
 #: Sources are a dimension, not data; more than this is refused.
 MOST_SOURCES = 100_000
@@ -104,6 +107,13 @@ def _order(seed: int) -> tuple[Column, Column]:
     return F.pmod(h, F.col("_blocks")).alias("block"), h.alias("place")
 
 
+def _crossing(rows: DataFrame, by: str) -> DataFrame:
+    """``_source``, ``by`` and the ``room`` left in it, where running ``n`` passes ``room``."""
+    before = F.sum("n").over(Window.partitionBy("_source").orderBy(by)) - F.col("n")
+    found = rows.withColumn("before", before).where("before <= room AND before + n > room")
+    return found.select("_source", by, (F.col("room") - F.col("before")).alias("room"))
+
+
 def mix_sources(
     docs: DataFrame,
     entropy: float | None = None,
@@ -111,7 +121,11 @@ def mix_sources(
     total: float | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """``docs`` with ``mix_weight`` and ``mix_copies``, how often a document is used."""
+    """``docs`` with ``mix_weight`` and ``mix_copies``, how often a document is used.
+
+    ``mix_block`` and ``mix_place`` order a source's documents: every pass over it follows
+    them, and the last one, a part, is a beginning of that order.
+    """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # a null source is a key of its own
@@ -132,11 +146,12 @@ def mix_sources(
     # a row for each source, from here on
     plans = F.broadcast(spark.createDataFrame(plan, "_source string, _weight double, _full long, _rest long, _blocks long"))
     placed = rows.join(plans, "_source").where("_rest > 0").select("_source", "tokens", "_rest", *_order(seed))
-    # the block in which a source's budget ends
     sums = placed.groupBy("_source", "block", "_rest").agg(F.sum("tokens").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("_source").orderBy("block")) - F.col("n")
-    ending = sums.withColumn("before", before).where("before <= _rest AND before + n > _rest")
-    ending = cut(ending.select("_source", "block", (F.col("_rest") - F.col("before")).alias("room")))
+    sums = cut(sums.withColumn("group", F.expr(f"block div {BLOCK_ROWS}")))
+    # the group in which a source's budget ends, then the block: a row for each source
+    groups = sums.groupBy("_source", "group", "_rest").agg(F.sum("n").alias("n")).withColumnRenamed("_rest", "room")
+    blocks = sums.drop("_rest").join(F.broadcast(_crossing(groups, "group")), ["_source", "group"])
+    ending = cut(_crossing(blocks, "block"))
     # and the last place in it that still fits
     inside = placed.join(F.broadcast(ending), ["_source", "block"])
     filled = F.sum("tokens").over(Window.partitionBy("_source").orderBy("place"))
@@ -144,17 +159,18 @@ def mix_sources(
     last = last.groupBy("_source").agg(F.max("place").alias("last"))
     ends = ending.join(last, "_source", "left").select("_source", F.col("block").alias("_end"), F.col("last").alias("_last"))
     plans = F.broadcast(plans.join(F.broadcast(ends), "_source", "left"))
-    kept = [c for c in docs.columns if c not in ("mix_weight", "mix_copies")]
+    kept = [c for c in docs.columns if c not in RESULTS]
     block, place = _order(seed)
     joined = docs.select(*kept, key).join(plans, "_source")
     part = (block < F.col("_end")) | ((block == F.col("_end")) & (place <= F.col("_last")))
     more = F.when((F.col("_rest") > 0) & F.coalesce(part, F.lit(False)), 1).otherwise(0)
     copies = (F.col("_full") + more).cast("int").alias("mix_copies")
-    return joined.select(*kept, F.col("_weight").alias("mix_weight"), copies)
+    order = (block.alias("mix_block"), place.alias("mix_place"))
+    return joined.select(*kept, F.col("_weight").alias("mix_weight"), copies, *order)
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """A row for each copy, without the columns of the mix."""
     passes = F.explode(F.sequence(F.lit(1), F.col("mix_copies")))
     rows = mixed.where("mix_copies > 0").withColumn("_pass", passes)
-    return rows.drop("_pass", "mix_weight", "mix_copies")
+    return rows.drop("_pass", *RESULTS)

@@ -153,9 +153,9 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often each document is used when no source is repeated more than four times."""
+    """Each document's copies and place when no source is repeated more than four times."""
     docs = documents(spark, sf_dir).select("doc_id", "source", "text")
-    return mixing.mix_sources(docs, repetition=4.0).select("doc_id", "source", "mix_weight", "mix_copies")
+    return mixing.mix_sources(docs, repetition=4.0).drop("text")
 
 
 def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use for columns of their own.
 CLASHES = (
     "key anchor bytes start end length piece ids sequence_id offset toxicity quality words score label rep bucket "
-    "component signature hashes digest range tokens block place weight mix_weight mix_copies n_lines found kept next spans"
+    "component signature hashes digest range tokens block place weight mix_weight mix_copies mix_block mix_place n_lines found kept next spans"
 ).split()
 
 

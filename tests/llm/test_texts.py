@@ -253,3 +253,27 @@ def test_mixing_of_odd_documents(odd, none):
     assert min(r["mix_copies"] for r in rows.collect()) >= 1
     assert mixing.repeated(rows).count() == sum(r["mix_copies"] for r in rows.collect())
     assert mixing.mix_sources(none, repetition=2.0).collect() == []
+
+
+def test_copies_follow_the_permutation(spark, monkeypatch):
+    """The part of a pass is a beginning of the order, as long as the budget allows."""
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 3)
+    rows = [(i, prose(i, 1 + i % 23), "", "hot" if i % 3 else f"s{i % 4}", 0) for i in range(500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    tokens = collections.Counter()
+    for r in rows:
+        tokens["=" + r[3]] += len(r[1].split())
+    mix = mixing.solve(dict(tokens), repetition=2.5)
+    by = collections.defaultdict(list)
+    for r in mixing.mix_sources(df, repetition=2.5).collect():
+        by["=" + r["source"]].append((r["mix_block"], r["mix_place"], len(r["text"].split()), r["mix_copies"]))
+    for source, docs in by.items():
+        docs.sort()
+        assert len({(b, p) for b, p, _, _ in docs}) == len(docs)
+        budget = mix.weight[source] * mix.total
+        full = math.floor(budget / tokens[source] + 1e-9)
+        rest, used_up, want = int(max(0.0, budget - full * tokens[source])), 0, []
+        for _, _, n, _ in docs:
+            used_up += n
+            want.append(full + (used_up <= rest))
+        assert [c for *_, c in docs] == want
