@@ -169,7 +169,10 @@ def fit(docs: DataFrame, sample: DataFrame) -> RuleModel:
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = rows.join(F.broadcast(sample), "doc_id")
     rows = rows.select((F.col("label") > 0).cast("double").alias("label"), statistics("text").alias("s"))
-    rows = cut(rows.select("label", "s.*").coalesce(8))
+    # measured in the tasks of the scan; only labelled rows, a bounded number, are dealt,
+    # and their order depends on their values alone
+    rows = rows.select("label", "s.*").repartition(8, "label", *STATISTICS)
+    rows = cut(rows.sortWithinPartitions("label", *STATISTICS))
     totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     good, bad = totals.get(1.0, 0), totals.get(0.0, 0)
     if not good or not bad:
@@ -183,9 +186,11 @@ def fit(docs: DataFrame, sample: DataFrame) -> RuleModel:
         return RuleModel((), math.log((good + 0.5) / (bad + 0.5)))
     flags = rows.select("label", *(r.column("").cast("double").alias(f"r{i}") for i, r in enumerate(rules)))
     table = VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="features").transform(flags)
+    table = table.select("label", "features").cache()
     fitted = LogisticRegression(
         regParam=PENALTY, elasticNetParam=1.0, standardization=False, maxIter=60
-    ).fit(table.select("label", "features").cache())
+    ).fit(table)
+    table.unpersist()
     weights = fitted.coefficients.toArray()
     kept = tuple(Rule(r.terms, float(w)) for r, w in zip(rules, weights, strict=True) if abs(w) > 1e-6)
     return RuleModel(kept, float(fitted.intercept))
