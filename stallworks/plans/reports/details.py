@@ -2,7 +2,8 @@
 
 The large joins here are on the order or the item. Daily snapshots are reduced to one
 row per key before they are joined, so nothing fans out; where a key is hot, AQE
-splits its partition of the fact side.
+splits its partition of the fact side. Columns that follow from others (``derived``) are
+added after the last join, so that no join shuffles them.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def _stores(store_dim: DataFrame, home_mall: int, window: DateWindow, lookback:
 
 
 def _agents(agent_grid: DataFrame, window: DateWindow, lookback: int) -> DataFrame:
-    return active_agent_grids(agent_grid, window.padded(lookback)).withColumn("agent", F.lit(1))
+    return F.broadcast(active_agent_grids(agent_grid, window.padded(lookback)).withColumn("agent", F.lit(1)))
 
 
 def order_item_detail(
@@ -52,15 +53,20 @@ def order_item_detail(
     home_mall: int,
     merchant_names: Sequence[tuple[str, str]] = (),
     cancelled: str = "CANCEL",
+    derived: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Order items with the store, goods and grid attributes of their own day."""
+    """Order items with the store, goods and grid attributes of their own day.
+
+    Goods and extra attributes come first: items that lie by sku stay there for both.
+    """
     items = scan_window(t["item"], "dt", window).where(F.col("status") != cancelled)
     goods = scan_window(t["goods"], "dt", window, LOOKBACK)
     extra = scan_window(t["extra"], "dt", window, LOOKBACK)
-    rows = snapshot_join(items, _stores(t["store_dim"], home_mall, window, 0), ["store_id"], STORE_ATTRIBUTES)
-    rows = snapshot_join(rows, goods, ["sku_id"], GOODS_ATTRIBUTES)
+    rows = snapshot_join(items, goods, ["sku_id"], GOODS_ATTRIBUTES)
     rows = snapshot_join(rows, extra, ["sku_id", "mall_id"], EXTRA_ATTRIBUTES)
+    rows = snapshot_join(rows, _stores(t["store_dim"], home_mall, window, 0), ["store_id"], STORE_ATTRIBUTES)
     rows = rows.join(_agents(t["agent_grid"], window, LOOKBACK), ["dt", "mall_id", "grid_id"], "left")
+    rows = rows.withColumns(dict(derived or {}))
     merchant = canonical_name("merchant_name", merchant_names) if merchant_names else F.col("merchant_name")
     as_double = lambda c: F.col(c).cast("double").alias(c)
     return rows.select(
@@ -81,22 +87,26 @@ def after_sale_detail(
     merchant_names: Sequence[tuple[str, str]] = (),
     apply_types: dict[str, str] = APPLY_TYPES,
     complaint_types: dict[str, str] = COMPLAINT_TYPES,
+    derived: Mapping[str, Column] | None = None,
+    item_key: str = "order_item_id",
 ) -> DataFrame:
     """After-sale tickets opened in the window, with reasons, evidence and attributes.
 
     A ticket is about one order item; store, goods and grid are those of that item's day,
     which may lie up to 30 days before the window, and delivery photos those of its order.
     Only the items that tickets name are kept, before they are joined to anything.
+    ``item_key`` is the ticket's column that holds the id of its item.
     """
     tickets = scan_window(t["ticket"], "create_time", window).where(F.col("status") != cancelled)
+    ids = tickets.select("ticket_id").distinct()
     reasons = collect_map(
-        t["reason"].where(F.col("deleted") == 0), ["ticket_id"], "problem_type", "point_name"
+        t["reason"].where(F.col("deleted") == 0).join(ids, "ticket_id", "left_semi"), ["ticket_id"], "problem_type", "point_name"
     ).withColumnRenamed("items", "problems")
     items = scan_window(t["item"], "dt", window, LOOKBACK).select("order_item_id", "dt", F.col("order_no").alias("item_order_no"))
-    named = tickets.select("order_item_id").distinct()
+    named = tickets.select(F.col(item_key).alias("order_item_id")).distinct()
     items = items.join(named, "order_item_id", "left_semi").groupBy("order_item_id").agg(
         F.min(F.struct("dt", "item_order_no")).alias("__item")  # an item listed twice does not repeat its ticket
-    ).select("order_item_id", "__item.*")
+    ).select(F.col("order_item_id").alias(item_key), "__item.*")
     tracks = t["track"].where(F.col("deliver_status") == "COMPLETE").select(
         F.col("order_no").alias("item_order_no"), strip_query("track_file").alias("track_file")
     )
@@ -105,13 +115,13 @@ def after_sale_detail(
     rows = (
         tickets.join(t["ticket_item"], "ticket_id", "left")
         .join(reasons, "ticket_id", "left")
-        .join(items, "order_item_id", "left")
-        .join(tracks, "item_order_no", "left")
+        .join(items.join(tracks, "item_order_no", "left").drop("item_order_no"), item_key, "left")
     )
-    rows = snapshot_join(rows, _stores(t["store_dim"], home_mall, window, LOOKBACK), ["store_id"], STORE_ATTRIBUTES)
     rows = snapshot_join(rows, goods, ["sku_id"], GOODS_ATTRIBUTES)
     rows = snapshot_join(rows, extra, ["sku_id", "mall_id"], EXTRA_ATTRIBUTES)
+    rows = snapshot_join(rows, _stores(t["store_dim"], home_mall, window, LOOKBACK), ["store_id"], STORE_ATTRIBUTES)
     rows = rows.join(_agents(t["agent_grid"], window, LOOKBACK), ["dt", "mall_id", "grid_id"], "left")
+    rows = rows.withColumns(dict(derived or {}))
     merchant = canonical_name("merchant_name", merchant_names) if merchant_names else F.col("merchant_name")
     return rows.select(
         F.to_date("create_time").alias("apply_day"),
