@@ -44,7 +44,7 @@ from stallworks.session import shared_dir
 
 SLICE_BYTES = 4 << 20
 #: Parts of units that a worker remembers before it starts anew.
-PART_CACHE = 400_000
+PART_CACHE = 100_000
 
 STORED = (
     "slice long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
