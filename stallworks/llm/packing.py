@@ -38,9 +38,9 @@ SEQUENCE_LENGTH = 4096
 END_ID = 1
 BLOCK_ROWS = 16384
 #: Text bytes tokenised at a time, words a worker remembers before it starts anew, and rows given back at a time.
-SLICE_BYTES = 3 << 20
-WORD_CACHE = 200_000
-YIELD_ROWS = 2048
+SLICE_BYTES = 1 << 20
+WORD_CACHE = 100_000
+YIELD_ROWS = 512
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 
@@ -187,6 +187,39 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return sequence, offset
 
 
+def _block(
+    batches: Iterator[pa.RecordBatch], at: int, sequence_length: int, first: int, names: list[str]
+) -> Iterator[pa.RecordBatch]:
+    """One block's pieces with their places; ``at`` is the column of lengths, ``first`` the first sequence.
+
+    The pieces that wait for the others are held once, as they came where none is left out.
+    """
+
+    def placed(part: pa.RecordBatch, sequence: np.ndarray, offset: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*part.columns, pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], names)
+
+    held, full = [], first + (1 << 39)
+    for batch in batches:
+        whole = pc.greater_equal(batch.column(at), sequence_length)
+        if pc.any(whole, skip_nulls=False).as_py() is not False:
+            part = batch.filter(whole)
+            if len(part):
+                yield placed(part, full + np.arange(len(part)), np.zeros(len(part), np.int64))
+                full += len(part)
+            batch = batch.filter(pc.invert(whole))
+        held.append(batch)
+    every = pa.Table.from_batches(held) if held else None
+    if not every:
+        return
+    order = pc.sort_indices(every, [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+    lengths = every.column(at).to_numpy()[order.to_numpy()].astype(np.int64)
+    sequence, offset = sum_of_squares(lengths, sequence_length)
+    for low in range(0, len(lengths), YIELD_ROWS):
+        cut = slice(low, low + YIELD_ROWS)
+        for part in every.take(order[cut]).combine_chunks().to_batches():
+            yield placed(part, first + sequence[cut], offset[cut])
+
+
 def pack(
     pieces: DataFrame, blocks: int, sequence_length: int = SEQUENCE_LENGTH
 ) -> DataFrame:
@@ -202,33 +235,11 @@ def pack(
     schema = StructType(
         [*rows.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]
     )
-    names = schema.names
-
-    def placed(part: pa.RecordBatch, sequence: np.ndarray, offset: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*part.columns, pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], names)
+    at = rows.columns.index("length")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 40
-        held, full = [], first + (1 << 39)
-        for batch in batches:
-            whole = pc.greater_equal(batch.column(at), sequence_length)
-            part = batch.filter(whole)
-            if len(part):
-                yield placed(part, full + np.arange(len(part)), np.zeros(len(part), np.int64))
-                full += len(part)
-            held.append(batch.filter(pc.invert(whole)))
-        every = pa.Table.from_batches(held) if held else None
-        if not every:
-            return
-        order = pc.sort_indices(every, [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
-        lengths = every.column(at).to_numpy()[order.to_numpy()].astype(np.int64)
-        sequence, offset = sum_of_squares(lengths, sequence_length)
-        for low in range(0, len(lengths), YIELD_ROWS):
-            cut = slice(low, low + YIELD_ROWS)
-            for part in every.take(order[cut]).combine_chunks().to_batches():
-                yield placed(part, first + sequence[cut], offset[cut])
+        yield from _block(batches, at, sequence_length, TaskContext.get().partitionId() << 40, schema.names)
 
-    at = rows.columns.index("length")
     return rows.repartition(blocks).mapInArrow(run, schema)
 
 

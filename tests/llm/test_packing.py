@@ -79,3 +79,22 @@ def test_sum_of_squares_takes_the_least_change():
         assert at == (20 - gaps[own] if own in gaps else 0)
         gaps[own] = gaps.get(own, 20) - s
         assert total() == min(options)
+
+
+def test_a_block_holds_its_pieces_once():
+    names = ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"]
+
+    def batches():
+        lengths = np.full(1500, 2000)
+        lengths[0] = 4096
+        ids = [bytes(4 * n) for n in lengths]
+        cols = [pa.array(np.arange(1500)), pa.array(np.zeros(1500, np.int32)), pa.array(np.zeros(1500, np.int64)), pa.array(lengths), pa.array(ids)]
+        yield pa.RecordBatch.from_arrays(cols, names[:5])
+
+    before = pa.total_allocated_bytes()
+    rows, most = 0, 0
+    for part in packing._block(batches(), 3, 4096, 0, names):
+        rows += len(part)
+        if part.column(3)[0].as_py() < 4096:
+            most = max(most, pa.total_allocated_bytes() - before - part.nbytes)
+    assert rows == 1500 and most < 1.6 * 4 * 2000 * 1500
