@@ -82,3 +82,14 @@ def test_nothing_is_written_or_run_while_a_shared_plan_is_built(spark, tmp_path,
     assert "InMemoryTableScan" in first._jdf.queryExecution().executedPlan().toString()
     roles.release_items()
     assert not roles._SHARED
+
+
+def test_shared_items_are_added_up_where_they_lie(spark):
+    roles.release_items()
+    held = roles.Roles(spark, SF_DIR).stored()
+    for role in (held.mall_cat4, held.mall_cat1, held.sku_mall, held.complaint, held.store_cat4, held.goods_day):
+        role.collect()
+        final = role._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        above = final.split("InMemoryRelation")[0]
+        assert "InMemoryTableScan" in above and "Exchange" not in above
+    roles.release_items()
