@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +38,10 @@ RESULTS = ("mix_weight", "mix_copies", "mix_block", "mix_place")
 WORD = r"[^\x20\x09-\x0D]+"
 #: Sources are a dimension, not data; more than this is refused.
 MOST_SOURCES = 100_000
+#: What is known of a source: its weight, its passes, what the last one takes, and its blocks.
+PLAN = pa.schema(
+    [("_source", pa.string()), ("_weight", pa.float64()), ("_full", pa.int64()), ("_rest", pa.int64()), ("_blocks", pa.int64())]
+)
 
 
 @dataclass(frozen=True)
@@ -143,8 +148,8 @@ def mix_sources(
         full = math.floor(budget / own + 1e-9) if own else 1
         rest = int(max(0.0, budget - full * own)) if own else 0
         plan.append((r["_source"], mix.weight[r["_source"]], full, rest, max(1, r["docs"] // BLOCK_ROWS)))
-    # a row for each source, from here on
-    plans = F.broadcast(spark.createDataFrame(plan, "_source string, _weight double, _full long, _rest long, _blocks long"))
+    # a row for each source, from here on; rows of an Arrow table need no Python worker
+    plans = F.broadcast(spark.createDataFrame(pa.Table.from_pylist([dict(zip(PLAN.names, r, strict=True)) for r in plan], PLAN)))
     placed = rows.join(plans, "_source").where("_rest > 0").select("_source", "tokens", "_rest", *_order(seed))
     sums = placed.groupBy("_source", "block", "_rest").agg(F.sum("tokens").alias("n"))
     sums = cut(sums.withColumn("group", F.expr(f"block div {BLOCK_ROWS}")))

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallworks.llm.common import coded_words, cut, slices
+from stallworks.llm.common import coded_words, cut, lean, slices
 
 STEM = 4
 STEM_PRIOR = 40.0
@@ -198,7 +198,7 @@ def unit_counts(rows: DataFrame) -> DataFrame:
                     ["unit", "slot", "n"],
                 )
 
-    partial = rows.select("text", "label", "fold").mapInArrow(run, "unit long, slot int, n long")
+    partial = rows.select("text", "label", "fold").mapInArrow(lean(run), "unit long, slot int, n long")
     by_slot = [F.sum(F.when(F.col("slot") == k, F.col("n")).otherwise(0)).cast("int").alias(f"n{k}") for k in range(2 * FOLDS)]
     return partial.groupBy("unit").agg(*by_slot, F.sum("n").alias("all")).where(F.col("all") >= LEAST_TEXTS).drop("all")
 
@@ -302,7 +302,7 @@ def fit(docs: DataFrame, sample: DataFrame) -> ToxicModel:
 
     def counted(run) -> list[dict[int, int]]:
         out: list[dict[int, int]] = [{}, {}]
-        binned_rows = rows.select("text", "label", "fold").mapInArrow(run, "kind int, bin long, n long")
+        binned_rows = rows.select("text", "label", "fold").mapInArrow(lean(run), "kind int, bin long, n long")
         for r in binned_rows.groupBy("kind", "bin").agg(F.sum("n").alias("n")).collect():
             out[r["kind"]][r["bin"]] = r["n"]
         return out
@@ -317,18 +317,20 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """``docs`` with ``toxicity`` (0..1) and ``toxic_passages`` (token spans, E-values)."""
 
     @F.pandas_udf(f"toxicity double, toxic_passages {PASSAGES}")
-    def scan(texts: pd.Series) -> pd.DataFrame:
-        column = pa.array(texts.fillna(""), pa.string())
-        scores: list[float] = []
-        passages: list[list[tuple[int, int, float, float]]] = []
-        for low, high in slices(column, SLICE_BYTES):
-            for tokens, spans in model.segments(column.slice(low, high - low)):
-                found = model.passages(tokens, spans)
-                scores.append(model.score(model.statistic(found)))
-                passages.append(
-                    [dict(start=a, end=b, score=s, e_value=e) for a, b, s, e in found]  # type: ignore[misc]
-                )
-        return pd.DataFrame({"toxicity": scores, "toxic_passages": passages})
+    @lean
+    def scan(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in columns:
+            column = pa.array(texts.fillna(""), pa.string())
+            scores: list[float] = []
+            passages: list[list[tuple[int, int, float, float]]] = []
+            for low, high in slices(column, SLICE_BYTES):
+                for tokens, spans in model.segments(column.slice(low, high - low)):
+                    found = model.passages(tokens, spans)
+                    scores.append(model.score(model.statistic(found)))
+                    passages.append(
+                        [dict(start=a, end=b, score=s, e_value=e) for a, b, s, e in found]  # type: ignore[misc]
+                    )
+            yield pd.DataFrame({"toxicity": scores, "toxic_passages": passages})
 
     kept = [c for c in docs.columns if c not in ("toxicity", "toxic_passages")]
     scored = docs.select(*kept, scan(F.col("text").cast("string")).alias("_scan"))

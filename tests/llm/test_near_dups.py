@@ -1,8 +1,10 @@
 import random
 import re
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SCHEMA, prose
 
@@ -130,3 +132,22 @@ def test_links_are_thinned_without_loss(spark):
     got = near_dups.components(spark.createDataFrame(links, "a long, b long").repartition(5))
     want = {x: find(x) for pair in links if pair[0] != pair[1] for x in pair}
     assert {r["rep"]: r["component"] for r in got.collect()} == want
+
+
+def test_a_task_gives_back_what_arrow_held(spark, monkeypatch):
+    """An idle worker keeps no memory of its last texts."""
+
+    def held():
+        pages = re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())
+        return int(pages[0]) / 1024
+
+    df, taken = spark.createDataFrame([(1, "a", "", "", 1)], SCHEMA), []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda rows, run, schema: taken.append(run) or rows)
+    near_dups.signatures(df, 5)
+    texts = [" ".join(f"w{i * k % 9973}x{k}" for k in range(500)) for i in range(6000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(6000)), "key": list(range(6000)), "text": texts})
+    list(taken[0](iter([batch.slice(0, 1000)])))
+    pa.default_memory_pool().release_unused()
+    before = held()
+    assert sum(len(part) for part in taken[0](iter([batch]))) == 6000
+    assert held() - before < 10

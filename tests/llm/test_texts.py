@@ -255,6 +255,13 @@ def test_mixing_of_odd_documents(odd, none):
     assert mixing.mix_sources(none, repetition=2.0).collect() == []
 
 
+def test_what_is_known_of_a_source_needs_no_worker(odd):
+    plan = mixing.mix_sources(odd, repetition=2.0)._jdf.queryExecution().optimizedPlan().toString()
+    scan = [line for line in plan.splitlines() if "LogicalRDD [" in line or "LocalRelation [" in line]
+    assert any("LocalRelation [_source" in line for line in scan)
+    assert not any("LogicalRDD [" in line and "_full" in line for line in scan)
+
+
 def test_copies_follow_the_permutation(spark, monkeypatch):
     """The part of a pass is a beginning of the order, as long as the budget allows."""
     monkeypatch.setattr(mixing, "BLOCK_ROWS", 3)
