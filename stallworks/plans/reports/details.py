@@ -89,33 +89,40 @@ def after_sale_detail(
     complaint_types: dict[str, str] = COMPLAINT_TYPES,
     derived: Mapping[str, Column] | None = None,
     item_key: str = "order_item_id",
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """After-sale tickets opened in the window, with reasons, evidence and attributes.
 
     A ticket is about one order item; store, goods and grid are those of that item's day,
     which may lie up to 30 days before the window, and delivery photos those of its order.
     Only the items that tickets name are kept, before they are joined to anything.
-    ``item_key`` is the ticket's column that holds the id of its item.
+    ``item_key`` is the ticket's column that holds the id of its item. ``within`` names columns
+    of tickets, items, reasons, ticket items and tracks that these ids determine, such as the
+    order: rows are joined on them as well, so what lies by order stays there.
     """
+    within = list(within)
     tickets = scan_window(t["ticket"], "create_time", window).where(F.col("status") != cancelled)
-    ids = tickets.select("ticket_id").distinct()
+    by_ticket = [*within, "ticket_id"]
+    ids = tickets.select(*by_ticket).distinct()
     reasons = collect_map(
-        t["reason"].where(F.col("deleted") == 0).join(ids, "ticket_id", "left_semi"), ["ticket_id"], "problem_type", "point_name"
+        t["reason"].where(F.col("deleted") == 0).join(ids, by_ticket, "left_semi"), by_ticket, "problem_type", "point_name"
     ).withColumnRenamed("items", "problems")
-    items = scan_window(t["item"], "dt", window, LOOKBACK).select("order_item_id", "dt", F.col("order_no").alias("item_order_no"))
-    named = tickets.select(F.col(item_key).alias("order_item_id")).distinct()
-    items = items.join(named, "order_item_id", "left_semi").groupBy("order_item_id").agg(
+    items = scan_window(t["item"], "dt", window, LOOKBACK).select(*within, "order_item_id", "dt", F.col("order_no").alias("item_order_no"))
+    named = tickets.select(*within, F.col(item_key).alias("order_item_id")).distinct()
+    items = items.join(named, [*within, "order_item_id"], "left_semi").groupBy(*within, "order_item_id").agg(
         F.min(F.struct("dt", "item_order_no")).alias("__item")  # an item listed twice does not repeat its ticket
-    ).select(F.col("order_item_id").alias(item_key), "__item.*")
+    ).select(*within, F.col("order_item_id").alias(item_key), "__item.*")
     tracks = t["track"].where(F.col("deliver_status") == "COMPLETE").select(
-        F.col("order_no").alias("item_order_no"), strip_query("track_file").alias("track_file")
+        *within, F.col("order_no").alias("item_order_no"), strip_query("track_file").alias("track_file")
     )
+    items = items.join(tracks, [*within, "item_order_no"], "left").drop("item_order_no")
     goods = scan_window(t["goods"], "dt", window, LOOKBACK)
     extra = scan_window(t["extra"], "dt", window, LOOKBACK)
     rows = (
-        tickets.join(t["ticket_item"], "ticket_id", "left")
-        .join(reasons, "ticket_id", "left")
-        .join(items.join(tracks, "item_order_no", "left").drop("item_order_no"), item_key, "left")
+        tickets.join(t["ticket_item"], by_ticket, "left")
+        .join(reasons, by_ticket, "left")
+        .join(items, [*within, item_key], "left")
+        .withColumns({c: F.col(c).cast("double") for c in ("expected_amt", "final_amt")})
     )
     rows = snapshot_join(rows, goods, ["sku_id"], GOODS_ATTRIBUTES)
     rows = snapshot_join(rows, extra, ["sku_id", "mall_id"], EXTRA_ATTRIBUTES)
@@ -129,14 +136,14 @@ def after_sale_detail(
         "order_id", "order_no", "order_item_id", "order_item_no", "sku_id", "sku_code", "sku_name", "defective_rate",
         "back_category_id", "back_category", *EXTRA_ATTRIBUTES, merchant.alias("merchant_name"), "store_id", *PLACE,
         quoted_list("track_file").alias("track_files"),
-        F.col("expected_amt").cast("double").alias("expected_amt"), "bad_weight", "bad_num",
+        "expected_amt", "bad_weight", "bad_num",
         "problems",
         quoted_list("images", image_host).alias("images"),
         quoted_list("videos", image_host).alias("videos"),
         "handler_id", "handler_name",
         relabel("complaint_type", complaint_types).alias("complaint_type"),
         "remark", "problem_remark", "handle_remark", "service_remark",
-        F.col("final_amt").cast("double").alias("final_amt"),
+        "final_amt",
         "status", "real_status",
         *[reformat(c).alias(n) for n, c in TIMES.items()], "handle_duration", "mall_id",
         presence("agent", rules.agent_label, rules.direct_label).alias("operate_type"),
