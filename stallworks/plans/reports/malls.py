@@ -258,10 +258,12 @@ def store_category_payments(
     """Store × level-1 category with payments; the item's category is that day's."""
     snapshot = scan_window(goods, "dt", window).select("dt", "sku_id", "cat1").distinct()
     days = scan_window(items, "dt", window).where(F.col("status") != cancelled)
-    # Per sku first: the join then meets one row per store, sku and day.
+    # Per sku first: the join then meets one row per store, sku and day. What was paid is dealt by
+    # store, like the facts.
     per_sku = days.groupBy("dt", "store_id", "sku_id").agg(F.sum("payment_amt").alias("payment_amt"))
     paid = (
         per_sku.join(snapshot, ["dt", "sku_id"], "left")
+        .repartition("store_id")
         .groupBy("dt", "store_id", "cat1")
         .agg(F.sum("payment_amt").alias("payment_amt"))
     )
