@@ -97,7 +97,7 @@ def test_branches_that_read_other_columns_share_one_exchange(spark):
     assert dealt(plan.executedPlan().toString().split("== Initial Plan ==")[0], "k") == 1
 
 
-@pytest.mark.parametrize("name", ["q06", "q07", "q11"])
+@pytest.mark.parametrize("name", ["q01", "q06", "q07", "q11"])
 def test_rows_equal_the_sql(spark, folder, name):
     con = duckdb.connect()
     for file in os.listdir(folder):
@@ -112,8 +112,10 @@ def test_everything_of_a_ticket_is_put_together_by_order(spark, folder):
     assert dealt(plan, "ticket_id") == dealt(plan, "order_item_id") == dealt(plan, "item_order_no") == 0
 
 
-@pytest.mark.parametrize("name", ["q06", "q11"])
+@pytest.mark.parametrize("name", ["q01", "q06", "q11"])
 def test_lines_meet_orders_and_goods_once(spark, folder, name):
     plan = run(spark, name, folder)
     assert scans(plan, "lineitem") == scans(plan, "orders") == 1
-    assert dealt(plan, "dt") <= 2  # grids of a store's day and agent-run grids; no facts are dealt by their day
+    if name != "q01":  # its facts are looked up and added up by store and day
+        assert dealt(plan, "dt") <= 2  # grids of a store's day and agent-run grids
+
