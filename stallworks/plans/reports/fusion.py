@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ...functions.values import is_one_of, nz, ratio, to_number
 from ...operators.joins import harmonised
@@ -38,9 +38,16 @@ def pilot_kpis(detail: DataFrame, flags: DataFrame, pilots: dict[str, str], rule
     """
     marks = unpivot_flags(flags, ["dt", "store_id"], pilots, "cat4", "pilot_mark")
     marks = marks.withColumn("store_id", harmonised("store_id"))
+    stored = detail.schema["store_id"].dataType
+    if isinstance(stored, T.IntegralType):
+        # the mark's text becomes the number that reads the same, so the detail stays where it lies by store
+        number = F.col("store_id").try_cast(stored)
+        marks = marks.withColumn("store_id", F.when(number.cast("string") == F.col("store_id"), number))
+    else:
+        detail = detail.withColumn("store_id", harmonised("store_id"))
     numbers = ("delivered_amt", "ordered_num", "commission_amt")
     rows = (
-        detail.withColumn("store_id", harmonised("store_id"))
+        detail
         # ten digits behind the point hold every amount; NaN and infinities count as none
         .withColumns({c: nz(F.col(c).try_cast("decimal(32,10)")) for c in numbers})
         .withColumns({c: to_number(c, 0.0) for c in ("is_pilot", "is_after_sale", "is_rebuy")})
